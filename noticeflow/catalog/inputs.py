@@ -156,9 +156,10 @@ _RAW_SQL = [
     "'op' || o_custkey || '@example.com'",
     f"CASE o_orderpriority {_STATE_CASE} END",
     "o_orderstatus",
-    "strftime(o_orderdate, CASE WHEN o_orderstatus = 'F' THEN '%Y-%m-%d %H:%M:%S' ELSE '%Y-%m-%d %H:%M' END)",
-    "strftime(o_orderdate + INTERVAL 30 DAY,"
-    " CASE WHEN o_orderstatus = 'F' THEN '%Y-%m-%d %H:%M' ELSE '%Y-%m-%d %H:%M:%S' END)",
+    "CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
+    " ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M') END",
+    "CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S')"
+    " ELSE strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d %H:%M') END",
     "CAST(o_custkey AS VARCHAR)",
     "strftime(o_orderdate, '%Y/%m/%d%H:%M')",
     "strftime(o_orderdate, '%Y/%m/%d %H:%M')",
@@ -221,6 +222,12 @@ def raw_notices(spark: SparkSession, sf_dir: str, id_column: str = "o_custkey")
     )
 
 
+def write_csv(notices: DataFrame, folder: str) -> None:
+    """Notice files as CSV, blanks at the ends of a value kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    notices.write.options(header=True, escape='"', **keep).csv(folder)
+
+
 # --- staged notices, all 27 fields -----------------------------------------
 _STATE_SQL = """CASE upper(trim(o_state)) WHEN 'ÁFRICA' THEN '00' WHEN 'AMERICA' THEN '01'
   WHEN 'ASIA' THEN '02' WHEN 'MIDDLE  EAST' THEN '04' ELSE '' END"""

@@ -236,7 +236,7 @@ def stream_ingest(spark, sf_dir):
     """The registry after three notice files arrived, each known by one id."""
     root = shared_dir(spark, "stream")
     raw = inputs.raw_notices(spark, sf_dir, "o_orderkey").select(*RAW_HEADERS)
-    raw.repartition(3).write.option("header", True).option("escape", '"').csv(f"{root}/in")
+    inputs.write_csv(raw.repartition(3), f"{root}/in")
     registry = SnapshotTable(spark, f"{root}/registry", REGISTRY_SCHEMA)
     registry.write(inputs.full_registry(spark, sf_dir, "o_orderkey"), version=0)
     notices = stream_notices(spark, f"{root}/in", raw.schema)

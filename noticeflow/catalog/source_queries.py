@@ -39,7 +39,7 @@ def csv_scan(spark, sf_dir):
     """Notices written as CSV files, read back as text."""
     folder = shared_dir(spark, "notices-csv")
     raw = inputs.raw_notices(spark, sf_dir).drop("source_file", "_seq")
-    raw.write.option("header", True).option("escape", '"').csv(folder)
+    inputs.write_csv(raw, folder)
     read = notices.read_notices(spark, f"{folder}/*.csv")
     return rename_fields(fold_headers(read)).select(*FIELD_NAMES)
 

@@ -7,12 +7,12 @@ not the same as "existing": a notice that shares exactly one key with an existin
 one is a ``conflict``. Such rows are kept and labelled.
 
 Labels are worked out on distinct key pairs, which are narrow and hold no copies.
-The wide rows move once, to pick up the label of their pair.
+Each step is written once, as the next ones need it for both keys. The wide rows
+move once at most, to pick up the label of their pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import moment
 from ..schema import CODE, DOCUMENT_KIND, ID, KEYS
 from .project import contains_both, undocumented
-from .skew import hot_keys, spread_join
+from .skew import Written, key_values, keyed_join, write_once
 
 LABEL = "label"
 DOCUMENT = "document"
@@ -29,48 +29,37 @@ DOCUMENT = "document"
 NEW, EXISTING, CONFLICT = "new", "existing", "conflict"
 WITHOUT, WITH, MIXED = "without_document", "with_document", "mixed"
 
-Hot = dict[str, DataFrame]
 
+def _key_table(df: DataFrame, keys: list[str] = KEYS) -> Written:
+    return write_once(df.select(*keys).distinct(), "keys")
 
-def _others(df: DataFrame, key: str) -> list[str]:
-    return [c for c in df.columns if c != key] or [key]
 
-
-def _hot_by_key(df: DataFrame, keys: list[str]) -> Hot:
-    return {k: hot_keys(df, [k]) for k in keys}
+def _by_each_key(left: DataFrame, table: Written, how: str, keys: list[str] = KEYS) -> DataFrame:
+    for key in keys:
+        others = [c for c in left.columns if c != key] or [key]
+        left = keyed_join(left, key_values(table, key), [key], how, others)
+    return left
 
 
-def semi_independent(
-    left: DataFrame, right: DataFrame, keys: list[str] = KEYS, hot: Hot | None = None
-) -> DataFrame:
+def semi_independent(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows of ``left`` whose every key occurs in ``right``, each on its own."""
-    hot = hot or _hot_by_key(left, keys)
-    for key in keys:
-        values = right.select(key).distinct()
-        left = spread_join(left, values, [key], "left_semi", _others(left, key), hot[key])
-    return left
+    return _by_each_key(left, _key_table(right, keys), "left_semi", keys)
 
 
-def anti_independent(
-    left: DataFrame, right: DataFrame, keys: list[str] = KEYS, hot: Hot | None = None
-) -> DataFrame:
+def anti_independent(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows of ``left`` none of whose keys occurs in ``right``.
 
     This is not the complement of ``semi_independent``. A NULL key occurs nowhere.
     """
-    hot = hot or _hot_by_key(left, keys)
-    for key in keys:
-        values = right.select(key).distinct()
-        left = spread_join(left, values, [key], "left_anti", _others(left, key), hot[key])
-    return left
+    return _by_each_key(left, _key_table(right, keys), "left_anti", keys)
 
 
 def semi_tuple(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    return spread_join(left, right.select(*keys).distinct(), keys, "left_semi")
+    return keyed_join(left, _key_table(right, keys), keys, "left_semi")
 
 
 def anti_tuple(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    return spread_join(left, right.select(*keys).distinct(), keys, "left_anti")
+    return keyed_join(left, _key_table(right, keys), keys, "left_anti")
 
 
 def search_registry(
@@ -86,16 +75,6 @@ def ask_registry(batch: DataFrame, registry: DataFrame) -> DataFrame:
     return semi_independent(batch, search_registry(registry, batch))
 
 
-def _flag(
-    pairs: DataFrame, rows: DataFrame, name: Callable[[str], str], hot: Hot
-) -> DataFrame:
-    """Add one boolean per key: does its value occur in ``rows``."""
-    for key in KEYS:
-        values = rows.select(key).distinct().withColumn(name(key), F.lit(True))
-        pairs = spread_join(pairs, values, [key], "left", _others(pairs, key), hot[key])
-    return pairs
-
-
 def _three_way(first: Column, second: Column, both: str, none: str, one: str) -> Column:
     return (
         F.when(first.isNotNull() & second.isNotNull(), both)
@@ -104,43 +83,51 @@ def _three_way(first: Column, second: Column, both: str, none: str, one: str) ->
     )
 
 
-def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent") -> DataFrame:
+def _flag(pairs: DataFrame, table: Written, prefix: str) -> DataFrame:
+    """Add ``prefix + key`` per key: TRUE where its value occurs in the table."""
+    for key in KEYS:
+        values = key_values(table, key).frame.withColumn(prefix + key, F.lit(True))
+        others = [c for c in KEYS if c != key]
+        pairs = keyed_join(pairs, Written(values, bound=table.rows), [key], "left", others)
+    return pairs
+
+
+def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent") -> Written:
     """Distinct key pairs of a batch with ``label`` and ``document``.
 
     ``document`` says, for existing pairs, whether the registry still waits for
     their document; it is NULL for the others.
     """
-    pairs = batch.select(*KEYS).dropna().distinct()
+    if match not in ("independent", "tuple"):
+        raise ValueError(f"unknown match {match!r}")
+    pairs = write_once(batch.select(*KEYS).dropna().distinct(), "pairs")
     waiting = F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
     known = registry.select(*KEYS, waiting.alias("_waiting"))
-    if match == "tuple":
-        return _label_tuples(pairs, known)
-    if match != "independent":
-        raise ValueError(f"unknown match {match!r}")
+    label_rows = _label_tuples if match == "tuple" else _label_each_key
+    return write_once(label_rows(pairs, known), "labels")
 
-    hot = _hot_by_key(pairs, KEYS)
-    registry_hot = _hot_by_key(known, KEYS)
-    candidates = semi_independent(known, pairs, KEYS, registry_hot)
-    existing = semi_independent(pairs, candidates, KEYS, hot)
-    labelled = _flag(pairs, existing, lambda k: f"_known_{k}", hot)
-    open_rows = semi_independent(
-        candidates.filter("_waiting"), existing, KEYS, registry_hot
-    )
-    labelled = _flag(labelled, open_rows, lambda k: f"_open_{k}", hot)
+
+def _label_each_key(pairs: Written, known: DataFrame) -> DataFrame:
+    candidates = write_once(_by_each_key(known, pairs, "left_semi"), "candidates").frame
+    hits = _key_table(candidates)
+    existing = write_once(_by_each_key(pairs.frame, hits, "left_semi"), "existing")
+    open_rows = _key_table(_by_each_key(candidates.filter("_waiting"), existing, "left_semi"))
+    flagged = _flag(_flag(pairs.frame, existing, "_known_"), open_rows, "_open_")
     label = _three_way(
         F.col(f"_known_{ID}"), F.col(f"_known_{CODE}"), EXISTING, NEW, CONFLICT
     )
     document = _three_way(F.col(f"_open_{ID}"), F.col(f"_open_{CODE}"), WITHOUT, WITH, MIXED)
-    return labelled.select(
+    return flagged.select(
         *KEYS, label.alias(LABEL), F.when(label == EXISTING, document).alias(DOCUMENT)
     )
 
 
-def _label_tuples(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    per_pair = known.dropna(subset=KEYS).groupBy(*KEYS).agg(F.max("_waiting").alias("_waiting"))
+def _label_tuples(pairs: Written, known: DataFrame) -> DataFrame:
+    hits = keyed_join(known, pairs, KEYS, "left_semi")
+    found = write_once(hits.groupBy(*KEYS).agg(F.max("_waiting").alias("_waiting")), "hits")
     document = F.when(F.col("_waiting"), WITHOUT).when(~F.col("_waiting"), WITH)
     label = F.when(F.col("_waiting").isNull(), NEW).otherwise(EXISTING)
-    joined = pairs.join(per_pair, KEYS, "left")
+    joined = keyed_join(pairs.frame, found, KEYS, "left")
     return joined.select(*KEYS, label.alias(LABEL), document.alias(DOCUMENT))
 
 
@@ -152,14 +139,10 @@ def classify(
 ) -> DataFrame:
     """The batch with ``label`` and ``document``; every row is kept.
 
-    A row with a NULL key matches nothing and is labelled by its other key only
-    through the pairs that hold it, that is, it counts as new.
+    A row with a NULL key belongs to no pair and counts as new.
     """
-    labels = label_pairs(batch, registry, match)
-    joined = spread_join(batch, labels, KEYS, "left", spread_by)
-    return joined.withColumn(LABEL, F.coalesce(LABEL, F.lit(NEW))).select(
-        *batch.columns, LABEL, DOCUMENT
-    )
+    joined = keyed_join(batch, label_pairs(batch, registry, match), KEYS, "left", spread_by)
+    return joined.withColumn(LABEL, F.coalesce(LABEL, F.lit(NEW)))
 
 
 def existing_without_document(existing: DataFrame, registry: DataFrame) -> DataFrame:
@@ -186,4 +169,3 @@ def not_archived(batch: DataFrame, registry: DataFrame, since: datetime | str) -
     recent = registry.filter(F.col("FechaModificacion") >= moment(since))
     archived = contains_both(recent, f"{DOCUMENT_KIND}_", "UrlActaDL", "NombreArchivoActa")
     return anti_independent(batch, archived)
-

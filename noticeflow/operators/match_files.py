@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import base_name, parse_document_name
 from ..schema import CODE, DOCUMENT_KIND, ID, KEYS
-from .skew import spread_join
+from .skew import keyed_join, write_once
 
 
 def document_files(files: DataFrame) -> DataFrame:
@@ -37,17 +37,24 @@ def match_documents(pending: DataFrame, files: DataFrame, match: str = "exact")
     if match == "exact":
         keyed = named.withColumn(CODE, parse_document_name(F.col("path"))["code"])
     elif match == "prefix":
-        lengths = pending.agg(F.collect_set(F.length(CODE)).alias("lens")).scalar()
-        ends = F.filter(
-            F.array_distinct(lengths), lambda n: n <= F.length(F.regexp_extract("_rest", r"(?s)(.*)\.", 1))
-        )
+        before_dot = F.length(F.regexp_extract("_rest", r"(?s)(.*)\.", 1))
+        ends = F.filter(_lengths(pending, CODE), lambda n: n <= before_dot)
         keyed = named.withColumn("_len", F.explode(ends)).withColumn(
             CODE, F.substr("_rest", F.lit(1), F.col("_len"))
         )
     else:
         raise ValueError(f"unknown match {match!r}")
     first = keyed.groupBy(*KEYS).agg(F.min("path").alias("path"))
-    return spread_join(pending, first, KEYS, "left").select(*pending.columns, "path")
+    return keyed_join(pending, write_once(first, "files"), KEYS)
+
+
+def _lengths(df: DataFrame, column: str) -> Column:
+    """The lengths that occur in a name column, as a constant array.
+
+    Names have a bounded length, so there are few.
+    """
+    found = df.select(F.length(column).alias("n")).dropna().distinct().collect()
+    return F.array(*[F.lit(r["n"]) for r in found]).cast("array<int>")
 
 
 def names_present(wanted: DataFrame, objects: DataFrame, exact: bool = False) -> DataFrame:
@@ -59,11 +66,10 @@ def names_present(wanted: DataFrame, objects: DataFrame, exact: bool = False) ->
     if exact:
         stored = objects.select(F.col("name")).distinct()
     else:
-        lengths = wanted.agg(F.collect_set(F.length("name")).alias("lens")).scalar()
-        ends = F.filter(lengths, lambda n: n <= F.length("name"))
+        ends = F.filter(_lengths(wanted, "name"), lambda n: n <= F.length("name"))
         stored = (
             objects.withColumn("_len", F.explode(ends))
             .select(F.substr("name", F.lit(1), F.col("_len")).alias("name"))
             .distinct()
         )
-    return spread_join(wanted, stored, ["name"], "left_semi")
+    return keyed_join(wanted, write_once(stored, "names"), ["name"], "left_semi")

@@ -1,4 +1,10 @@
-"""Joins that stay balanced when one key holds a large part of the rows.
+"""Joins to a side that is unique in its key, safe against size and skew.
+
+The right side is first written as a narrow table in the shared folder. Its row
+count then decides, from the file footers, between two ways:
+
+* at most ``broadcast_rows``: broadcast it; the left side is not shuffled;
+* beyond that: shuffle both sides, with hot keys split.
 
 A key is *hot* when more than ``hot_rows`` rows of the left side carry it. There
 can be at most ``rows / hot_rows`` such keys, so the list of hot keys is small by
@@ -9,11 +15,14 @@ is copied to each of these tasks. All other keys take an ordinary shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 HOT_ROWS = 1_000_000
 HOT_WAYS = 256
 BROADCAST_ROWS = 100_000
@@ -21,14 +30,41 @@ BROADCAST_ROWS = 100_000
 _HOT, _SALT = "_hot", "_salt"
 
 
-def hot_rows_of(df: DataFrame) -> int:
-    """Rows per key above which a key is split, from the session or the default."""
-    return int(df.sparkSession.conf.get("spark.noticeflow.hotRows", str(HOT_ROWS)))
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(f"spark.noticeflow.{name}", str(default)))
+
+
+@dataclass
+class Written:
+    """A DataFrame that stands written in the shared folder."""
+
+    frame: DataFrame
+    bound: int | None = None
+
+    @cached_property
+    def rows(self) -> int:
+        """Number of rows, or the known upper bound."""
+        return self.frame.count() if self.bound is None else self.bound
+
+    @property
+    def is_small(self) -> bool:
+        return self.rows <= _setting(self.frame, "broadcastRows", BROADCAST_ROWS)
+
 
+def write_once(df: DataFrame, name: str = "step") -> Written:
+    """Write an intermediate result and go on from the files.
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys with more rows than ``hot_rows``; counts combine before the shuffle."""
-    limit = hot_rows_of(df) if hot_rows is None else hot_rows
+    Used where several plans need the same rows: they are computed once, later
+    plans stay short, and a lost executor costs no recomputation.
+    """
+    folder = shared_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return Written(df.sparkSession.read.schema(df.schema).parquet(folder))
+
+
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """Keys with more rows than allowed; counts combine before the shuffle."""
+    limit = _setting(df, "hotRows", HOT_ROWS)
     counts = df.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") > limit).select(*on)
 
@@ -43,17 +79,15 @@ def spread_join(
     on: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
-    hot: DataFrame | None = None,
     ways: int = HOT_WAYS,
 ) -> DataFrame:
-    """Join to a right side that is unique in ``on``, splitting hot keys.
+    """Shuffle join to a right side that is unique in ``on``, hot keys split.
 
     ``how`` is ``left``, ``left_semi`` or ``left_anti``; NULL keys match nothing.
     ``spread_by`` names columns that differ between rows of one key (all columns
-    by default). ``hot`` reuses a list from ``hot_keys``.
+    by default).
     """
-    hot = hot_keys(left, on) if hot is None else hot
-    hot = hot.withColumn(_HOT, F.lit(True))
+    hot = hot_keys(left, on).withColumn(_HOT, F.lit(True))
     spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(ways)).cast("int")
     salted = (
         left.join(F.broadcast(hot), on, "left")
@@ -72,23 +106,22 @@ def spread_join(
     return salted.join(copied, [*on, _SALT], how).select(*left.columns, *added)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_join(
+def keyed_join(
     left: DataFrame,
-    right: DataFrame,
+    right: Written,
     on: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the right side when a count shows it is small, else spread.
-
-    For sides that are cheap to count, such as a dimension or a written table.
-    """
-    if fits_broadcast(right, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    return spread_join(left, right, on, how, spread_by)
+    """Broadcast the written right side when its count allows, else spread."""
+    if right.is_small:
+        return left.join(F.broadcast(right.frame), on, how).select(
+            *left.columns,
+            *([] if how != "left" else [c for c in right.frame.columns if c not in on]),
+        )
+    return spread_join(left, right.frame, on, how, spread_by)
+
+
+def key_values(table: Written, key: str) -> Written:
+    """Distinct values of one key column; never more than the table has rows."""
+    return Written(table.frame.select(key).distinct(), bound=table.rows)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.names import archive_path, document_base, document_name
 from ..schema import CODE, ID, KEYS
 from .project import run_moment
-from .skew import spread_join
+from .skew import keyed_join, write_once
 
 OK = 200
 
@@ -98,7 +98,7 @@ def apply_outcomes(
     registry: DataFrame, updates: DataFrame, run_ts: datetime | str | None = None
 ) -> DataFrame:
     """The registry after the changes of ``outcome_updates``."""
-    joined = spread_join(registry, updates, KEYS, "left")
+    joined = keyed_join(registry, write_once(updates, "changes"), KEYS)
     hit = F.col("published").isNotNull()
     has_doc = F.col("doc").isNotNull()
     return joined.withColumns(

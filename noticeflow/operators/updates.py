@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import zero_pad
 from ..schema import KEYS, UPDATE_FIELDS
 from .project import run_moment
-from .skew import checked_join, spread_join
+from .skew import keyed_join, write_once
 
 _NEW = "_new"
 
@@ -45,13 +45,6 @@ def last_update(updates: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return updates.dropna(subset=keys).groupBy(*keys).agg(best)
 
 
-def _join_updates(
-    table: DataFrame, updates: DataFrame, keys: list[str], small: bool
-) -> DataFrame:
-    join = checked_join if small else spread_join
-    return join(table, updates, keys, "left")
-
-
 def update_columns(
     table: DataFrame,
     updates: DataFrame,
@@ -60,18 +53,17 @@ def update_columns(
     order: list[str] | None = None,
     run_ts: datetime | str | None = None,
     stamp: str | None = "FechaModificacionReg",
-    small: bool = False,
 ) -> DataFrame:
     """Set ``columns`` of every row whose keys occur in ``updates``.
 
     With repeated keys in ``updates`` the last by ``order`` wins (``order``
     defaults to the columns themselves). ``stamp`` is set to the run time.
-    ``small`` counts the updates first and broadcasts them if few; use it when
-    they are cheap to count, as from a written table.
+    The last updates are written once, so that few of them can be broadcast and
+    the table is then rewritten without a shuffle.
     """
     wanted = updates.select(*dict.fromkeys([*keys, *columns, *(order or [])]))
-    last = last_update(wanted, keys, order or columns)
-    joined = _join_updates(table, last, keys, small)
+    last = write_once(last_update(wanted, keys, order or columns), "updates")
+    joined = keyed_join(table, last, keys)
     hit = F.col(_NEW).isNotNull()
     new = {
         c: F.when(hit, F.col(f"{_NEW}.{c}").cast(table.schema[c].dataType)).otherwise(F.col(c))
@@ -103,13 +95,12 @@ def update_changed(
     staged: DataFrame,
     order: list[str] | None = None,
     run_ts: datetime | str | None = None,
-    small: bool = False,
 ) -> DataFrame:
     """Copy the notice fields of changed rows; document fields stay as they are."""
     fields = [c for c in UPDATE_FIELDS if c in staged.columns and c in table.columns]
     if "IdEstado" in fields:
         staged = staged.withColumn("IdEstado", zero_pad(F.col("IdEstado")))
-    return update_columns(table, staged, fields, order=order, run_ts=run_ts, small=small)
+    return update_columns(table, staged, fields, order=order, run_ts=run_ts)
 
 
 def update_where(table: DataFrame, predicate: Column, values: dict[str, Column]) -> DataFrame:
@@ -150,8 +141,8 @@ def repath(
     renamed = moves.select(
         F.col("old").alias("UrlActaDL"), F.col("new").alias("_to"), *(order or [])
     )
-    last = last_update(renamed, ["UrlActaDL"], order or ["_to"])
-    joined = spread_join(table, last, ["UrlActaDL"], "left")
+    last = write_once(last_update(renamed, ["UrlActaDL"], order or ["_to"]), "moves")
+    joined = keyed_join(table, last, ["UrlActaDL"])
     hit = F.col(_NEW).isNotNull()
     return joined.withColumns(
         {

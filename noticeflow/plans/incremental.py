@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import DOCUMENT, LABEL, NEW, WITHOUT, classify
 from ..operators.project import union_distinct
 from ..operators.report import stage_counts
+from ..operators.skew import write_once
 from ..operators.updates import insert_rows, update_changed
 from ..schema import ROW_SEQ, SOURCE_FILE, STAGED_FIELDS
 from .staging import stage
@@ -18,7 +19,7 @@ from .staging import stage
 
 @dataclass
 class IncrementalRun:
-    """Plans of one run. Nothing is computed until one of them is written."""
+    """One run: the classified batch is written; the rest are plans over it."""
 
     classified: DataFrame
     rejects: DataFrame
@@ -37,29 +38,20 @@ def run_incremental(
     match: str = "independent",
     compat_nan: bool = False,
 ) -> IncrementalRun:
-    """Plan a run over one batch of notice files.
+    """Stage and classify one batch of notice files; plan what follows from it.
 
-    All files of the batch are compared with the same registry state.
+    All files of the batch are compared with the same registry state. The batch is
+    read and classified once; registry, work list and counts start from its table.
     """
     staged = stage(notices, dim, as_of, n_days, run_ts, compat_nan)
     spread_by = [c for c in (SOURCE_FILE, ROW_SEQ) if c in staged.rows.columns] or None
-    classified = classify(staged.rows, registry, match, spread_by)
-    return from_classified(classified, staged.rejects, registry, run_ts)
-
-
-def from_classified(
-    classified: DataFrame,
-    rejects: DataFrame,
-    registry: DataFrame,
-    run_ts: datetime | str | None = None,
-    small: bool = False,
-) -> IncrementalRun:
-    """The rest of a run; ``classified`` may be a written table (then ``small``)."""
+    labelled = classify(staged.rows, registry, match, spread_by)
+    classified = write_once(labelled, "classified").frame
     new = classified.filter(F.col(LABEL) == NEW)
     waiting = classified.filter(F.col(DOCUMENT) == WITHOUT)
     order = [c for c in (SOURCE_FILE, ROW_SEQ) if c in classified.columns]
     updated = update_changed(
-        registry, waiting, order=order or ["FechaModificacion"], run_ts=run_ts, small=small
+        registry, waiting, order=order or ["FechaModificacion"], run_ts=run_ts
     )
     next_registry = insert_rows(
         updated, new.select(*STAGED_FIELDS), {"Url_visitada": F.lit(0)}
@@ -69,7 +61,7 @@ def from_classified(
         counts = _counts(classified)
     else:
         counts = _counts(classified.withColumn(SOURCE_FILE, F.lit("")))
-    return IncrementalRun(classified, rejects, next_registry, worklist, counts)
+    return IncrementalRun(classified, staged.rejects, next_registry, worklist, counts)
 
 
 def _counts(classified: DataFrame) -> DataFrame:

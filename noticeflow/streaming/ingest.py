@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.incremental import from_classified, run_incremental
+from ..plans.incremental import run_incremental
 from ..sinks.snapshots import SnapshotTable
 
 
@@ -26,18 +26,12 @@ def ingest_batch(
     The version follows from the batch id and the state read is the one before
     it, so a batch that is run again gives the same registry.
     """
-    spark = batch.sparkSession
     before = registry.version(below=batch_id + 1)
     state = registry.read(before)
     run = run_incremental(batch, state, dim, as_of, n_days, run_ts)
-    # The classified batch is written once; updates, inserts and counts read it.
-    folder = f"{registry.root}/batches/batch={batch_id}"
-    run.classified.write.mode("overwrite").parquet(folder)
-    classified = spark.read.schema(run.classified.schema).parquet(folder)
-    done = from_classified(classified, run.rejects, state, run_ts, small=True)
-    registry.write(done.registry, version=batch_id + 1)
+    registry.write(run.registry, version=batch_id + 1)
     if reports:
-        done.counts.write.mode("overwrite").parquet(f"{reports}/batch={batch_id}")
+        run.counts.write.mode("overwrite").parquet(f"{reports}/batch={batch_id}")
         run.rejects.write.mode("overwrite").parquet(f"{reports}-rejects/batch={batch_id}")
 
 
