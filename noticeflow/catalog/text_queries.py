@@ -330,7 +330,6 @@ def entity_realign(spark, sf_dir):
     body = F.col("text")
     moved = table(spark, sf_dir, "documents").select(
         "doc_id",
-        nested.lost_entities(body, spans).alias("lost"),
         F.posexplode(nested.realign_entities(body, spans)["entities"]).alias("p", "e"),
     )
     return moved.select(

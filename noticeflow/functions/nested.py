@@ -11,25 +11,24 @@ from .text import clean_text
 def realign_entities(text: Column, entities: Column) -> Column:
     """Move entity spans from raw text onto cleaned text.
 
-    Each entity is cleaned and looked up: its first place in the cleaned text is
-    the new span, the label is always ``ORG``. An entity that is not found is
-    dropped here; ``lost_entities`` counts them.
+    Gives ``struct(text, entities, lost)``. Each entity is cleaned and looked up:
+    its first place in the cleaned text is the new span, the label is always
+    ``ORG``. Entities that are not found are dropped and counted in ``lost``.
     """
-    spans = _realigned(text, entities)
-    found = F.filter(spans, lambda e: e["start"] >= 0)
-    return F.struct(clean_text(text).alias("text"), found.alias("entities"))
 
+    def realign(cleaned: Column) -> Column:
+        spans = F.transform(entities, lambda e: _move(text, cleaned, e))
+        return F.struct(cleaned.alias("text"), spans.alias("spans"))
 
-def lost_entities(text: Column, entities: Column) -> Column:
-    return F.size(F.filter(_realigned(text, entities), lambda e: e["start"] < 0))
+    # A one-element array binds the cleaned text, so that it is computed once.
+    bound = F.get(F.transform(F.array(clean_text(text)), realign), F.lit(0))
+    return F.get(F.transform(F.array(bound), _split_found), F.lit(0))
 
 
-def _realigned(text: Column, entities: Column) -> Column:
-    cleaned = clean_text(text)
+def _move(text: Column, cleaned: Column, entity: Column) -> Column:
+    raw = F.substr(text, entity["start"] + 1, entity["end"] - entity["start"])
 
-    def move(entity: Column) -> Column:
-        raw = F.substr(text, entity["start"] + 1, entity["end"] - entity["start"])
-        word = clean_text(raw)
+    def place(word: Column) -> Column:
         start = F.position(word, cleaned) - 1
         return F.struct(
             start.alias("start"),
@@ -37,7 +36,16 @@ def _realigned(text: Column, entities: Column) -> Column:
             F.lit("ORG").alias("label"),
         )
 
-    return F.transform(entities, move)
+    return F.get(F.transform(F.array(clean_text(raw)), place), F.lit(0))
+
+
+def _split_found(bound: Column) -> Column:
+    found = F.filter(bound["spans"], lambda e: e["start"] >= 0)
+    return F.struct(
+        bound["text"].alias("text"),
+        found.alias("entities"),
+        (F.size(bound["spans"]) - F.size(found)).alias("lost"),
+    )
 
 
 def numbered_entries(key: Column, values: Column) -> Column:

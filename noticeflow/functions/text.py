@@ -30,10 +30,14 @@ FORMAT_DROPS = {
 
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 SPACE_SET = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
-SPACE = f"[{SPACE_SET}]"
+# The same class, laid out so that ASCII letters fail after two comparisons.
+_WIDE_SPACE = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE if ord(c) >= 0x80)
+SPACE = rf"[\t-\r\x1c-\x20[\x{{80}}-\x{{10ffff}}&&[{_WIDE_SPACE}]]]"
 WORD = r"[\p{L}\p{N}_]"
 # A word boundary spelled out, as Java's own \b counts marks as letters.
 BOUNDARY = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+# White space a format can leave besides single blanks.
+_FORMAT_SPACE = {"alfanumericopuntos": "[ \n]", "nombres": SPACE}
 
 
 @lru_cache(maxsize=1)
@@ -82,12 +86,14 @@ def fold_accents(text: Column) -> Column:
     takes one ``translate``. The others are composed again before each letter, so
     that a second mark on a folded vowel joins it as it should.
     """
-    letters = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in zip(ACCENTED, PLAIN)]
-    )
+
+    def drop_one(acc: Column, i: Column) -> Column:
+        accented, plain = (F.substr(F.lit(s), i, F.lit(1)) for s in (ACCENTED, PLAIN))
+        return F.replace(compose(acc), accented, plain)
+
+    positions = F.sequence(F.lit(1), F.lit(len(ACCENTED)))
     folded = F.when(
-        text.rlike(composable()),
-        F.aggregate(letters, text, lambda acc, p: F.replace(compose(acc), p["a"], p["b"])),
+        text.rlike(composable()), F.aggregate(positions, text, drop_one)
     ).otherwise(F.translate(text, ACCENTED, PLAIN))
     return strip(folded)
 
@@ -101,7 +107,7 @@ def fold_header(name: str) -> str:
 
 def clean_text(text: Column) -> Column:
     """Fold accents; keep ASCII letters, digits and white space."""
-    kept = F.regexp_replace(squeeze(fold_accents(text)), f"[^a-zA-Z0-9{SPACE_SET}]", " ")
+    kept = F.regexp_replace(squeeze(fold_accents(text)), f"[^a-zA-Z0-9](?<!{SPACE})", " ")
     return strip(squeeze(kept))
 
 
@@ -129,8 +135,11 @@ def clean_by_format(text: Column, fmt: str = "alfabetopuntos") -> Column:
     if fmt not in FORMAT_DROPS:
         raise ValueError(f"unknown format {fmt!r}; one of {sorted(FORMAT_DROPS)}")
     text = _PREPARE.get(fmt, lambda c: c)(text)
-    text = squeeze(F.regexp_replace(fold_accents(text), FORMAT_DROPS[fmt], " "))
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z|{SPACE}+(?={SPACE})", "")
+    text = strip(squeeze(F.regexp_replace(fold_accents(text), FORMAT_DROPS[fmt], " ")))
+    if fmt in _FORMAT_SPACE:
+        space = _FORMAT_SPACE[fmt]
+        text = F.regexp_replace(text, f"{space}+(?={space})", "")
+    return text
 
 
 def remove_char(text: Column, char: str = "'") -> Column:
