@@ -15,11 +15,12 @@ ISO_SECONDS = "%Y-%m-%d %H:%M:%S"
 ISO_MINUTES = "%Y-%m-%d %H:%M"
 SLASH_SECONDS = "%Y/%m/%d %H:%M:%S"
 
-# What each directive accepts; one- and two-digit fields are both fine.
+# What each directive accepts; one- and two-digit fields are both fine, and a
+# one-digit day may have a blank before it.
 _DIRECTIVES = {
     "%Y": r"(?!0000)([0-9]{4})",
     "%m": r"(1[0-2]|0[1-9]|[1-9])",
-    "%d": r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])",
+    "%d": r"(?:(3[01]|[12][0-9]|0[1-9]|[1-9])| ([1-9]))",
     "%H": r"(2[0-3]|[01][0-9]|[0-9])",
     "%M": r"([0-5][0-9]|[0-9])",
     "%S": r"([0-5][0-9]|[0-9])",
@@ -27,21 +28,21 @@ _DIRECTIVES = {
 
 
 def _pattern(fmt: str) -> str:
-    parts = re.split(r"(%[YmdHMS]| +)", fmt)
-    known = {**_DIRECTIVES}
-    body = "".join(known.get(p, r"\s+" if p.isspace() else re.escape(p)) for p in parts if p)
+    parts = [p for p in re.split(r"(%[YmdHMS]| +)", fmt) if p]
+    body = "".join(_DIRECTIVES.get(p, r"\s+" if p.isspace() else re.escape(p)) for p in parts)
     return rf"^{body}\z"
 
 
 def parse(text: Column, fmt: str) -> Column:
     """Parse by a format with year, month, day, hour, minute and maybe second.
 
-    Text that does not fit the whole format, or names no real day, is NULL.
+    Text that does not fit the whole format, or names no real day, is NULL. The
+    rewritten text holds a ``T``, which no format does, so text that comes back
+    as it was did not fit.
     """
-    pattern = _pattern(fmt)
-    iso = "$1-$2-$3 $4:$5" + (":$6" if "%S" in fmt else "")
-    plain = F.replace(F.regexp_replace(text, pattern, iso), F.lit("- "), F.lit("-"))
-    return F.when(text.rlike(pattern), plain.try_cast("timestamp_ntz"))
+    iso = "$1-$2-$3$4T$5:$6" + (":$7" if "%S" in fmt else "")
+    rewritten = F.regexp_replace(text, _pattern(fmt), iso)
+    return F.nullif(rewritten, text).try_cast("timestamp_ntz")
 
 
 def parse_either(text: Column, first: str, second: str) -> Column:

@@ -38,10 +38,12 @@ def insert_documents(index: DataFrame, rows: DataFrame) -> tuple[DataFrame, Data
 
 
 def last_update(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the last by ``order``; combined before the shuffle."""
-    values = [c for c in updates.columns if c not in keys]
-    rank = F.struct(*[F.col(c) for c in order])
-    best = F.max_by(F.struct(*values), rank).alias(_NEW)
+    """One row per key, the last by ``order``; combined before the shuffle.
+
+    The new values come in one struct, which begins with the order columns.
+    """
+    values = [c for c in updates.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*order, *values)).alias(_NEW)
     return updates.dropna(subset=keys).groupBy(*keys).agg(best)
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import CREATED, MODIFIED, parse, parse_column
+from ..functions.dates import CREATED, MODIFIED, midnight_before, parse, parse_column
 from ..functions.names import url_id
 from ..functions.text import prepare_state, remove_char
 from ..operators.lookup import map_states
@@ -16,19 +16,20 @@ from ..operators.project import (
     audit_times,
     fill_blank,
     fold_headers,
-    modified_since,
     rename_fields,
     status_constants,
     to_int,
 )
-from ..schema import CODE, ID, STAGED_FIELDS
+from ..operators.skew import write_once
+from ..schema import CODE, STAGED_FIELDS
 
 REASON = "reject_reason"
+REJECTED = "reject_value"
 
 _CREATED = "Fecha de creacion"
 _MODIFIED = "Fecha de ultima modificacion"
 _URL = "Direccion del anuncio"
-_OPEN_DATES = ["Publicacion del anuncio", "Vigencia del anuncio"]
+_DATES = [_CREATED, "Publicacion del anuncio", "Vigencia del anuncio"]
 
 
 @dataclass
@@ -39,23 +40,48 @@ class Staged:
     rejects: DataFrame
 
 
-def read_dates_and_id(raw: DataFrame) -> DataFrame:
-    """Folded headers, parsed dates, ``opportunityId`` and a reject reason."""
-    frame = fold_headers(raw)
+def _raw(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def in_window(raw: DataFrame, as_of: datetime | str, n_days: int) -> DataFrame:
+    """Notices changed in the window, with the change date parsed.
+
+    A notice whose change date cannot be read is in no window. It is kept, with a
+    NULL date, to be rejected.
+    """
+    modified = parse(_raw(_MODIFIED), MODIFIED)
+    dated = fold_headers(raw).withColumns({"_modified_text": _raw(_MODIFIED), _MODIFIED: modified})
+    late = _raw(_MODIFIED) >= midnight_before(as_of, n_days)
+    return dated.filter(late | _raw(_MODIFIED).isNull())
+
+
+def read_dates_and_id(notices: DataFrame) -> DataFrame:
+    """Parse the other dates and the id; give a reason where that fails."""
     parsed = {
-        _CREATED: parse(F.col(f"`{_CREATED}`"), CREATED),
-        _MODIFIED: parse(F.col(f"`{_MODIFIED}`"), MODIFIED),
-        **{c: parse_column(c, F.col(f"`{c}`")) for c in _OPEN_DATES},
+        _CREATED: parse(_raw(_CREATED), CREATED),
+        **{c: parse_column(c, _raw(c)) for c in _DATES if c != _CREATED},
+        "opportunityId": to_int(url_id(_raw(_URL))),
     }
-    bad_date = [
-        F.when(F.col(f"`{c}`").isNotNull() & p.isNull(), F.lit(f"date: {c}"))
-        for c, p in parsed.items()
+    texts = {f"_text_{i}": _raw(c) for i, c in enumerate(_DATES)}
+    read = notices.withColumns({**texts, **parsed})
+
+    def failure(bad: Column, reason: str, text: Column) -> Column:
+        return F.when(bad, F.struct(F.lit(reason).alias("reason"), text.alias("value")))
+
+    failures = [
+        failure(_raw(_MODIFIED).isNull(), f"date: {_MODIFIED}", F.col("_modified_text")),
+        failure(F.col("opportunityId").isNull(), "no id in address", _raw(_URL)),
     ]
-    found = to_int(url_id(F.col(f"`{_URL}`")))
-    missing = F.when(F.col(f"`{_MODIFIED}`").isNull(), F.lit(f"date: {_MODIFIED}"))
-    no_id = F.when(found.isNull(), F.lit("no id in address"))
-    reason = F.coalesce(no_id, missing, *bad_date)
-    return frame.withColumns({**parsed, "opportunityId": found, REASON: reason})
+    for i, c in enumerate(_DATES):
+        bad = F.col(f"_text_{i}").isNotNull() & _raw(c).isNull()
+        failures.append(failure(bad, f"date: {c}", F.col(f"_text_{i}")))
+    failed = F.coalesce(*failures)
+    return (
+        read.withColumn("_failed", failed)
+        .withColumns({REASON: F.col("_failed.reason"), REJECTED: F.col("_failed.value")})
+        .drop("_failed", "_modified_text", *texts)
+    )
 
 
 def stage(
@@ -68,16 +94,13 @@ def stage(
 ) -> Staged:
     """Keep notices changed in the window and bring them into registry form.
 
-    The window comes before all text work. A row whose change date cannot be read
-    is in no window; it goes to ``rejects`` with the others.
+    The window comes before all other work. What is left of the files is written
+    once: keys, rows and rejects are read from there, not from the files again.
     """
-    read = read_dates_and_id(raw)
-    rejects = read.filter(F.col(REASON).isNotNull())
-    good = modified_since(read.filter(F.col(REASON).isNull()), as_of, n_days, _MODIFIED)
-    named = rename_fields(good.drop(REASON))
+    named = rename_fields(read_dates_and_id(in_window(raw, as_of, n_days)))
     extra = [c for c in named.columns if c not in STAGED_FIELDS]
 
-    def text(name: str):
+    def text(name: str) -> Column:
         column = F.col(name).cast("string")
         return F.coalesce(column, F.lit("nan")) if compat_nan else column
 
@@ -87,9 +110,10 @@ def stage(
             CODE: text(CODE),
             "ClaveCOG": text("ClaveCOG"),
             "IdEstado": prepare_state(F.col("IdEstado")),
-            ID: F.col(ID).cast("int"),
         }
     )
     staged = audit_times(status_constants(filled), run_ts)
-    staged = fill_blank(map_states(staged, dim, compat_nan=compat_nan))
-    return Staged(staged.select(*STAGED_FIELDS, *extra), rejects)
+    mapped = map_states(staged, dim, compat_nan=compat_nan).select(*STAGED_FIELDS, *extra)
+    written = write_once(mapped, "staged").frame
+    good = written.filter(F.col(REASON).isNull()).drop(REASON, REJECTED)
+    return Staged(fill_blank(good), written.filter(F.col(REASON).isNotNull()))
