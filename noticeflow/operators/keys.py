@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import moment
 from ..schema import CODE, DOCUMENT_KIND, ID, KEYS
 from .project import contains_both, undocumented
-from .skew import Written, key_values, keyed_join, write_once
+from .skew import Sized, key_values, keyed_join, write_once
 
 LABEL = "label"
 DOCUMENT = "document"
@@ -30,11 +30,11 @@ NEW, EXISTING, CONFLICT = "new", "existing", "conflict"
 WITHOUT, WITH, MIXED = "without_document", "with_document", "mixed"
 
 
-def _key_table(df: DataFrame, keys: list[str] = KEYS) -> Written:
+def _key_table(df: DataFrame, keys: list[str] = KEYS) -> Sized:
     return write_once(df.select(*keys).distinct(), "keys")
 
 
-def _by_each_key(left: DataFrame, table: Written, how: str, keys: list[str] = KEYS) -> DataFrame:
+def _by_each_key(left: DataFrame, table: Sized, how: str, keys: list[str] = KEYS) -> DataFrame:
     for key in keys:
         others = [c for c in left.columns if c != key] or [key]
         left = keyed_join(left, key_values(table, key), [key], how, others)
@@ -83,16 +83,16 @@ def _three_way(first: Column, second: Column, both: str, none: str, one: str) ->
     )
 
 
-def _flag(pairs: DataFrame, table: Written, prefix: str) -> DataFrame:
+def _flag(pairs: DataFrame, table: Sized, prefix: str) -> DataFrame:
     """Add ``prefix + key`` per key: TRUE where its value occurs in the table."""
     for key in KEYS:
         values = key_values(table, key).frame.withColumn(prefix + key, F.lit(True))
         others = [c for c in KEYS if c != key]
-        pairs = keyed_join(pairs, Written(values, bound=table.rows), [key], "left", others)
+        pairs = keyed_join(pairs, Sized(values, bound=table.rows), [key], "left", others)
     return pairs
 
 
-def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent") -> Written:
+def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent") -> Sized:
     """Distinct key pairs of a batch with ``label`` and ``document``.
 
     ``document`` says, for existing pairs, whether the registry still waits for
@@ -104,14 +104,14 @@ def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent
     waiting = F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
     known = registry.select(*KEYS, waiting.alias("_waiting"))
     label_rows = _label_tuples if match == "tuple" else _label_each_key
-    return write_once(label_rows(pairs, known), "labels")
+    return Sized(label_rows(pairs, known), bound=pairs.rows)
 
 
-def _label_each_key(pairs: Written, known: DataFrame) -> DataFrame:
-    candidates = write_once(_by_each_key(known, pairs, "left_semi"), "candidates").frame
-    hits = _key_table(candidates)
-    existing = write_once(_by_each_key(pairs.frame, hits, "left_semi"), "existing")
-    open_rows = _key_table(_by_each_key(candidates.filter("_waiting"), existing, "left_semi"))
+def _label_each_key(pairs: Sized, known: DataFrame) -> DataFrame:
+    candidates = write_once(_by_each_key(known, pairs, "left_semi"), "candidates")
+    existing = write_once(_by_each_key(pairs.frame, candidates, "left_semi"), "existing")
+    waiting = candidates.frame.filter("_waiting")
+    open_rows = _key_table(_by_each_key(waiting, existing, "left_semi"))
     flagged = _flag(_flag(pairs.frame, existing, "_known_"), open_rows, "_open_")
     label = _three_way(
         F.col(f"_known_{ID}"), F.col(f"_known_{CODE}"), EXISTING, NEW, CONFLICT
@@ -122,7 +122,7 @@ def _label_each_key(pairs: Written, known: DataFrame) -> DataFrame:
     )
 
 
-def _label_tuples(pairs: Written, known: DataFrame) -> DataFrame:
+def _label_tuples(pairs: Sized, known: DataFrame) -> DataFrame:
     hits = keyed_join(known, pairs, KEYS, "left_semi")
     found = write_once(hits.groupBy(*KEYS).agg(F.max("_waiting").alias("_waiting")), "hits")
     document = F.when(F.col("_waiting"), WITHOUT).when(~F.col("_waiting"), WITH)

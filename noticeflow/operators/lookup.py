@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import zero_pad
-from .skew import keyed_join, write_once
+from .skew import Sized, keyed_join
 
 
 def state_dimension(dim: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def map_states(
     lookup = unique_lookup(state_dimension(dim), "Estado", "IdEstado").select(
         F.col("Estado").alias(column), F.col("IdEstado").alias("_state_id")
     )
-    joined = keyed_join(df, write_once(lookup, "states"), [column])
+    joined = keyed_join(df, Sized(lookup), [column])
     found = zero_pad(F.col("_state_id"))
     if compat_nan:
         found = F.coalesce(found, F.lit("nan"))

@@ -1,7 +1,7 @@
 """Joins to a side that is unique in its key, safe against size and skew.
 
-The right side is first written as a narrow table in the shared folder. Its row
-count then decides, from the file footers, between two ways:
+The right side is a table written to the shared folder, or one with a known bound.
+Its row count, for files taken from the footers, decides between two ways:
 
 * at most ``broadcast_rows``: broadcast it; the left side is not shuffled;
 * beyond that: shuffle both sides, with hot keys split.
@@ -35,8 +35,8 @@ def _setting(df: DataFrame, name: str, default: int) -> int:
 
 
 @dataclass
-class Written:
-    """A DataFrame that stands written in the shared folder."""
+class Sized:
+    """A side whose rows can be counted cheaply: written, tiny, or of known bound."""
 
     frame: DataFrame
     bound: int | None = None
@@ -51,7 +51,7 @@ class Written:
         return self.rows <= _setting(self.frame, "broadcastRows", BROADCAST_ROWS)
 
 
-def write_once(df: DataFrame, name: str = "step") -> Written:
+def write_once(df: DataFrame, name: str = "step") -> Sized:
     """Write an intermediate result and go on from the files.
 
     Used where several plans need the same rows: they are computed once, later
@@ -59,7 +59,7 @@ def write_once(df: DataFrame, name: str = "step") -> Written:
     """
     folder = shared_dir(df.sparkSession, name)
     df.write.parquet(folder)
-    return Written(df.sparkSession.read.schema(df.schema).parquet(folder))
+    return Sized(df.sparkSession.read.schema(df.schema).parquet(folder))
 
 
 def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
@@ -108,12 +108,12 @@ def spread_join(
 
 def keyed_join(
     left: DataFrame,
-    right: Written,
+    right: Sized,
     on: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Broadcast the written right side when its count allows, else spread."""
+    """Broadcast the right side when its count allows, else spread."""
     if right.is_small:
         return left.join(F.broadcast(right.frame), on, how).select(
             *left.columns,
@@ -122,6 +122,6 @@ def keyed_join(
     return spread_join(left, right.frame, on, how, spread_by)
 
 
-def key_values(table: Written, key: str) -> Written:
+def key_values(table: Sized, key: str) -> Sized:
     """Distinct values of one key column; never more than the table has rows."""
-    return Written(table.frame.select(key).distinct(), bound=table.rows)
+    return Sized(table.frame.select(key).distinct(), bound=table.rows)

@@ -25,6 +25,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "notice
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
