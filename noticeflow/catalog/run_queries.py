@@ -48,8 +48,6 @@ def _changed(new: str, old: str) -> str:
     for field in REGISTRY_FIELDS:
         if field == "FechaModificacionReg":
             value = _RUN
-        elif field == "IdEstado":
-            value = f"CASE WHEN length({new}.IdEstado) < 2 THEN lpad({new}.IdEstado, 2, '0') ELSE {new}.IdEstado END"
         elif field in UPDATE_FIELDS:
             value = f"{new}.{field}"
         else:

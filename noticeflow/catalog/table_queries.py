@@ -196,7 +196,7 @@ def update_status(spark, sf_dir):
 
 _CHANGED = ", ".join(
     f"CASE WHEN s.Codigo IS NOT NULL THEN "
-    + ("lpad(s.IdEstado, 2, '0')" if f == "IdEstado" else f"s.{f}")
+    + f"s.{f}"
     + f" ELSE r.{f} END AS {f}"
     for f in UPDATE_FIELDS
 )

@@ -98,10 +98,14 @@ def update_changed(
     order: list[str] | None = None,
     run_ts: datetime | str | None = None,
 ) -> DataFrame:
-    """Copy the notice fields of changed rows; document fields stay as they are."""
+    """Copy the notice fields of changed rows; document fields stay as they are.
+
+    State ids have two digits; a missing state stays blank.
+    """
     fields = [c for c in UPDATE_FIELDS if c in staged.columns and c in table.columns]
     if "IdEstado" in fields:
-        staged = staged.withColumn("IdEstado", zero_pad(F.col("IdEstado")))
+        state = F.col("IdEstado")
+        staged = staged.withColumn("IdEstado", F.when(state != "", zero_pad(state)).otherwise(state))
     return update_columns(table, staged, fields, order=order, run_ts=run_ts)
 
 

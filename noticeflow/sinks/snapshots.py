@@ -34,9 +34,12 @@ class SnapshotTable:
             commits = commits.filter(F.col("version") < below)
         return commits.agg(F.max("version")).first()[0]
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """A version, by default the current one; empty before the first write."""
-        version = self.version() if version is None else version
+    def read(self) -> DataFrame:
+        """The current version; empty before the first write."""
+        return self.read_version(self.version())
+
+    def read_version(self, version: int | None) -> DataFrame:
+        """One version; None stands for the state before the first write."""
         if version is None:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._folder(version))

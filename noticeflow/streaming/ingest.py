@@ -26,8 +26,7 @@ def ingest_batch(
     The version follows from the batch id and the state read is the one before
     it, so a batch that is run again gives the same registry.
     """
-    before = registry.version(below=batch_id + 1)
-    state = registry.read(before)
+    state = registry.read_version(registry.version(below=batch_id + 1))
     run = run_incremental(batch, state, dim, as_of, n_days, run_ts)
     registry.write(run.registry, version=batch_id + 1)
     if reports:
