@@ -88,7 +88,7 @@ def _flag(pairs: DataFrame, table: Sized, prefix: str) -> DataFrame:
     for key in KEYS:
         values = key_values(table, key).frame.withColumn(prefix + key, F.lit(True))
         others = [c for c in KEYS if c != key]
-        pairs = keyed_join(pairs, Sized(values, bound=table.rows), [key], "left", others)
+        pairs = keyed_join(pairs, Sized(values, within=table), [key], "left", others)
     return pairs
 
 
@@ -104,7 +104,7 @@ def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent
     waiting = F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
     known = registry.select(*KEYS, waiting.alias("_waiting"))
     label_rows = _label_tuples if match == "tuple" else _label_each_key
-    return Sized(label_rows(pairs, known), bound=pairs.rows)
+    return Sized(label_rows(pairs, known), within=pairs)
 
 
 def _label_each_key(pairs: Sized, known: DataFrame) -> DataFrame:

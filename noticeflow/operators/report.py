@@ -36,11 +36,10 @@ def bucket_items(entries: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
 
 def bucket_counts(entries: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
     """Length of every bucket, buckets nothing went into included."""
-    counted = entries.groupBy(by, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    every = counted.select(by).distinct().withColumn(
-        "bucket", F.explode(F.array(*[F.lit(b) for b in FILE_BUCKETS]))
+    lengths = entries.groupBy(by).agg(
+        *[_count_if(F.col("bucket") == bucket, bucket) for bucket in FILE_BUCKETS]
     )
-    return every.join(counted, [by, "bucket"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return long_report(lengths, by).withColumnsRenamed({"metric": "bucket", "value": "n"})
 
 
 def long_report(counts: DataFrame, by: str = SOURCE_FILE) -> DataFrame:

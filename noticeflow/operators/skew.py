@@ -1,9 +1,9 @@
 """Joins to a side that is unique in its key, safe against size and skew.
 
-The right side is a table written to the shared folder, or one with a known bound.
-Its row count, for files taken from the footers, decides between two ways:
+The right side is a table written to the shared folder, or a tiny one. Its row count,
+for files taken from the footers, and the bytes of few rows decide between two ways:
 
-* at most ``broadcast_rows``: broadcast it; the left side is not shuffled;
+* within both limits: broadcast it; the left side is not shuffled;
 * beyond that: shuffle both sides, with hot keys split.
 
 A key is *hot* when more than ``hot_rows`` rows of the left side carry it. There
@@ -26,6 +26,7 @@ from ..session import shared_dir
 HOT_ROWS = 1_000_000
 HOT_WAYS = 256
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _HOT, _SALT = "_hot", "_salt"
 
@@ -36,19 +37,24 @@ def _setting(df: DataFrame, name: str, default: int) -> int:
 
 @dataclass
 class Sized:
-    """A side whose rows can be counted cheaply: written, tiny, or of known bound."""
+    """A side whose size is cheap to learn: written, tiny, or part of such a one."""
 
     frame: DataFrame
-    bound: int | None = None
+    within: Sized | None = None
 
     @cached_property
-    def rows(self) -> int:
-        """Number of rows, or the known upper bound."""
-        return self.frame.count() if self.bound is None else self.bound
-
-    @property
     def is_small(self) -> bool:
-        return self.rows <= _setting(self.frame, "broadcastRows", BROADCAST_ROWS)
+        """Whether the side may be broadcast, by its rows and then by their bytes.
+
+        The bytes are only summed up when the rows are few.
+        """
+        if self.within is not None:
+            return self.within.is_small
+        if self.frame.count() > _setting(self.frame, "broadcastRows", BROADCAST_ROWS):
+            return False
+        text = F.octet_length(F.to_json(F.struct(*self.frame.columns)))
+        size = self.frame.agg(F.sum(text)).first()[0] or 0
+        return size <= _setting(self.frame, "broadcastBytes", BROADCAST_BYTES)
 
 
 def write_once(df: DataFrame, name: str = "step") -> Sized:
@@ -123,5 +129,5 @@ def keyed_join(
 
 
 def key_values(table: Sized, key: str) -> Sized:
-    """Distinct values of one key column; never more than the table has rows."""
-    return Sized(table.frame.select(key).distinct(), bound=table.rows)
+    """Distinct values of one key column; never more than the table holds."""
+    return Sized(table.frame.select(key).distinct(), within=table)

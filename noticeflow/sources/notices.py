@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from ..schema import RAW_SCHEMA, ROW_SEQ, SOURCE_FILE
 
 
-def read_notices(spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA) -> DataFrame:
+def read_notices(
+    spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """Notices with their file and a number that orders the rows within it.
 
-    No type is inferred. Only paths that contain ``.csv`` are notice files.
+    No type is inferred. Only paths that contain ``.csv`` are notice files. With
+    ``multi_line`` a quoted value may hold line breaks, and a file is one task;
+    without it large files are split.
     """
     paths = [path] if isinstance(path, str) else list(path)
     unknown = [p for p in paths if ".csv" not in p]
@@ -20,7 +24,7 @@ def read_notices(spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA)
     frame = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(paths)
     )

@@ -41,12 +41,15 @@ def test_only_needed_columns_are_read(spark):
 def test_size_decides_between_broadcast_and_shuffle(spark):
     left = inputs.staged(spark, SMALL)
     right = left.select("Codigo").distinct()
-    small = plan(keyed_join(left, Sized(right, bound=10), ["Codigo"], "left_semi"))
+    small = plan(keyed_join(left, Sized(right), ["Codigo"], "left_semi"))
     assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    large = plan(keyed_join(left, Sized(right, bound=10**9), ["Codigo"], "left_semi"))
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in large or "ShuffledHashJoin" in large
+    for limit in ("Rows", "Bytes"):
+        spark.conf.set(f"spark.noticeflow.broadcast{limit}", "100")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = plan(keyed_join(left, Sized(right), ["Codigo"], "left_semi"))
+        spark.conf.unset(f"spark.noticeflow.broadcast{limit}")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "SortMergeJoin" in large or "ShuffledHashJoin" in large
 
 
 def test_updates_combine_before_the_shuffle(spark):
