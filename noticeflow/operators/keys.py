@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import moment
 from ..schema import CODE, DOCUMENT_KIND, ID, KEYS
 from .project import contains_both, undocumented
-from .skew import Sized, key_values, keyed_join, write_once
+from .skew import Hot, Sized, key_values, keyed_join, write_once
 
 LABEL = "label"
 DOCUMENT = "document"
@@ -34,10 +34,21 @@ def _key_table(df: DataFrame, keys: list[str] = KEYS) -> Sized:
     return write_once(df.select(*keys).distinct(), "keys")
 
 
-def _by_each_key(left: DataFrame, table: Sized, how: str, keys: list[str] = KEYS) -> DataFrame:
+def _hot_by_key(df: DataFrame, keys: list[str] = KEYS) -> dict[str, Hot]:
+    return {key: Hot(df, [key]) for key in keys}
+
+
+def _by_each_key(
+    left: DataFrame,
+    table: Sized,
+    how: str,
+    keys: list[str] = KEYS,
+    hot: dict[str, Hot] | None = None,
+) -> DataFrame:
+    hot = hot or _hot_by_key(left, keys)
     for key in keys:
         others = [c for c in left.columns if c != key] or [key]
-        left = keyed_join(left, key_values(table, key), [key], how, others)
+        left = keyed_join(left, key_values(table, key), [key], how, others, hot[key])
     return left
 
 
@@ -83,36 +94,38 @@ def _three_way(first: Column, second: Column, both: str, none: str, one: str) ->
     )
 
 
-def _flag(pairs: DataFrame, table: Sized, prefix: str) -> DataFrame:
+def _flag(pairs: DataFrame, table: Sized, prefix: str, hot: dict[str, Hot]) -> DataFrame:
     """Add ``prefix + key`` per key: TRUE where its value occurs in the table."""
     for key in KEYS:
         values = key_values(table, key).frame.withColumn(prefix + key, F.lit(True))
         others = [c for c in KEYS if c != key]
-        pairs = keyed_join(pairs, Sized(values, within=table), [key], "left", others)
+        pairs = keyed_join(pairs, Sized(values, within=table), [key], "left", others, hot[key])
     return pairs
 
 
-def label_pairs(batch: DataFrame, registry: DataFrame, match: str = "independent") -> Sized:
+def label_pairs(pairs: Sized, registry: DataFrame, match: str = "independent") -> DataFrame:
     """Distinct key pairs of a batch with ``label`` and ``document``.
 
     ``document`` says, for existing pairs, whether the registry still waits for
     their document; it is NULL for the others.
     """
-    if match not in ("independent", "tuple"):
-        raise ValueError(f"unknown match {match!r}")
-    pairs = write_once(batch.select(*KEYS).dropna().distinct(), "pairs")
     waiting = F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
     known = registry.select(*KEYS, waiting.alias("_waiting"))
-    label_rows = _label_tuples if match == "tuple" else _label_each_key
-    return Sized(label_rows(pairs, known), within=pairs)
+    if match == "tuple":
+        return _label_tuples(pairs, known)
+    if match == "independent":
+        return _label_each_key(pairs, known)
+    raise ValueError(f"unknown match {match!r}")
 
 
 def _label_each_key(pairs: Sized, known: DataFrame) -> DataFrame:
-    candidates = write_once(_by_each_key(known, pairs, "left_semi"), "candidates")
-    existing = write_once(_by_each_key(pairs.frame, candidates, "left_semi"), "existing")
+    hot, known_hot = _hot_by_key(pairs.frame), _hot_by_key(known)
+    candidates = write_once(_by_each_key(known, pairs, "left_semi", hot=known_hot), "candidates")
+    existing = write_once(_by_each_key(pairs.frame, candidates, "left_semi", hot=hot), "existing")
     waiting = candidates.frame.filter("_waiting")
-    open_rows = _key_table(_by_each_key(waiting, existing, "left_semi"))
-    flagged = _flag(_flag(pairs.frame, existing, "_known_"), open_rows, "_open_")
+    open_rows = _key_table(_by_each_key(waiting, existing, "left_semi", hot=known_hot))
+    flagged = _flag(pairs.frame, existing, "_known_", hot)
+    flagged = _flag(flagged, open_rows, "_open_", hot)
     label = _three_way(
         F.col(f"_known_{ID}"), F.col(f"_known_{CODE}"), EXISTING, NEW, CONFLICT
     )
@@ -139,9 +152,15 @@ def classify(
 ) -> DataFrame:
     """The batch with ``label`` and ``document``; every row is kept.
 
-    A row with a NULL key belongs to no pair and counts as new.
+    A row with a NULL key belongs to no pair and counts as new. The pairs are
+    written with their row counts, which also show the hot ones.
     """
-    joined = keyed_join(batch, label_pairs(batch, registry, match), KEYS, "left", spread_by)
+    counts = batch.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    counted = write_once(counts, "pairs")
+    pairs = Sized(counted.frame.select(*KEYS).dropna(), within=counted)
+    labels = Sized(label_pairs(pairs, registry, match), within=counted)
+    hot = Hot(batch, KEYS, counted.frame)
+    joined = keyed_join(batch, labels, KEYS, "left", spread_by, hot)
     return joined.withColumn(LABEL, F.coalesce(LABEL, F.lit(NEW)))
 
 

@@ -8,9 +8,10 @@ for files taken from the footers, and the bytes of few rows decide between two w
 
 A key is *hot* when more than ``hot_rows`` rows of the left side carry it. There
 can be at most ``rows / hot_rows`` such keys, so the list of hot keys is small by
-construction and is broadcast. Rows of a hot key are spread over ``ways`` tasks by
-a hash of the columns that tell them apart; the one matching row of the right side
-is copied to each of these tasks. All other keys take an ordinary shuffle.
+construction and is broadcast. Rows of a hot key, and rows without a key, are spread
+over ``ways`` tasks by a hash of the columns that tell them apart; the one matching
+row of the right side is copied to each of these tasks. All other keys take an
+ordinary shuffle.
 """
 
 from __future__ import annotations
@@ -68,48 +69,76 @@ def write_once(df: DataFrame, name: str = "step") -> Sized:
     return Sized(df.sparkSession.read.schema(df.schema).parquet(folder))
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys with more rows than allowed; counts combine before the shuffle."""
-    limit = _setting(df, "hotRows", HOT_ROWS)
-    counts = df.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > limit).select(*on)
+def hot_limit(df: DataFrame) -> int:
+    """Rows of one key above which the key is hot."""
+    return _setting(df, "hotRows", HOT_ROWS)
+
+
+class Hot:
+    """The hot keys of a DataFrame, looked for only when a join asks.
+
+    ``counted`` gives counts that are already there, as ``on`` columns and ``_n``.
+    A list made for a DataFrame also serves for any part of it.
+    """
+
+    def __init__(self, df: DataFrame, on: list[str], counted: DataFrame | None = None):
+        self.df, self.on, self.counted = df, on, counted
+
+    @cached_property
+    def keys(self) -> DataFrame | None:
+        """The hot keys, written once; None when there are none.
+
+        Counts combine before the shuffle. NULL counts as a key here: many rows
+        without a key are as hot as many rows with one.
+        """
+        counts = self.counted
+        if counts is None:
+            counts = self.df.groupBy(*self.on).agg(F.count(F.lit(1)).alias("_n"))
+        found = counts.filter(F.col("_n") > hot_limit(self.df)).select(*self.on)
+        written = write_once(found, "hot").frame
+        return None if written.isEmpty() else written
 
 
 def _any_null(on: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
 
 
+def _with_added(left: DataFrame, right: DataFrame, on: list[str], how: str) -> list[str]:
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]
+    return [*left.columns, *added]
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
+    hot: Hot | None = None,
     ways: int = HOT_WAYS,
 ) -> DataFrame:
     """Shuffle join to a right side that is unique in ``on``, hot keys split.
 
     ``how`` is ``left``, ``left_semi`` or ``left_anti``; NULL keys match nothing.
     ``spread_by`` names columns that differ between rows of one key (all columns
-    by default).
+    by default). Without hot keys this is a plain join.
     """
-    hot = hot_keys(left, on).withColumn(_HOT, F.lit(True))
+    columns = _with_added(left, right, on, how)
+    hot_list = (hot or Hot(left, on)).keys
+    if hot_list is None:
+        return left.join(right, on, how).select(*columns)
+    marked = F.broadcast(hot_list.withColumn(_HOT, F.lit(True)))
     spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(ways)).cast("int")
     salted = (
-        left.join(F.broadcast(hot), on, "left")
+        left.join(marked, on, "left")
         .withColumn(_SALT, F.when(F.col(_HOT) | _any_null(on), spread).otherwise(0))
         .drop(_HOT)
     )
     copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(
         F.array(F.lit(0))
     )
-    copied = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn(_SALT, F.explode(copies))
-        .drop(_HOT)
-    )
-    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]
-    return salted.join(copied, [*on, _SALT], how).select(*left.columns, *added)
+    copied = right.join(marked, on, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
+    return salted.join(copied, [*on, _SALT], how).select(*columns)
 
 
 def keyed_join(
@@ -118,14 +147,13 @@ def keyed_join(
     on: list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """Broadcast the right side when its count allows, else spread."""
+    """Broadcast the right side when its size allows, else spread."""
     if right.is_small:
-        return left.join(F.broadcast(right.frame), on, how).select(
-            *left.columns,
-            *([] if how != "left" else [c for c in right.frame.columns if c not in on]),
-        )
-    return spread_join(left, right.frame, on, how, spread_by)
+        columns = _with_added(left, right.frame, on, how)
+        return left.join(F.broadcast(right.frame), on, how).select(*columns)
+    return spread_join(left, right.frame, on, how, spread_by, hot)
 
 
 def key_values(table: Sized, key: str) -> Sized:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeflow.operators import keys, lookup, match_files
 from noticeflow.operators.project import contains_both, undocumented, union_distinct
-from noticeflow.operators.skew import hot_keys, spread_join
+from noticeflow.operators.skew import Hot, spread_join
 
 BATCH = "OpportunityId int, Codigo string, note int"
 REGISTRY = (
@@ -150,8 +150,10 @@ def test_hot_keys_are_split_and_results_whole(spark, join_path):
     left = spark.createDataFrame(rows, BATCH)
     right = spark.createDataFrame([(7, "seven"), (3, "three")], "OpportunityId int, v string")
     if join_path == "spread":
-        assert [t[0] for t in hot_keys(left, ["OpportunityId"]).collect()] == [7]
-    joined = spread_join(left, right, ["OpportunityId"], "left", ["Codigo"], ways=16)
+        assert [t[0] for t in Hot(left, ["OpportunityId"]).keys.collect()] == [7]
+    else:
+        assert Hot(left, ["OpportunityId"]).keys is None
+    joined = spread_join(left, right, ["OpportunityId"], "left", ["Codigo"])
     assert joined.count() == 220
     assert joined.filter("v = 'seven'").count() == 201
     if join_path == "spread":
@@ -164,6 +166,18 @@ def test_hot_keys_are_split_and_results_whole(spark, join_path):
         assert len(used) > 1
 
 
+def test_rows_without_a_key_are_spread(spark, join_path):
+    left = spark.createDataFrame([(None, "x", i) for i in range(50)] + [(1, "x", 99)], BATCH)
+    right = spark.createDataFrame([(1, "one")], "OpportunityId int, v string")
+    assert spread_join(left, right, ["OpportunityId"], "left_anti").count() == 50
+    if join_path == "spread":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        kept = spread_join(left, right, ["OpportunityId"], "left_anti")
+        used = kept.select(F.spark_partition_id()).distinct().count()
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert used > 1
+
+
 def test_undocumented_and_union(spark):
     rows = [(1, "a", 0, "", "", None), (2, "b", 0, None, "", None), (3, "c", None, "", "", None)]
     r = spark.createDataFrame(rows, REGISTRY)

@@ -4,7 +4,7 @@ import pytest
 from conftest import SMALL
 
 from noticeflow.catalog import QUERIES, inputs
-from noticeflow.operators.skew import Sized, keyed_join, spread_join
+from noticeflow.operators.skew import Sized, keyed_join
 
 
 def plan(frame):
@@ -53,6 +53,8 @@ def test_size_decides_between_broadcast_and_shuffle(spark):
 
 
 def test_updates_combine_before_the_shuffle(spark):
-    right = inputs.registry(spark, SMALL).select("Codigo", "UrlActaDL")
-    text = plan(spread_join(inputs.staged(spark, SMALL), right, ["Codigo"]))
-    assert "partial_count" in text
+    from noticeflow.operators.updates import last_update
+
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    text = plan(last_update(lines, ["l_orderkey"], ["l_linenumber"]))
+    assert "partial_max" in text and text.count("Exchange") <= 4
