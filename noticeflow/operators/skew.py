@@ -9,9 +9,9 @@ for files taken from the footers, and the bytes of few rows decide between two w
 A key is *hot* when more than ``hot_rows`` rows of the left side carry it. There
 can be at most ``rows / hot_rows`` such keys, so the list of hot keys is small by
 construction and is broadcast. Rows of a hot key, and rows without a key, are spread
-over ``ways`` tasks by a hash of the columns that tell them apart; the one matching
-row of the right side is copied to each of these tasks. All other keys take an
-ordinary shuffle.
+over ``ways`` tasks by a hash of the partition they come from and of the columns that
+tell them apart; the one matching row of the right side is copied to each of these
+tasks. All other keys take an ordinary shuffle.
 """
 
 from __future__ import annotations
@@ -128,7 +128,9 @@ def spread_join(
     if hot_list is None:
         return left.join(right, on, how).select(*columns)
     marked = F.broadcast(hot_list.withColumn(_HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(ways)).cast("int")
+    # The partition a row comes from tells copies apart, and is the same on a retry.
+    told_apart = F.xxhash64(F.spark_partition_id(), *(spread_by or left.columns))
+    spread = F.pmod(told_apart, F.lit(ways)).cast("int")
     salted = (
         left.join(marked, on, "left")
         .withColumn(_SALT, F.when(F.col(_HOT) | _any_null(on), spread).otherwise(0))

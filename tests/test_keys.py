@@ -166,6 +166,18 @@ def test_hot_keys_are_split_and_results_whole(spark, join_path):
         assert len(used) > 1
 
 
+def test_copies_are_spread(spark, join_path):
+    left = spark.createDataFrame([(7, "same", 1)] * 400, BATCH).repartition(8)
+    right = spark.createDataFrame([(7, "seven")], "OpportunityId int, v string")
+    joined = spread_join(left, right, ["OpportunityId"])
+    assert joined.count() == 400
+    if join_path == "spread":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        used = spread_join(left, right, ["OpportunityId"]).select(F.spark_partition_id())
+        assert used.distinct().count() > 1
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_rows_without_a_key_are_spread(spark, join_path):
     left = spark.createDataFrame([(None, "x", i) for i in range(50)] + [(1, "x", 99)], BATCH)
     right = spark.createDataFrame([(1, "one")], "OpportunityId int, v string")
