@@ -1,11 +1,11 @@
-"""Session settings and the shared folder for cut lineage."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings a long job wants. All are ordinary Spark options.
 CLUSTER_CONF = {
@@ -34,13 +34,36 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "notice
     return session
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The folder named by ``spark.checkpoint.dir`` is seen by every executor. Only
-    where it is unset, as on one machine, a local temporary folder is used.
+    That is ``spark.checkpoint.dir``, else the folder given to
+    ``SparkContext.setCheckpointDir``. Only a session on one machine may do without
+    and gets a temporary folder; on a cluster that would be a folder per machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="noticeflow-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; master is {master}")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="noticeflow-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """The path of a fresh folder below the shared one."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write a DataFrame to the shared folder and read it back.
+
+    Lineage ends there: plans that follow start from files every executor can read,
+    and what a lost executor held is computed from them.
+    """
+    folder = shared_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
