@@ -58,12 +58,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """Write a DataFrame to the shared folder and read it back.
 
     Lineage ends there: plans that follow start from files every executor can read,
-    and what a lost executor held is computed from them.
+    and what a lost executor held is computed from them. The shuffle files of the write
+    serve nothing after it and are given back when it ends.
     """
-    folder = shared_dir(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_dir(spark, name)
+    before = spark.conf.get(_FREE, "false")
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(folder)
