@@ -1,7 +1,11 @@
 """Operators of a training-data pipeline; nothing else in the package imports them."""
 
 from . import (  # noqa: F401
+    language,
+    mixing,
     packing,
+    simhash,
+    substrings,
     token_files,
 )
 from .registry import ORACLES, QUERIES
