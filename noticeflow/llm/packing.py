@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import mixed, spans, table, text_chunks, texts
+from .common import mixed, spans, table, text_chunks
 from .registry import query
 from .tokens import encoder
 
@@ -91,7 +91,7 @@ def _tokenize(path: str, cut: str, end_id: int, width: int):
         encode = encoder(path, cut).encode
         row = TaskContext.get().partitionId() << 33
         for batch in text_chunks(batches):
-            ids, lengths = encode(texts(batch))
+            ids, lengths = encode(batch.column("text"))
             ids = np.insert(ids, np.cumsum(lengths), end_id)
             lengths = lengths + 1
             cuts = np.concatenate([[0], np.cumsum(lengths)]) * kind.itemsize

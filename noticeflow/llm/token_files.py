@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import table, text_chunks, texts
+from .common import table, text_chunks
 from .registry import query
 from .tokens import encoder
 
@@ -55,7 +55,7 @@ def _write_shard(folder: str, path: str, cut: str, end_id: int, width: int):
         for batch in text_chunks(batches):
             if out is None:
                 out = store.open_output_stream(f"{root}/{shard}.bin")
-            ids, lengths = encode(texts(batch))
+            ids, lengths = encode(batch.column("text"))
             ends = np.cumsum(lengths)
             out.write(np.insert(ids, ends, end_id).astype(kind).tobytes())
             sizes.append(lengths + 1)

@@ -2,16 +2,16 @@
 
 A text is cut at places where no token can cross, each distinct piece is encoded once by
 the ``tokenizers`` library and remembered, and the ids of a text are the ids of its
-pieces in order. The memory is bounded: a full one is emptied, which costs time and
-changes nothing.
+pieces in order. The memory is bounded: a full one drops the pieces that did not come
+again, which costs time and changes nothing.
 
 * ``words``: pieces are runs of anything but ASCII white space. For tokenizers that drop
   white space.
 * ``spaced``: a piece is a run of white space and what follows up to the next ASCII white
   space. For byte-level tokenizers whose tokens carry the blank before a word.
 
-A piece of plain letters, perhaps with a stop or comma behind, is one or two pre-tokens
-under both patterns; it goes straight to the library's BPE model. All other pieces take
+A piece of plain letters, perhaps with a line feed before or a stop or comma behind, is cut
+alike by both patterns; its parts go straight to the library's BPE model. All other pieces take
 the library's whole path.
 """
 
@@ -21,15 +21,19 @@ import re
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # A cut is made only before ASCII white space that follows something no tokenizer takes
 # for white space; other blanks stay inside their piece.
+_CUT = r"([^\s\x0b\p{Z}\x1c-\x1f\x{85}\x{180e}\x{200b}\x{feff}])([ \t-\r])"
+_MARK = "\0"
 _SPACED = re.compile(r"\s*\S+(?:[^\S\x20\x09-\x0D]\s*\S*)*|\s+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf"( ?[{_LETTERS}]+)([.,]?)")
-_PLAIN_WORD = re.compile(rf"([{_LETTERS}]+)([.,]?)")
-REMEMBERED = 400_000
+_PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)([.,]?)")
+_PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)([.,]?)")
+REMEMBERED = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -43,10 +47,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_BLANK = _BYTE_LETTERS[32]
 
 
 class PieceEncoder:
-    """Encodes lists of texts, as UTF-8, to flat ids and a length per text."""
+    """Encodes Arrow arrays of texts to flat ids and a length per text."""
 
     def __init__(self, path: str, cut: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,65 +59,97 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.words = cut == "words"
         self.remembered = remembered
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
-        self.index: dict[str | bytes, int] = {}
+    def _start(self) -> None:
+        self.index: dict[str, int] = {}
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
+        self.hits = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _cut(self, text: bytes) -> list:
-        return text.split() if self.words else _SPACED.findall(text.decode())
+    def _shrink(self) -> None:
+        """Keep the pieces that came again, if these are at most half."""
+        again = np.flatnonzero(self.hits > 1)
+        if 2 * len(again) > self.remembered:
+            self._start()
+            return
+        pieces = list(self.index)
+        self.flat = self.flat[_places(self.starts[again], self.lengths[again])]
+        self.lengths = self.lengths[again]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.hits = np.zeros(len(again), np.int64)
+        self.index = {pieces[i]: n for n, i in enumerate(again.tolist())}
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """How many pieces each text has, and all pieces."""
+        if self.words:
+            lists = pc.ascii_split_whitespace(texts)
+        elif pc.any(pc.match_substring(texts, _MARK)).as_py():
+            lists = pa.array([_SPACED.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            marked = pc.replace_substring_regex(texts, _CUT, rf"\1{_MARK}\2")
+            lists = pc.split_pattern(marked, _MARK)
+        pieces = lists.flatten()
+        filled = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy() > 0)])
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        counts = np.diff(filled[np.concatenate([[0], ends])])
+        return counts, pieces.filter(pc.not_equal(pieces, ""))
 
     def _plain(self, piece: str) -> list[int] | None:
+        if self.words:
+            if piece.isascii() and piece.isalpha():
+                return [t.id for t in self.model.tokenize(piece.lower())]
+        elif piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+            return [t.id for t in self.model.tokenize(_BLANK + piece[1:])]
         found = (_PLAIN_WORD if self.words else _PLAIN).fullmatch(piece)
         if found is None:
             return None
-        stem, stop = found.groups()
+        feed, stem, stop = found.groups()
         stem = (stem.lower() if self.words else stem).encode().decode("latin-1")
-        ids = [t.id for t in self.model.tokenize(stem.translate(_BYTE_LETTERS))]
-        return ids + [t.id for t in self.model.tokenize(stop)] if stop else ids
+        parts = (feed.translate(_BYTE_LETTERS), stem.translate(_BYTE_LETTERS), stop)
+        return [t.id for part in parts if part for t in self.model.tokenize(part)]
 
-    def _learn(self, pieces: list) -> None:
-        texts = [p.decode() for p in pieces] if self.words else pieces
-        ids = [self._plain(t) for t in texts]
+    def _learn(self, pieces: list[str]) -> None:
+        ids = list(map(self._plain, pieces))
         odd = [i for i, found in enumerate(ids) if found is None]
-        whole = self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)
+        whole = self.tokenizer.encode_batch_fast([pieces[i] for i in odd], add_special_tokens=False)
         for i, found in zip(odd, whole):
             ids[i] = found.ids
         first = len(self.index)
         self.index.update(zip(pieces, range(first, first + len(pieces))))
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.hits = np.concatenate([self.hits, np.zeros(len(ids), np.int64)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
 
-    def _lookup(self, pieces: list) -> np.ndarray:
-        return np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        cuts = [self._cut(t) for t in texts]
-        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        pieces = list(chain.from_iterable(cuts))
-        if not pieces:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and ids per text; NULL is empty."""
+        counts, pieces = self._cut(pc.fill_null(texts.cast(pa.string()), ""))
+        if not len(pieces):
             return np.zeros(0, np.uint32), counts
-        which = self._lookup(pieces)
-        if len(self.index) > self.remembered and (which < 0).any():
-            self._forget()
-            which[:] = -1
-        unseen = np.flatnonzero(which < 0)
+        if len(self.index) > self.remembered:
+            self._shrink()
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unseen = np.flatnonzero(known < 0)
         if len(unseen):
-            missing = [pieces[i] for i in unseen.tolist()]
-            self._learn(list(dict.fromkeys(missing)))
-            which[unseen] = self._lookup(missing)
+            known[unseen] = np.arange(len(self.index), len(self.index) + len(unseen))
+            self._learn([distinct[i] for i in unseen.tolist()])
+        self.hits[known] += 1
+        which = known[coded.indices.to_numpy()]
         sizes = self.lengths[which]
-        ends = np.cumsum(sizes)
-        within = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-        ids = self.flat[np.repeat(self.starts[which], sizes) + within]
-        edges = np.concatenate([[0], ends])
-        text_ends = np.concatenate([[0], np.cumsum(counts)])
-        return ids, np.diff(edges[text_ends])
+        ids = self.flat[_places(self.starts[which], sizes)]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(edges[np.concatenate([[0], np.cumsum(counts)])])
+
+
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of runs that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}
