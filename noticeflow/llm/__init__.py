@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     language,
     mixing,
+    multiset,
     packing,
     simhash,
     substrings,
