@@ -61,6 +61,53 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_TABLE = np.random.default_rng(64).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n-1 of an odd number and of its inverse modulo 2**64."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            factors = np.full(n, np.uint64(base))
+            factors[0] = 1
+            with np.errstate(over="ignore"):
+                _POWERS[i] = np.cumprod(factors)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def byte_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings that lie end to end in ``data``; they end at ``ends``.
+
+    A polynomial over random table values of the bytes, from running sums.
+    """
+    power, inverse = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_TABLE[data] * power[: len(data)], out=sums[1:])
+        upto = sums[ends]
+        starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
+        return mixed((upto - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of all texts end to end, the number of words of each, and the words' hashes."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    pieces = lists.flatten()
+    full = pc.not_equal(pieces, "")
+    filled = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    counts = np.diff(filled[np.concatenate([[0], ends])])
+    words = pieces.filter(full)
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets or b"", np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return words, counts, np.zeros(0, np.uint64)
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    return words, counts, byte_hashes(data, offsets[1:] - offsets[0])
+
+
 def spans(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row number and position within the row of each element of rows of given lengths."""
     lengths = lengths.astype(np.int64)

@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mixed, spans, table, text_chunks
-from .recompress import word_hashes
+from .common import mixed, spans, split_words, table, text_chunks
 from .registry import query
 
 IDENTITY, LIKENESS, RUN = 32, 256, 3
@@ -93,9 +92,7 @@ class Fingerprints:
 
 
 def _likeness(paragraphs: list[bytes], document: np.ndarray, n: int) -> np.ndarray:
-    words = [p.split() for p in paragraphs]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    hashes = word_hashes([w for own in words for w in own])
+    _, lengths, hashes = split_words(pa.array(paragraphs, pa.binary()))
     row, place = spans(lengths)
     left = lengths[row] - place
     # A run of three words, or the only run of a shorter paragraph.

@@ -19,32 +19,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 
 from .common import mixed
 
 # Order of rounds: r names runs, p pairs. A symbol of the top round stands for some four
 # words and was decided by some thirteen, so that a window of twenty has two inside.
 ROUNDS = "rppppp"
-_REMEMBERED = 1 << 20
 _GAP = 64
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-
-
 @dataclass
 class Symbols:
     """Symbols in order, by words: deciding words are lo (inclusive) to hi (exclusive)."""

@@ -6,8 +6,9 @@
    entries whose name occurs elsewhere go back to their documents.
 2. Windows all of whose entries are shared are the candidates. They are verified by
    128-bit hashes of their words: of equal windows, the first in the order of documents
-   and words is found, again once per batch and task. Candidates that are not the first
-   are repeats, and the words they cover are removed.
+   and words is found, again once per batch and task. The firsts and the stretches of
+   candidates go back to their documents; candidates that are not the first are repeats,
+   and the words they cover are removed.
 
 Documents stand in the order of doc_id, then of a hash of the text; rows equal in both
 count as one document and are treated alike. Windows are judged on the input.
@@ -23,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import mixed, spans, table, text_chunks, texts
-from .recompress import Recompressed, word_hashes
+from .common import mixed, spans, split_words, table, text_chunks, texts
+from .recompress import Recompressed
 from .registry import query
 
 WINDOW = 20
@@ -36,12 +38,6 @@ _OWN, _KNOWN, _MARK = 0, 1, 2
 _ENTRY = "name long, kind byte, d long, tie long, place long"
 
 
-def _parsed(batch: pa.RecordBatch) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    words = [t.split() for t in texts(batch, "t")]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    return words, lengths, word_hashes([w for each in words for w in each])
-
-
 def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("d").to_numpy(), batch.column("tie").to_numpy()
 
@@ -49,7 +45,7 @@ def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _send_entries(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "t"):
-            _, lengths, hashes = _parsed(batch)
+            _, lengths, hashes = split_words(batch.column("t"))
             name, number, place = Recompressed(hashes, lengths, window).entries()
             order = np.argsort(name, kind="stable")
             name, number, place = name[order], number[order], place[order]
@@ -95,17 +91,16 @@ def _shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             held = held.set_column(1, "kind", pa.array([_KNOWN], pa.int8()))
 
 
-def _candidates(batch: pa.RecordBatch, window: int):
-    """Words, lengths, hashes, document numbers of words, and first words of candidates."""
-    words, lengths, hashes = _parsed(batch)
+def _candidates(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words per document, hashes of words, and the first words of the candidates."""
+    _, lengths, hashes = split_words(batch.column("t"))
     parsed = Recompressed(hashes, lengths, window)
     _, number, place = parsed.entries()
-    found = batch.column("places").to_pylist()
-    sizes = np.fromiter((len(p or ()) for p in found), np.int64, len(found))
-    flat = np.fromiter((p for places in found for p in places or ()), np.int64, int(sizes.sum()))
+    places = batch.column("places")
+    row = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy())
     width = 2 * int(lengths.max(initial=0)) + 2
-    shared = np.isin(number * width + place, np.repeat(np.arange(len(found)), sizes) * width + flat)
-    return words, lengths, hashes, parsed.windows(shared)
+    shared = np.isin(number * width + place, row * width + places.flatten().to_numpy())
+    return lengths, hashes, parsed.windows(shared)
 
 
 def _window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +118,7 @@ def _window_hashes(hashes: np.ndarray, starts: np.ndarray, window: int) -> tuple
 def _send_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "t"):
-            _, lengths, hashes, starts = _candidates(batch, window)
+            lengths, hashes, starts = _candidates(batch, window)
             row, place = spans(lengths)
             one, two = _window_hashes(hashes, starts, window)
             d, tie = (k[row[starts]] for k in _keys(batch))
@@ -132,7 +127,18 @@ def _send_windows(window: int):
             one, two = one[order], two[order]
             new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])[: len(order)]
             first = order[new]
-            columns = [one[new].view(np.int64), two[new].view(np.int64), d[first], tie[first], place[first]]
+            # Stretches of candidates go home as well, spread by their own place.
+            apart = (np.diff(starts) != 1) | (np.diff(row[starts]) != 0)
+            begin = np.flatnonzero(np.concatenate([[True], apart])[: len(starts)])
+            count = np.diff(np.append(begin, len(starts)))
+            home = mixed(tie[begin].view(np.uint64) ^ d[begin].view(np.uint64) + place[begin].astype(np.uint64))
+            columns = [
+                np.concatenate([one[new].view(np.int64), home.view(np.int64)]),
+                np.concatenate([two[new].view(np.int64), place[begin]]),
+                np.concatenate([d[first], d[begin]]),
+                np.concatenate([tie[first], tie[begin]]),
+                np.concatenate([place[first], place[begin] | count << 32]),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in columns], names=["one", "two", "d", "tie", "place"]
             )
@@ -141,7 +147,7 @@ def _send_windows(window: int):
 
 
 def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by hash and order, the first of each hash."""
+    """From rows sorted by hash and order, the first of each hash, and all stretches."""
     last = None
     for batch in batches:
         if not batch.num_rows:
@@ -149,28 +155,45 @@ def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         one, two = batch.column("one").to_numpy(), batch.column("two").to_numpy()
         new = np.concatenate([[last != (one[0], two[0])], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
         last = (one[-1], two[-1])
+        new |= batch.column("place").to_numpy() >= 1 << 32
         yield batch.filter(pa.array(new)).select(["d", "tie", "place"])
 
 
+def _removed(found: pa.Array, lengths: np.ndarray, window: int) -> np.ndarray:
+    """Which words of documents end to end are covered by repeats.
+
+    ``found`` lists a document's stretches of candidates, with their lengths in the high
+    half, and its candidates that are the first of their kind.
+    """
+    row = np.repeat(np.arange(len(found)), pc.fill_null(found.value_lengths(), 0).to_numpy())
+    place = found.flatten().to_numpy()
+    begins = (np.cumsum(lengths) - lengths)[row] + (place & 0xFFFFFFFF)
+    count, n = place >> 32, int(lengths.sum())
+    edges = np.zeros(n + window + 1, np.int64)
+    np.add.at(edges, begins[count > 0], 1)
+    np.add.at(edges, (begins + count)[count > 0], -1)
+    again = np.cumsum(edges) > 0
+    again[begins[count == 0]] = False
+    starts = np.flatnonzero(again)
+    covered = np.zeros(n + window + 1, np.int64)
+    covered[starts] += 1
+    covered[starts + window] -= 1
+    return np.cumsum(covered)[:n] > 0
+
+
 def _cut(window: int, carried: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "t"):
-            words, lengths, _, starts = _candidates(batch, window)
-            row, place = spans(lengths)
-            firsts = batch.column("firsts").to_pylist()
-            width = int(lengths.max(initial=0)) + 1
-            kept = np.fromiter((i * width + p for i, f in enumerate(firsts) for p in f or ()), np.int64)
-            again = starts[~np.isin(row[starts] * width + place[starts], kept)]
-            covered = np.zeros(len(row) + 1, np.int64)
-            covered[again] += 1
-            np.add.at(covered, again + window, -1)
-            removed = np.cumsum(covered)[:-1] > 0
+            words = [t.split() for t in texts(batch, "t")]
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            removed = _removed(batch.column("found"), lengths, window)
+            row, _ = spans(lengths)
             n_removed = np.bincount(row[removed], minlength=len(words))
             begins, left = np.cumsum(lengths) - lengths, []
             for i, own in enumerate(words):
                 if n_removed[i]:
                     gone = removed[begins[i] : begins[i] + len(own)]
-                    own = [w for w, g in zip(own, gone.tolist()) if not g]
+                    own = [own[k] for k in np.flatnonzero(~gone).tolist()]
                 left.append(b" ".join(own).decode())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -185,6 +208,12 @@ def _cut(window: int, carried: int):
     return run
 
 
+def _tie(docs: DataFrame) -> Column:
+    """What tells rows of one doc_id apart; constant where no doc_id occurs twice."""
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64("text")
+
+
 def _by_document(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("d", "tie").agg(F.collect_list("place").alias(name))
 
@@ -193,7 +222,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     """``carry`` columns, n_words, n_removed and kept (the kept words, blank between) of every row."""
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("d"),
-        F.xxhash64("text").alias("tie"),
+        _tie(docs).alias("tie"),
         F.col("text").alias("t"),
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)],
     )
@@ -206,8 +235,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
         _send_windows(window), "one long, two long, d long, tie long, place long"
     )
     ordered = windows.repartition("one").sortWithinPartitions("one", "two", "d", "tie", "place")
-    firsts = written(_by_document(ordered.mapInArrow(_first_windows, home), "firsts"), "firsts")
-    joined = keyed.join(places, ["d", "tie"], "left").join(firsts, ["d", "tie"], "left")
+    found = written(_by_document(ordered.mapInArrow(_first_windows, home), "found"), "found")
+    joined = keyed.join(found, ["d", "tie"], "left")
     kinds = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.select(*carry).schema)]
     schema = ", ".join([*kinds, "n_words long", "n_removed long", "kept string"])
     columns = [F.col(f"c{i}").alias(c) for i, c in enumerate(carry)]

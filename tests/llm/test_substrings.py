@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import repeated_corpus, repeats, small_texts
 
 from noticeflow.llm import recompress, substrings
+from noticeflow.llm.common import split_words
 from noticeflow.llm.substrings import op6_substring_dedup, remove_repeats
 
 from pyspark.sql import functions as F
@@ -46,9 +48,7 @@ def test_defined_cases(spark):
 
 def test_equal_windows_have_equal_entries():
     """What tests a window depends on nothing outside it."""
-    docs = [(t or "").encode().split() for _, t in repeated_corpus(1, 80)]
-    lengths = np.array([len(d) for d in docs])
-    hashes = recompress.word_hashes([w for d in docs for w in d])
+    _, lengths, hashes = split_words(pa.array([t for _, t in repeated_corpus(1, 80)]))
     parsed = recompress.Recompressed(hashes, lengths, 20)
     names, seen = parsed.top.name, {}
     other = dict(zip(parsed.open.tolist(), parsed.run_name[parsed.run].tolist()))
@@ -60,8 +60,6 @@ def test_equal_windows_have_equal_entries():
 
 def test_runs_across_batches():
     """Rows of one name that span Arrow batches are seen together."""
-    import pyarrow as pa
-
     rng = np.random.default_rng(0)
     name = np.sort(rng.integers(0, 40, 100))
     kind = rng.choice([0, 1, 2], 100, p=[0.7, 0.1, 0.2]).astype(np.int8)
