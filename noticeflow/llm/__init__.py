@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     language,
+    lattice,
     mixing,
     multiset,
     packing,

@@ -77,18 +77,25 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def byte_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte strings that lie end to end in ``data``; they end at ``ends``.
-
-    A polynomial over random table values of the bytes, from running sums.
-    """
-    power, inverse = _powers(len(data) + 1)
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of a polynomial over random table values of the bytes."""
     sums = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(_TABLE[data] * power[: len(data)], out=sums[1:])
-        upto = sums[ends]
-        starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
-        return mixed((upto - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        np.cumsum(_TABLE[data] * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings from ``starts`` to ``ends``, from running sums."""
+    inverse = _powers(len(sums))[1]
+    with np.errstate(over="ignore"):
+        return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def byte_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte strings that lie end to end in ``data``; they end at ``ends``."""
+    starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
+    return range_hashes(byte_sums(data), starts, ends)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
