@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     lattice,
     mixing,
     multiset,
+    neighbours,
     packing,
     simhash,
     substrings,
