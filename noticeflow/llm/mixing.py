@@ -62,12 +62,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     return shared.select("source", "source_size", budget.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row."""
+def _taken(docs: DataFrame, weights: tuple[int, ...], most: int, carry: list[str]) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, c0, c1, ...) of every row."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     value = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    sized = docs.select("doc_id", "source", size.alias("size"), F.md5(value).alias("key"))
-    sized = written(sized, "sizes").withColumn("range", F.substring("key", 1, DIGITS))
+    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    sized = docs.select("doc_id", "source", size.alias("size"), F.md5(value).alias("key"), *carried)
+    # Narrow rows are sized once; whole texts are rather read again than written.
+    sized = sized if carry else written(sized, "sizes")
+    sized = sized.withColumn("range", F.substring("key", 1, DIGITS))
     ranges = sized.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ranges = written(ranges, "ranges")
     sources = targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, most)
@@ -96,7 +99,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) ->
     rest = budget - F.col("epochs") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least("size", rest - (F.col("end") - F.col("size"))))
     taken = (F.col("epochs") * F.col("size") + part).cast("long")
-    return cut.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target", taken.alias("taken")]
+    return cut.select(*columns, *[f"c{i}" for i in range(len(carry))])
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row."""
+    return _taken(docs, weights, most, [])
+
+
+def mixture(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """The mixed rows, with the columns of ``docs``: a row for each time a document is taken.
+
+    A document taken in part ends after the words taken, which are joined by blanks; a
+    column n_chars follows its text.
+    """
+    names = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    text, times = names["text"], F.floor(F.col("taken") / F.col("size")).cast("int")
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, rest)
+    part = F.when(rest > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+    texts = F.explode(F.concat(F.array_repeat(text, times), part))
+    rows = _taken(docs, weights, most, docs.columns).filter("taken > 0").select("*", texts.alias("_text"))
+    kind = dict(docs.dtypes).get("n_chars")
+    whole = F.col("_text") == text
+    new = {"text": F.col("_text")}
+    if kind:
+        new["n_chars"] = F.when(whole, names["n_chars"]).otherwise(F.length("_text")).cast(kind)
+    return rows.select(*[new.get(c, names[c]).alias(c) for c in docs.columns])
 
 
 SQL = r"""

@@ -63,17 +63,18 @@ def fingerprint(text: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fingerprint as a signed 64-bit integer) of every row."""
+    """(doc_id, tie, code) of every row: a hash of the text and the signed 64-bit fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             codes = np.array([fingerprint(t, words) for t in texts(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(codes.view(np.int64))], names=["doc_id", "code"]
+                [batch.column("doc_id"), batch.column("tie"), pa.array(codes.view(np.int64))],
+                names=["doc_id", "tie", "code"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long"), "text")
-    return source.mapInArrow(run, "doc_id long, code long")
+    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
+    return source.mapInArrow(run, "doc_id long, tie long, code long")
 
 
 def _rotated(by: int) -> Column:
@@ -166,7 +167,7 @@ def links(codes: DataFrame, limit: int = 4, block: int = BLOCK) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 4, limit: int = 4, block: int = BLOCK) -> DataFrame:
-    """(doc_id, code, component_id) of every row."""
+    """(doc_id, tie, code, root, component_id) of every row; root is a fingerprint of the group."""
     rows = written(fingerprints(docs, words), "fingerprints")
     distinct = written(rows.groupBy("code").agg(F.min("doc_id").alias("least")), "codes")
     roots = components(links(distinct.select("code"), limit, block))
@@ -174,10 +175,25 @@ def groups(docs: DataFrame, words: int = 4, limit: int = 4, block: int = BLOCK)
         "code", "least", F.coalesce("root", "code").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.join(names, "root").select("code", "component_id"), "groups")
+    named = written(rooted.join(names, "root").select("code", "root", "component_id"), "groups")
     return rows.join(named, "code")
 
 
+def one_of_each(docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
+    """The rows that stay: one of each group, the one with the smallest doc_id.
+
+    Of equal doc_ids the text with the smallest hash stays, of equal rows any one; NULL
+    doc_ids stay only where a group has no other.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    first = groups(docs, words, limit).groupBy("root").agg(F.min(order).alias("first"))
+    first = written(first.select(F.col("first.doc_id").alias("_d"), F.col("first.tie").alias("_t")), "kept")
+    keyed = docs.withColumn("_tie", F.xxhash64("text"))
+    same = keyed.doc_id.cast("long").eqNullSafe(first["_d"]) & (keyed["_tie"] == first["_t"])
+    kept = keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", "_tie"])
+    return kept.select(*docs.columns)
+
+
 @query("op2_simhash_groups")
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = groups(table(spark, sf_dir, "documents"))

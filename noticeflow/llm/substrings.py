@@ -244,6 +244,22 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     return cut.select(*columns, "n_words", "n_removed", "kept")
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` with their kept words; texts that lose none stay as they are.
+
+    A column n_chars follows its text.
+    """
+    copies = {f"_c{i}": F.col(c) for i, c in enumerate(docs.columns)}
+    cut = remove_repeats(docs.withColumns(copies), list(copies), window)
+    names = dict(zip(docs.columns, map(F.col, copies)))
+    gone = F.col("n_removed") > 0
+    new = {"text": F.when(gone, F.col("kept")).otherwise(names["text"])}
+    if "n_chars" in names:
+        kind = dict(docs.dtypes)["n_chars"]
+        new["n_chars"] = F.when(gone, F.length("kept")).otherwise(names["n_chars"]).cast(kind)
+    return cut.select(*[new.get(c, names[c]).alias(c) for c in docs.columns])
+
+
 @query("op6_substring_dedup")
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
