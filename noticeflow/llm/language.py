@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, mixed, table, text_chunks
+from .common import crc_mod, table, text_chunks
 from .registry import query
 
 ORDERS, CELLS = 4, 1 << 14
 ROUNDS, PENALTY, SMOOTHING = 12, 3.0, 0.5
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _STEP = 1 << 20
+_FACTOR, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(65 - CELLS.bit_length())
+_SETTLED = 1e-4
 
 
 def _letters(text: str | None) -> bytes:
@@ -53,16 +55,13 @@ def _cells(letters: bytes) -> np.ndarray:
         if n <= 0:
             break
         gram = (gram[:n] << np.uint64(8)) | data[order - 1 :]
-        cell = mixed(gram + np.uint64(order << 40)) % np.uint64(CELLS)
-        cell = cell.astype(np.int64) + (order - 1) * CELLS
+        cell = (gram * _FACTOR >> _SHIFT).astype(np.int64) + (order - 1) * CELLS
         found.append(cell[data != 32] if order == 1 else cell)
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def _counted(letters: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct cells of a text and how often each occurs, long texts in steps."""
-    if len(letters) <= _STEP:
-        return np.unique(_cells(letters), return_counts=True)
     total = np.zeros(ORDERS * CELLS, np.int64)
     for at in range(0, len(letters), _STEP):
         total += np.bincount(_cells(letters[at : at + _STEP + ORDERS - 1]), minlength=len(total))
@@ -107,7 +106,10 @@ def _fit(ratio: np.ndarray, counts: np.ndarray, chosen: np.ndarray) -> tuple[np.
     total = counts.sum()
     for _ in range(ROUNDS if len(chosen) > 1 else 0):
         joint = part * share
-        share = counts @ (joint / joint.sum(axis=1, keepdims=True)) / total
+        new = (counts / joint.sum(axis=1)) @ joint / total
+        moved, share = np.abs(new - share).max(), new
+        if moved < _SETTLED:
+            break
     return share, float(counts @ np.log(np.maximum(part @ share, 1e-300)))
 
 
