@@ -22,7 +22,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import written
 
 HOT_ROWS = 1_000_000
 HOT_WAYS = 256
@@ -64,9 +64,7 @@ def write_once(df: DataFrame, name: str = "step") -> Sized:
     Used where several plans need the same rows: they are computed once, later
     plans stay short, and a lost executor costs no recomputation.
     """
-    folder = shared_dir(df.sparkSession, name)
-    df.write.parquet(folder)
-    return Sized(df.sparkSession.read.schema(df.schema).parquet(folder))
+    return Sized(written(df, name))
 
 
 def hot_limit(df: DataFrame) -> int:
@@ -95,8 +93,8 @@ class Hot:
         if counts is None:
             counts = self.df.groupBy(*self.on).agg(F.count(F.lit(1)).alias("_n"))
         found = counts.filter(F.col("_n") > hot_limit(self.df)).select(*self.on)
-        written = write_once(found, "hot").frame
-        return None if written.isEmpty() else written
+        listed = write_once(found, "hot").frame
+        return None if listed.isEmpty() else listed
 
 
 def _any_null(on: list[str]) -> Column:

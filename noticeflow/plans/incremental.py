@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keys import DOCUMENT, LABEL, NEW, WITHOUT, classify
+from ..operators.keys import CONFLICT, DOCUMENT, LABEL, NEW, WITHOUT, classify
 from ..operators.project import union_distinct
 from ..operators.report import stage_counts
 from ..operators.skew import write_once
 from ..operators.updates import insert_rows, update_changed
-from ..schema import ROW_SEQ, SOURCE_FILE, STAGED_FIELDS
+from ..schema import KEYS, ROW_SEQ, SOURCE_FILE, STAGED_FIELDS
 from .staging import stage
 
 
 @dataclass
 class IncrementalRun:
-    """One run: the classified batch is written; the rest are plans over it."""
+    """One run: the classified batch is written; the rest are plans over it.
+
+    ``changed`` are the rows whose keys the registry updates, ``update`` takes any part of
+    the registry to its next state, ``inserts`` are the rows to add; ``registry`` is all
+    of that in one. ``rejects`` and ``conflicts`` are the rows that go nowhere.
+    """
 
     classified: DataFrame
     rejects: DataFrame
+    conflicts: DataFrame
+    changed: DataFrame
+    update: Callable[[DataFrame], DataFrame]
+    inserts: DataFrame
     registry: DataFrame
     worklist: DataFrame
     counts: DataFrame
@@ -50,18 +60,31 @@ def run_incremental(
     new = classified.filter(F.col(LABEL) == NEW)
     waiting = classified.filter(F.col(DOCUMENT) == WITHOUT)
     order = [c for c in (SOURCE_FILE, ROW_SEQ) if c in classified.columns]
-    updated = update_changed(
-        registry, waiting, order=order or ["FechaModificacion"], run_ts=run_ts
-    )
-    next_registry = insert_rows(
-        updated, new.select(*STAGED_FIELDS), {"Url_visitada": F.lit(0)}
-    )
+    if not order:
+        _check_no_repeats(waiting)
+
+    def update(part: DataFrame) -> DataFrame:
+        return update_changed(part, waiting, order=order or ["FechaModificacion"], run_ts=run_ts)
+
+    none = registry.sparkSession.createDataFrame([], registry.schema)
+    inserts = insert_rows(none, new.select(*STAGED_FIELDS), {"Url_visitada": F.lit(0)})
+    next_registry = update(registry).unionByName(inserts)
     worklist = union_distinct(new.select(*STAGED_FIELDS), waiting.select(*STAGED_FIELDS))
     if SOURCE_FILE in classified.columns:
         counts = _counts(classified)
     else:
         counts = _counts(classified.withColumn(SOURCE_FILE, F.lit("")))
-    return IncrementalRun(classified, staged.rejects, next_registry, worklist, counts)
+    conflicts = classified.filter(F.col(LABEL) == CONFLICT)
+    return IncrementalRun(
+        classified, staged.rejects, conflicts, waiting, update, inserts, next_registry, worklist, counts
+    )
+
+
+def _check_no_repeats(rows: DataFrame) -> None:
+    """Without file and row number nothing says which of several rows of a key is the last."""
+    repeated = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"keys repeat and there is no {SOURCE_FILE} or {ROW_SEQ} to order them")
 
 
 def _counts(classified: DataFrame) -> DataFrame:

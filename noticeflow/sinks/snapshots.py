@@ -1,57 +1,172 @@
-"""Versioned Parquet table: each write is a new folder, a commit row makes it current.
+"""Versioned Parquet table in buckets: a commit names the folders that make up a version.
 
-The folder being read is never written. A run that is repeated under the same
-version name overwrites only its own folder and commits again.
+Rows are dealt to buckets by a hash of one key. Every write puts its rows into a new part,
+one folder per bucket; a commit lists, for each bucket, the parts that hold its rows.
+An update writes the buckets it touches anew, an insert only adds a part to its buckets;
+all other buckets keep their files. A bucket of many parts is written anew when it next
+gets rows. Folders that are being read are never written.
+
+A version belongs to its writer. A writer that repeats a version replaces its own commit;
+a version of another writer is refused.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
-_COMMITS = "version long, committed_at timestamp"
+from ..schema import CODE
+
+BUCKETS = 64
+MOST_PARTS = 8
+_COMMIT = "bucket int, part string, writer string"
+_BUCKET = "_bucket"
+
+Manifest = dict[int, list[str]]
 
 
 class SnapshotTable:
-    """A table whose whole state is replaced at once."""
+    """A table whose versions share the files of buckets that did not change."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        key: str = CODE,
+        buckets: int = BUCKETS,
+        writer: str | None = None,
+    ):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.key, self.buckets = key, buckets
+        self.writer = writer or uuid.uuid4().hex
+
+    # --- versions -------------------------------------------------------------
+    def versions(self) -> list[int]:
+        """Committed versions, ascending; none where the table does not exist yet.
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
+        Only a missing folder means that there is no table. Any other failure is an error.
+        """
+        prefix = "version="
+        names = self._list(f"{self.root}/commits")
+        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
 
     def version(self, below: int | None = None) -> int | None:
         """Current version, or the newest one below a number."""
-        try:
-            commits = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-        except AnalysisException:
-            return None
-        if below is not None:
-            commits = commits.filter(F.col("version") < below)
-        return commits.agg(F.max("version")).first()[0]
+        found = [v for v in self.versions() if below is None or v < below]
+        return found[-1] if found else None
 
+    def manifest(self, version: int | None) -> Manifest:
+        """Parts of every bucket, at most ``MOST_PARTS`` for each."""
+        parts: Manifest = {}
+        if version is not None:
+            for row in self._commit_rows(version):
+                if row.bucket is not None:
+                    parts.setdefault(row.bucket, []).append(row.part)
+        return parts
+
+    # --- reading --------------------------------------------------------------
     def read(self) -> DataFrame:
         """The current version; empty before the first write."""
         return self.read_version(self.version())
 
     def read_version(self, version: int | None) -> DataFrame:
         """One version; None stands for the state before the first write."""
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+        return self._rows(self.manifest(version))
 
+    # --- writing --------------------------------------------------------------
     def write(self, frame: DataFrame, version: int | None = None) -> int:
-        """Write the next state and make it current."""
+        """Replace the whole table."""
+        version = self._next(version)
+        part = f"{version}-{uuid.uuid4().hex}"
+        written = self._write_part(frame, part)
+        self._commit(version, {bucket: [part] for bucket in written})
+        return version
+
+    def merge(
+        self,
+        changed: DataFrame,
+        update: Callable[[DataFrame], DataFrame],
+        inserts: DataFrame,
+        version: int | None = None,
+    ) -> int:
+        """Update the buckets in which keys of ``changed`` fall, and add ``inserts``.
+
+        ``update`` gives the next state of the rows it gets; it must not move rows to
+        other keys. The state is the newest version below the one written.
+        """
+        version = self._next(version)
+        before = self.manifest(self.version(below=version))
+        touched = {r[0] for r in changed.select(self._bucket().alias("b")).distinct().collect()}
+        full = {b for b, parts in before.items() if len(parts) >= MOST_PARTS}
+        if full:
+            full &= {r[0] for r in inserts.select(self._bucket().alias("b")).distinct().collect()}
+        anew = {b: parts for b, parts in before.items() if b in touched | full}
+        part = f"{version}-{uuid.uuid4().hex}"
+        rows = inserts.select(*self.schema.names)
+        if anew:
+            rows = rows.unionByName(update(self._rows(anew)).select(*self.schema.names))
+        written = self._write_part(rows, part)
+        after = {b: parts for b, parts in before.items() if b not in anew}
+        for bucket in written:
+            after[bucket] = [*after.get(bucket, []), part]
+        self._commit(version, after)
+        return version
+
+    # --- files ----------------------------------------------------------------
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
+
+    def _rows(self, manifest: Manifest) -> DataFrame:
+        paths = [f"{self.root}/part={p}/{_BUCKET}={b}" for b, parts in manifest.items() for p in parts]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def _write_part(self, frame: DataFrame, part: str) -> list[int]:
+        """Write rows by bucket; the buckets that got any. Large buckets are split by Spark."""
+        rows = frame.select(*self.schema.names, self._bucket().alias(_BUCKET))
+        folder = f"{self.root}/part={part}"
+        rows.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(folder)
+        prefix = f"{_BUCKET}="
+        return [int(n[len(prefix) :]) for n in self._list(folder) if n.startswith(prefix)]
+
+    def _next(self, version: int | None) -> int:
         if version is None:
-            version = (self.version() or 0) + 1
-        frame.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))
-        commit = self.spark.createDataFrame([(version, datetime.now())], _COMMITS)
-        commit.write.mode("append").parquet(f"{self.root}/commits")
+            return (self.version() or 0) + 1
+        if version in self.versions():
+            owners = {r.writer for r in self._commit_rows(version)}
+            if owners != {self.writer}:
+                raise ValueError(f"version {version} belongs to another writer: {sorted(owners)}")
         return version
 
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/snapshot={version}"
+    def _commit_rows(self, version: int) -> list:
+        return self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/version={version}").collect()
+
+    def _commit(self, version: int, manifest: Manifest) -> None:
+        """Write the list aside, then rename it; readers see all of it or nothing."""
+        rows = [(b, p, self.writer) for b, parts in sorted(manifest.items()) for p in parts]
+        aside = f"{self.root}/aside-{uuid.uuid4().hex}"
+        frame = self.spark.createDataFrame(rows or [(None, None, self.writer)], _COMMIT)
+        frame.coalesce(1).write.parquet(aside)
+        system, path = self._system(f"{self.root}/commits/version={version}")
+        system.mkdirs(path.getParent())
+        if system.exists(path):
+            system.delete(path, True)
+        if not system.rename(self._system(aside)[1], path):
+            raise OSError(f"commit of version {version} failed")
+
+    def _system(self, folder: str):
+        jvm, context = self.spark._jvm, self.spark._jsc
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(context.hadoopConfiguration()), path
+
+    def _list(self, folder: str) -> list[str]:
+        system, path = self._system(folder)
+        if not system.exists(path):
+            return []
+        return [status.getPath().getName() for status in system.listStatus(path)]

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.incremental import run_incremental
+from ..schema import ROW_SEQ, SOURCE_FILE
 from ..sinks.snapshots import SnapshotTable
 
 
@@ -18,20 +20,23 @@ def ingest_batch(
     dim: DataFrame,
     as_of: datetime | str,
     n_days: int,
+    reports: str,
     run_ts: datetime | str | None = None,
-    reports: str | None = None,
 ) -> None:
-    """Run one micro-batch against the registry and commit the next snapshot.
+    """Run one micro-batch against the registry and commit the next version.
 
     The version follows from the batch id and the state read is the one before
-    it, so a batch that is run again gives the same registry.
+    it, so a batch that is run again gives the same registry. Below ``reports`` go the
+    counts, and every row that does not reach the registry: ``rejects``, with the reason,
+    and ``conflicts``.
     """
+    if ROW_SEQ not in batch.columns:
+        batch = batch.withColumn(ROW_SEQ, F.monotonically_increasing_id())
     state = registry.read_version(registry.version(below=batch_id + 1))
     run = run_incremental(batch, state, dim, as_of, n_days, run_ts)
-    registry.write(run.registry, version=batch_id + 1)
-    if reports:
-        run.counts.write.mode("overwrite").parquet(f"{reports}/batch={batch_id}")
-        run.rejects.write.mode("overwrite").parquet(f"{reports}-rejects/batch={batch_id}")
+    for name in ("counts", "rejects", "conflicts"):
+        getattr(run, name).write.mode("overwrite").parquet(f"{reports}/{name}/batch={batch_id}")
+    registry.merge(run.changed, run.update, run.inserts, version=batch_id + 1)
 
 
 def start_ingest(
@@ -41,13 +46,17 @@ def start_ingest(
     as_of: datetime | str,
     n_days: int,
     checkpoint: str,
+    reports: str,
     run_ts: datetime | str | None = None,
-    reports: str | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived, file by file, then stop."""
+    """Process what has arrived, file by file, then stop.
+
+    ``registry`` needs a fixed writer name, so that a restarted stream may repeat its own
+    last version.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, registry, dim, as_of, n_days, run_ts, reports)
+        ingest_batch(batch, batch_id, registry, dim, as_of, n_days, reports, run_ts)
 
     return (
         notices.writeStream.foreachBatch(step)
@@ -60,8 +69,14 @@ def start_ingest(
 def stream_notices(
     spark: SparkSession, path: str, schema, fmt: str = "csv", files_per_batch: int = 1
 ) -> DataFrame:
-    """Notice files as a stream; one file per micro-batch keeps their order."""
+    """Notice files as a stream, with their file's name; one file per micro-batch.
+
+    One file at a time keeps their order, and within it the rows of a file that is read
+    as one piece are in the order of the file.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.option("maxFilesPerTrigger", files_per_batch).load(path)
+        reader = reader.option("enforceSchema", False)
+    loaded = reader.option("maxFilesPerTrigger", files_per_batch).load(path)
+    return loaded.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))

@@ -1,5 +1,6 @@
 """Whole runs: staging, repetition, rejects, stream replay."""
 
+import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from noticeflow.plans.incremental import run_incremental
 from noticeflow.plans.staging import stage
 from noticeflow.schema import RAW_HEADERS, REGISTRY_FIELDS, REGISTRY_SCHEMA, STAGED_FIELDS
 from noticeflow.sinks.snapshots import SnapshotTable
-from noticeflow.streaming.ingest import ingest_batch
+from noticeflow.streaming.ingest import ingest_batch, start_ingest, stream_notices
 
 GOOD = {
     "Código del expediente": "7",
@@ -89,9 +90,50 @@ def test_batch_run_again_gives_the_same_registry(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), REGISTRY_SCHEMA)
     dim = inputs.dimension(spark, SMALL)
     raw = inputs.raw_notices(spark, SMALL, "o_orderkey")
-    args = (table, dim, inputs.AS_OF, inputs.WINDOW_DAYS, inputs.RUN_TS, str(tmp_path / "r"))
+    args = (table, dim, inputs.AS_OF, inputs.WINDOW_DAYS, str(tmp_path / "r"), inputs.RUN_TS)
     ingest_batch(raw, 0, *args)
     once = table.read().count()
     ingest_batch(raw, 0, *args)
     assert (table.version(), table.read().count()) == (1, once) and once > 0
-    assert spark.read.parquet(str(tmp_path / "r")).agg(F.sum("new")).first()[0] == once
+    assert spark.read.parquet(str(tmp_path / "r/counts")).agg(F.sum("new")).first()[0] == once
+
+
+def test_stream_keeps_order_and_loses_no_row(spark, tmp_path):
+    """A file with repeated keys, a bad row and a conflict: as the batch run, all rows accounted for."""
+    known = {"Código del expediente": "7", "Dirección del anuncio": "http://h/x?opportunityId=12"}
+    mixed = {"Código del expediente": "7", "Dirección del anuncio": "http://h/x?opportunityId=99"}
+    raw = _raw(
+        spark,
+        {**known, "Descripción del Anuncio": "Z"},
+        {**known, "Descripción del Anuncio": "A"},
+        {"Fecha de última modificacion": "soon"},
+        mixed,
+        {"Código del expediente": "8", "Dirección del anuncio": "http://h/x?opportunityId=13"},
+    ).coalesce(1)
+    folder = str(tmp_path / "in")
+    inputs.write_csv(raw.drop("_seq"), folder)
+    table = SnapshotTable(spark, str(tmp_path / "t"), REGISTRY_SCHEMA, writer="stream")
+    row = {f.name: None for f in REGISTRY_SCHEMA}
+    row |= {"Codigo": "7", "OpportunityId": 12, "ActaPublicada": 0, "UrlActaDL": "", "Url_visitada": 0}
+    table.write(spark.createDataFrame([row], REGISTRY_SCHEMA), version=0)
+    notices = stream_notices(spark, folder, raw.drop("_seq").schema)
+    reports = str(tmp_path / "r")
+    start_ingest(notices, table, _dim(spark), AS_OF, 1, str(tmp_path / "c"), reports, RUN).awaitTermination()
+    got = {r.Codigo: r.DescAnuncio for r in table.read().collect()}
+    assert got == {"7": "A", "8": "its"}
+    batch = run_incremental(raw, table.read_version(0), _dim(spark), AS_OF, 1, RUN)
+    assert {r.Codigo: r.DescAnuncio for r in batch.registry.collect()} == got
+    assert [r.reject_value for r in spark.read.parquet(f"{reports}/rejects").collect()] == ["soon"]
+    conflicts = spark.read.parquet(f"{reports}/conflicts").collect()
+    assert [(r.Codigo, r.OpportunityId) for r in conflicts] == [("7", 99)]
+    counts = spark.read.parquet(f"{reports}/counts").collect()
+    assert len(counts) == 1 and counts[0].source_file.endswith(".csv") and counts[0].filtered == 4
+
+
+def test_repeated_keys_need_an_order(spark):
+    raw = _raw(spark, {}, {"Descripción del Anuncio": "other"}).drop("_seq")
+    row = {f.name: None for f in REGISTRY_SCHEMA}
+    row |= {"Codigo": "7", "OpportunityId": 12, "ActaPublicada": 0, "UrlActaDL": ""}
+    registry = spark.createDataFrame([row], REGISTRY_SCHEMA)
+    with pytest.raises(ValueError, match="keys repeat"):
+        run_incremental(raw, registry, _dim(spark), AS_OF, 1, RUN)
