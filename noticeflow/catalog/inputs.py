@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import archive_path, document_base, document_name
-from ..schema import DOCUMENT_FOLDER, DOCUMENT_KIND, RAW_HEADERS, REGISTRY_SCHEMA
+from ..schema import DOCUMENT_FOLDER, DOCUMENT_KIND, HEADER_TO_FIELD, RAW_HEADERS, REGISTRY_SCHEMA
 
 AS_OF = "2001-07-15 10:30:00"
 RUN_TS = "2001-07-15 10:30:00"
@@ -53,7 +53,7 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- a narrow registry: urgent orders; partial ones under a neighbour's id --
 _DOC = f"'{DOCUMENT_KIND}_' || opp || '_' || code || '_' || strftime(o_orderdate, '%Y%m') || '_1'"
-CTES["registry"] = f"""
+_REGISTRY = f"""
   SELECT opp AS OpportunityId, code AS Codigo, o_orderdate AS FechaModificacion,
          CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS ActaPublicada,
          CASE WHEN o_totalprice < 250000 THEN '' ELSE
@@ -63,7 +63,11 @@ CTES["registry"] = f"""
          TIMESTAMP '2000-01-01 00:00:00' AS FechaModificacionReg
   FROM (SELECT *, CAST(o_custkey + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS INTEGER) AS opp,
                CAST(o_orderkey AS VARCHAR) AS code
-        FROM orders WHERE o_orderpriority = '1-URGENT') o"""
+        FROM orders WHERE {{where}}) o"""
+# A batch of all orders is compared with the part of them that is known; what looks at the
+# registry alone takes all orders.
+CTES["registry"] = _REGISTRY.format(where="o_orderpriority = '1-URGENT'")
+CTES["whole_registry"] = _REGISTRY.format(where="true")
 
 
 def _document(opp: Column, code: Column) -> tuple[Column, Column]:
@@ -103,16 +107,31 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urgent_orders(spark, sf_dir).select(*[c.alias(n) for n, c in columns.items()])
 
 
-# --- document files, two for each cheap finished order ---------------------------------
-CTES["files"] = f"""
+def whole_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = registry_columns()
+    return table(spark, sf_dir, "orders").select(*[c.alias(n) for n, c in columns.items()])
+
+
+# --- document files: two for each cheap finished order; two for every order ------------
+_FILES = f"""
   SELECT 'data/{DOCUMENT_KIND}_' || o_custkey || '_' || o_orderkey || '_' || strftime(o_orderdate, '%Y%m')
          || '_' || seq || '.pdf' AS path
-  FROM orders, (SELECT unnest([1, 2]) AS seq) s WHERE o_orderstatus = 'F' AND o_totalprice < 200000"""
+  FROM orders, (SELECT unnest([1, 2]) AS seq) s"""
+CTES["files"] = _FILES + " WHERE o_orderstatus = 'F' AND o_totalprice < 200000"
+CTES["all_files"] = _FILES
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the finished orders below a price: some notices have none."""
     stored = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 200000)
-    orders = table(spark, sf_dir, "orders").filter(stored)
+    return _files(table(spark, sf_dir, "orders").filter(stored))
+
+
+def all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _files(table(spark, sf_dir, "orders"))
+
+
+def _files(orders: DataFrame) -> DataFrame:
     keys = key_columns()
     base = document_base(
         keys["OpportunityId"], keys["Codigo"], F.date_format("o_orderdate", "yyyyMM")
@@ -165,12 +184,7 @@ _RAW_SQL = [
     "strftime(o_orderdate, '%Y/%m/%d %H:%M')",
     "'http://example.com/detail?opportunityId=' || o_custkey || '&ref=x'",
 ]
-FIELD_NAMES = [
-    "Codigo", "NumProc", "CaracterProc", "FormaProc", "ArticuloExcepcion", "RefExpediente",
-    "TituloExpediente", "PlantillaExpediente", "DescAnuncio", "ClaveUC", "NombreUC", "Operador",
-    "CorreoOperador", "IdEstado", "TipoContratacion", "FechaPublicacion", "Vigencia", "ClaveCOG",
-    "FechaCreacion", "FechaModificacion", "URLAnuncio",
-]
+FIELD_NAMES = list(HEADER_TO_FIELD.values())[: len(RAW_HEADERS)]
 CTES["raw"] = (
     "SELECT "
     + ", ".join(f"{e} AS {n}" for e, n in zip(_RAW_SQL, FIELD_NAMES))

@@ -155,14 +155,14 @@ def registry_without_doc(spark, sf_dir):
 
 @query(
     "undocumented_rows",
-    sql("SELECT * FROM registry WHERE ActaPublicada = 0 AND UrlActaDL = ''", "registry"),
+    sql("SELECT * FROM whole_registry WHERE ActaPublicada = 0 AND UrlActaDL = ''", "whole_registry"),
 )
 def undocumented_rows(spark, sf_dir):
-    return undocumented(inputs.registry(spark, sf_dir))
+    return undocumented(inputs.whole_registry(spark, sf_dir))
 
 
 SINCE = "1999-06-01 00:00:00"
-_ARCHIVED = f"""SELECT * FROM registry WHERE FechaModificacion >= TIMESTAMP '{SINCE}'
+_ARCHIVED = f"""SELECT * FROM whole_registry WHERE FechaModificacion >= TIMESTAMP '{SINCE}'
   AND contains(UrlActaDL, '{DOCUMENT_KIND}_') AND contains(NombreArchivoActa, '{DOCUMENT_KIND}_')"""
 
 
@@ -182,13 +182,13 @@ def not_archived(spark, sf_dir):
 @query(
     "changed_since",
     sql(
-        f"""SELECT Codigo, UrlActaDL FROM registry
+        f"""SELECT Codigo, UrlActaDL FROM whole_registry
       WHERE FechaModificacion >= TIMESTAMP '{SINCE}'""",
-        "registry",
+        "whole_registry",
     ),
 )
 def changed_since(spark, sf_dir):
-    return scans.changed_since(inputs.registry(spark, sf_dir), SINCE, ["Codigo", "UrlActaDL"])
+    return scans.changed_since(inputs.whole_registry(spark, sf_dir), SINCE, ["Codigo", "UrlActaDL"])
 
 
 @query(
@@ -232,7 +232,7 @@ def state_dimension(spark, sf_dir):
 
 
 # --- files --------------------------------------------------------------------
-_PENDING = "SELECT OpportunityId, Codigo FROM registry WHERE ActaPublicada = 1 AND UrlActaDL = ''"
+_PENDING = "SELECT OpportunityId, Codigo FROM whole_registry WHERE ActaPublicada = 1 AND UrlActaDL = ''"
 
 
 @query(
@@ -241,12 +241,12 @@ _PENDING = "SELECT OpportunityId, Codigo FROM registry WHERE ActaPublicada = 1 A
         f"""SELECT OpportunityId, Codigo, (SELECT min(path) FROM files f
         WHERE string_split(f.path, '_')[2] = CAST(OpportunityId AS VARCHAR)
           AND string_split(f.path, '_')[3] = Codigo) AS path FROM ({_PENDING}) p""",
-        "registry",
+        "whole_registry",
         "files",
     ),
 )
 def pattern_join_files(spark, sf_dir):
-    pending = scans.pending_uploads(inputs.registry(spark, sf_dir), ["OpportunityId", "Codigo"])
+    pending = scans.pending_uploads(inputs.whole_registry(spark, sf_dir), ["OpportunityId", "Codigo"])
     return match_files.match_documents(pending, inputs.files(spark, sf_dir))
 
 
@@ -254,18 +254,17 @@ def pattern_join_files(spark, sf_dir):
     "pattern_join_files_prefix",
     sql(
         f"""SELECT OpportunityId, Codigo, min(path) AS path FROM (
-      SELECT OpportunityId, substr(Codigo, 1, 1) AS Codigo FROM ({_PENDING}) p) q
+      SELECT DISTINCT OpportunityId, Codigo FROM ({_PENDING}) p) q
       LEFT JOIN files ON CAST(string_split(path, '_')[2] AS INTEGER) = OpportunityId
         AND starts_with(path, 'data/{DOCUMENT_KIND}_' || OpportunityId || '_' || Codigo)
       GROUP BY ALL""",
-        "registry",
+        "whole_registry",
         "files",
     ),
 )
 def pattern_join_files_prefix(spark, sf_dir):
-    pending = scans.pending_uploads(inputs.registry(spark, sf_dir), ["OpportunityId", "Codigo"])
-    short = pending.select("OpportunityId", F.substring("Codigo", 1, 1).alias("Codigo")).distinct()
-    return match_files.match_documents(short, inputs.files(spark, sf_dir), match="prefix")
+    pending = scans.pending_uploads(inputs.whole_registry(spark, sf_dir), ["OpportunityId", "Codigo"])
+    return match_files.match_documents(pending.distinct(), inputs.files(spark, sf_dir), match="prefix")
 
 
 CTES["wanted"] = f"""SELECT 'data/{DOCUMENT_KIND}_' || OpportunityId || '_' || Codigo AS name

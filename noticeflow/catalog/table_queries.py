@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import moment
 from ..operators import report, status, updates
 from ..plans.staging import stage
-from ..schema import DOCUMENT_FOLDER, UPDATE_FIELDS
+from ..schema import DOCUMENT_FOLDER, FILE_BUCKETS, MAX_QUEUE_ROWS, UPDATE_FIELDS
+from ..session import shared_dir
+from ..sinks import files as sinks
 from ..sources import registry as scans
 from . import inputs
 from .inputs import CTES, RUN_TS, sql, table
@@ -19,18 +21,18 @@ _RUN = f"TIMESTAMP '{RUN_TS}'"
 # --- pending scans ------------------------------------------------------------
 @query(
     "pending_upload",
-    sql("SELECT OpportunityId, Codigo FROM registry WHERE ActaPublicada = 1 AND UrlActaDL = ''", "registry"),
+    sql("SELECT OpportunityId, Codigo FROM whole_registry WHERE ActaPublicada = 1 AND UrlActaDL = ''", "whole_registry"),
 )
 def pending_upload(spark, sf_dir):
-    return scans.pending_uploads(inputs.registry(spark, sf_dir))
+    return scans.pending_uploads(inputs.whole_registry(spark, sf_dir))
 
 
 @query(
     "pending_download",
-    sql("SELECT OpportunityId, Codigo FROM registry WHERE ActaPublicada = 0 AND Url_visitada = 0", "registry"),
+    sql("SELECT OpportunityId, Codigo FROM whole_registry WHERE ActaPublicada = 0 AND Url_visitada = 0", "whole_registry"),
 )
 def pending_download(spark, sf_dir):
-    return scans.pending_downloads(inputs.registry(spark, sf_dir))
+    return scans.pending_downloads(inputs.whole_registry(spark, sf_dir))
 
 
 @query(
@@ -38,12 +40,12 @@ def pending_download(spark, sf_dir):
     sql(
         """SELECT up AS pending_upload, down AS pending_download, up + down AS backlog FROM (
       SELECT count(*) FILTER (WHERE ActaPublicada = 1 AND UrlActaDL = '') AS up,
-        count(*) FILTER (WHERE ActaPublicada = 0 AND Url_visitada = 0) AS down FROM registry) r""",
-        "registry",
+        count(*) FILTER (WHERE ActaPublicada = 0 AND Url_visitada = 0) AS down FROM whole_registry) r""",
+        "whole_registry",
     ),
 )
 def backlog(spark, sf_dir):
-    return report.backlog(inputs.registry(spark, sf_dir))
+    return report.backlog(inputs.whole_registry(spark, sf_dir))
 
 
 # --- work queue ---------------------------------------------------------------
@@ -74,7 +76,7 @@ def _queue(spark, sf_dir):
     ),
 )
 def queue_top_n(spark, sf_dir):
-    return scans.queue_head(_queue(spark, sf_dir), 202401, ["opportunityId"])
+    return scans.queue_head(_queue(spark, sf_dir), 202401, ["opportunityId"], MAX_QUEUE_ROWS)
 
 
 @query(
@@ -181,17 +183,17 @@ def _line_updates(spark, sf_dir):
     ),
 )
 def update_status(spark, sf_dir):
-    registry = inputs.registry(spark, sf_dir)
-    lines = _line_updates(spark, sf_dir)
-    options = {"keys": ["Codigo"], "order": _LINE_ORDER, "run_ts": RUN_TS}
-    published = lines.withColumn("ActaPublicada", F.col("l_linenumber"))
-    texts = lines.withColumns(
-        {"UrlActaDL": F.col("l_partkey"), "NombreArchivoActa": F.lit(None).cast("string")}
+    lines = _line_updates(spark, sf_dir).select(
+        "Codigo",
+        *_LINE_ORDER,
+        F.col("l_linenumber").alias("ActaPublicada"),
+        F.col("l_partkey").cast("string").alias("UrlActaDL"),
+        F.lit(None).cast("string").alias("NombreArchivoActa"),
+        F.col("l_suppkey").cast("int").alias("Url_visitada"),
     )
-    visited = lines.withColumn("Url_visitada", F.col("l_suppkey").cast("int"))
-    first = updates.update_published(registry, published, **options)
-    second = updates.update_text(first, texts, ["UrlActaDL", "NombreArchivoActa"], **options)
-    return updates.update_visited(second, visited, **options)
+    columns = ["ActaPublicada", "UrlActaDL", "NombreArchivoActa", "Url_visitada"]
+    registry = inputs.registry(spark, sf_dir)
+    return updates.update_columns(registry, lines, columns, ["Codigo"], _LINE_ORDER, RUN_TS)
 
 
 _CHANGED = ", ".join(
@@ -231,8 +233,8 @@ def update_changed(spark, sf_dir):
       CASE WHEN UrlActaDL = '' AND Url_visitada = 1 THEN 'none' ELSE UrlActaDL END AS UrlActaDL,
       CASE WHEN UrlActaDL = '' AND Url_visitada = 1 THEN ActaPublicada + 2 ELSE ActaPublicada END AS ActaPublicada,
       CASE WHEN UrlActaDL = '' AND Url_visitada = 1 THEN {_RUN} ELSE FechaModificacionReg END
-        AS FechaModificacionReg) FROM registry""",
-        "registry",
+        AS FechaModificacionReg) FROM whole_registry""",
+        "whole_registry",
     ),
 )
 def update_predicate(spark, sf_dir):
@@ -242,7 +244,7 @@ def update_predicate(spark, sf_dir):
         "ActaPublicada": F.col("ActaPublicada") + 2,
         "FechaModificacionReg": moment(RUN_TS),
     }
-    return updates.update_where(inputs.registry(spark, sf_dir), predicate, values)
+    return updates.update_where(inputs.whole_registry(spark, sf_dir), predicate, values)
 
 
 @query(
@@ -250,13 +252,13 @@ def update_predicate(spark, sf_dir):
     sql(
         f"""SELECT r.* REPLACE (coalesce(f.new, r.UrlActaDL) AS UrlActaDL,
       CASE WHEN f.new IS NULL THEN r.FechaModificacionReg ELSE {_RUN} END AS FechaModificacionReg)
-    FROM registry r LEFT JOIN (SELECT UrlActaDL AS old, 'new/' || NombreArchivoActa AS new
-      FROM registry WHERE ActaPublicada = 1 AND UrlActaDL <> '') f ON f.old = r.UrlActaDL""",
-        "registry",
+    FROM whole_registry r LEFT JOIN (SELECT UrlActaDL AS old, 'new/' || NombreArchivoActa AS new
+      FROM whole_registry WHERE ActaPublicada = 1 AND UrlActaDL <> '') f ON f.old = r.UrlActaDL""",
+        "whole_registry",
     ),
 )
 def repath(spark, sf_dir):
-    registry = inputs.registry(spark, sf_dir)
+    registry = inputs.whole_registry(spark, sf_dir)
     moved = (F.col("ActaPublicada") == 1) & (F.col("UrlActaDL") != "")
     moves = registry.filter(moved).select(
         F.col("UrlActaDL").alias("old"),
@@ -271,12 +273,12 @@ def repath(spark, sf_dir):
         f"""SELECT * REPLACE (
       CASE WHEN UrlActaDL LIKE '%/1999/0_/%' THEN 'moved' ELSE UrlActaDL END AS UrlActaDL,
       CASE WHEN UrlActaDL LIKE '%/1999/0_/%' THEN {_RUN} ELSE FechaModificacionReg END
-        AS FechaModificacionReg) FROM registry""",
-        "registry",
+        AS FechaModificacionReg) FROM whole_registry""",
+        "whole_registry",
     ),
 )
 def repath_like(spark, sf_dir):
-    return updates.repath_like(inputs.registry(spark, sf_dir), "moved", "%/1999/0_/%", RUN_TS)
+    return updates.repath_like(inputs.whole_registry(spark, sf_dir), "moved", "%/1999/0_/%", RUN_TS)
 
 
 # --- outcomes and reports ---------------------------------------------------------
@@ -344,11 +346,10 @@ def bucket_report(spark, sf_dir):
     return report.bucket_items(_entries(spark, sf_dir))
 
 
-CTES["bucket_counts"] = """
+CTES["bucket_counts"] = f"""
   SELECT f.source_file, b.bucket, count(e.bucket) AS n
   FROM (SELECT DISTINCT source_file FROM entries) f
-  CROSS JOIN (SELECT unnest(['actas_no_subidas_al_dl', 'actas_no_descargadas', 'actas_no_procesadas_literata',
-    'actas_procesadas_literata', 'actas_descargadas', 'actas_subidas_al_dl']) AS bucket) b
+  CROSS JOIN (SELECT unnest({FILE_BUCKETS}) AS bucket) b
   LEFT JOIN entries e ON e.source_file = f.source_file AND e.bucket = b.bucket
   GROUP BY ALL"""
 
@@ -361,23 +362,24 @@ def bucket_counts(spark, sf_dir):
     return report.bucket_counts(_entries(spark, sf_dir))
 
 
-REPORT_FILES = ["20240101", "20240102", "20240115"]
-
-
 @query(
     "report_wide",
     sql(
-        "SELECT bucket AS metric, "
-        + ", ".join(f"max(n) FILTER (WHERE source_file = '{f}') AS \"{f}\"" for f in REPORT_FILES)
-        + " FROM bucket_counts GROUP BY bucket",
+        """SELECT metric, source_file, n FROM (
+      SELECT bucket AS metric, source_file, n FROM bucket_counts) b""",
         "outcomes",
         "entries",
         "bucket_counts",
     ),
 )
 def report_wide(spark, sf_dir):
+    """The wide report of all source files, written as CSV and read back as rows."""
     counts = report.bucket_counts(_entries(spark, sf_dir))
     long = counts.withColumnsRenamed({"bucket": "metric", "n": "value"})
-    return report.wide_report(long, REPORT_FILES)
-
-
+    folder = shared_dir(spark, "report")
+    sinks.write_report(report.wide_report(long), folder)
+    wide = spark.read.csv(folder, header=True)
+    files = [c for c in wide.columns if c != "metric"]
+    return wide.unpivot("metric", [F.col(f"`{f}`") for f in files], "source_file", "n").select(
+        "metric", "source_file", F.col("n").cast("long").alias("n")
+    )

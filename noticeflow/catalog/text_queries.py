@@ -278,13 +278,13 @@ def url_id_extract(spark, sf_dir):
     sql(
         """SELECT path, regexp_extract(path, '[^/]*$') AS name,
       regexp_replace(regexp_extract(path, '[^/]*$'), '\\.\\w+', '', 'g') AS bare,
-      regexp_extract(path, '[^.]*$') AS ext FROM files""",
-        "files",
+      regexp_extract(path, '[^.]*$') AS ext FROM all_files""",
+        "all_files",
     ),
 )
 def file_name_build(spark, sf_dir):
     path = F.col("path")
-    return inputs.files(spark, sf_dir).select(
+    return inputs.all_files(spark, sf_dir).select(
         "path",
         names.base_name(path).alias("name"),
         names.without_extensions(names.base_name(path)).alias("bare"),
@@ -297,44 +297,43 @@ def file_name_build(spark, sf_dir):
     sql(
         f"""SELECT path, p[2] AS opp, p[3] AS code, p[4][1:4] AS year, lpad(p[4][5:], 2, '0') AS month,
       '{inputs.DOCUMENT_FOLDER}/' || p[4][1:4] || '/' || lpad(p[4][5:], 2, '0') || '/' || path[6:] AS archive
-      FROM (SELECT path, string_split(path[6:], '_') AS p FROM files) f""",
-        "files",
+      FROM (SELECT path, string_split(path[6:], '_') AS p FROM all_files) f""",
+        "all_files",
     ),
 )
 def file_name_parse(spark, sf_dir):
-    parsed = inputs.files(spark, sf_dir).withColumn(
+    parsed = inputs.all_files(spark, sf_dir).withColumn(
         "p", names.parse_document_name(F.col("path"))
     )
     return parsed.select("path", "p.opp", "p.code", "p.year", "p.month", "p.archive")
 
 
 # --- nested values ----------------------------------------------------------
-_SPANS = [(0, 6), (7, 15), (20, 41), (0, 6)]
+_EVERY, _WIDE = 500, 12
 
 
 @query(
     "entity_realign",
-    f"""SELECT doc_id, i, strpos(clean, word) - 1 AS start, strpos(clean, word) - 1 + length(word) AS stop,
+    f"""SELECT doc_id, strpos(clean, word) - 1 AS start, strpos(clean, word) - 1 + length(word) AS stop,
       'ORG' AS label FROM (
-        SELECT doc_id, i, {_clean('text')} AS clean, {_clean('substr(text, s + 1, e - s)')} AS word
-        FROM documents, (VALUES {', '.join(f'({i}, {a}, {b})' for i, (a, b) in enumerate(_SPANS, 1))}) v(i, s, e)
+        SELECT doc_id, {_clean('text')} AS clean, {_clean(f'substr(text, s + 1, {_WIDE})')} AS word
+        FROM (SELECT doc_id, text,
+          unnest(range(0, greatest(length(text) - {_WIDE}, 0) + 1, {_EVERY})) AS s FROM documents) v
       ) d WHERE strpos(clean, word) > 0""",
 )
 def entity_realign(spark, sf_dir):
-    spans = F.array(
-        *[
-            F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit("X").alias("label"))
-            for a, b in _SPANS
-        ]
-    )
+    """Spans of twelve characters all over each text."""
     body = F.col("text")
+    starts = F.sequence(F.lit(0), F.greatest(F.length(body) - _WIDE, F.lit(0)), F.lit(_EVERY))
+    spans = F.transform(
+        starts,
+        lambda s: F.struct(s.alias("start"), (s + _WIDE).alias("end"), F.lit("X").alias("label")),
+    )
     moved = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.posexplode(nested.realign_entities(body, spans)["entities"]).alias("p", "e"),
+        "doc_id", F.explode(nested.realign_entities(body, spans)["entities"]).alias("e")
     )
     return moved.select(
         "doc_id",
-        (F.col("p") + 1).alias("i"),
         F.col("e.start").cast("bigint").alias("start"),
         F.col("e.end").cast("bigint").alias("stop"),
         F.col("e.label").alias("label"),

@@ -48,10 +48,14 @@ def long_report(counts: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
     return counts.unpivot(by, [F.col(m) for m in metrics], "metric", "value")
 
 
-def wide_report(report: DataFrame, files: list[str], by: str = SOURCE_FILE) -> DataFrame:
-    """One row per metric and one column per source file."""
-    wide = report.groupBy("metric").pivot(by, files).agg(F.first("value"))
-    return wide.select("metric", *[F.col(f"`{f}`") for f in files])
+def wide_report(report: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """One row per metric and one column per source file, all files of the report.
+
+    A wide report has as many columns as files, so it is for runs of up to some
+    thousands of them (``spark.sql.pivotMaxValues``); beyond that Spark refuses and the
+    long report serves.
+    """
+    return report.groupBy("metric").pivot(by).agg(F.first("value"))
 
 
 def backlog(registry: DataFrame) -> DataFrame:

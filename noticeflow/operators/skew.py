@@ -8,9 +8,10 @@ for files taken from the footers, and the bytes of few rows decide between two w
 
 A key is *hot* when more than ``hot_rows`` rows of the left side carry it. There
 can be at most ``rows / hot_rows`` such keys, so the list of hot keys is small by
-construction and is broadcast. Rows of a hot key, and rows without a key, are spread
-over ``ways`` tasks by a hash of the partition they come from and of the columns that
-tell them apart; the one matching row of the right side is copied to each of these
+construction and is broadcast, with the number of ways each is split in, its rows over
+``hot_rows``. Rows of a hot key are spread over its ways by a hash of the partition they
+come from and of the columns that tell them apart; the one matching row of the right
+side is copied to each way. Rows without a key match nothing and are spread over all
 tasks. All other keys take an ordinary shuffle.
 """
 
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 from ..session import written
 
 HOT_ROWS = 1_000_000
-HOT_WAYS = 256
+NULL_WAYS = 1 << 20
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-_HOT, _SALT = "_hot", "_salt"
+_WAYS, _SALT = "_ways", "_salt"
 
 
 def _setting(df: DataFrame, name: str, default: int) -> int:
@@ -92,7 +93,9 @@ class Hot:
         counts = self.counted
         if counts is None:
             counts = self.df.groupBy(*self.on).agg(F.count(F.lit(1)).alias("_n"))
-        found = counts.filter(F.col("_n") > hot_limit(self.df)).select(*self.on)
+        limit = hot_limit(self.df)
+        ways = F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias(_WAYS)
+        found = counts.filter(F.col("_n") > limit).select(*self.on, ways)
         listed = write_once(found, "hot").frame
         return None if listed.isEmpty() else listed
 
@@ -113,7 +116,6 @@ def spread_join(
     how: str = "left",
     spread_by: list[str] | None = None,
     hot: Hot | None = None,
-    ways: int = HOT_WAYS,
 ) -> DataFrame:
     """Shuffle join to a right side that is unique in ``on``, hot keys split.
 
@@ -125,19 +127,19 @@ def spread_join(
     hot_list = (hot or Hot(left, on)).keys
     if hot_list is None:
         return left.join(right, on, how).select(*columns)
-    marked = F.broadcast(hot_list.withColumn(_HOT, F.lit(True)))
+    marked = F.broadcast(hot_list)
     # The partition a row comes from tells copies apart, and is the same on a retry.
     told_apart = F.xxhash64(F.spark_partition_id(), *(spread_by or left.columns))
-    spread = F.pmod(told_apart, F.lit(ways)).cast("int")
+    # Rows without a key match nothing, so they may go anywhere.
+    anywhere = F.when(_any_null(on), F.pmod(told_apart, F.lit(NULL_WAYS)))
+    salt = F.when(F.col(_WAYS).isNotNull(), F.pmod(told_apart, F.col(_WAYS)))
     salted = (
         left.join(marked, on, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT) | _any_null(on), spread).otherwise(0))
-        .drop(_HOT)
+        .withColumn(_SALT, F.coalesce(anywhere, salt, F.lit(0)).cast("int"))
+        .drop(_WAYS)
     )
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copied = right.join(marked, on, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
+    each = F.sequence(F.lit(0), F.coalesce(F.col(_WAYS), F.lit(1)) - 1)
+    copied = right.join(marked, on, "left").withColumn(_SALT, F.explode(each)).drop(_WAYS)
     return salted.join(copied, [*on, _SALT], how).select(*columns)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import moment
 from ..operators.keys import search_registry
-from ..schema import KEYS, MAX_QUEUE_ROWS
+from ..schema import KEYS
 
 __all__ = [
     "changed_since",
@@ -56,7 +56,7 @@ def pending_downloads(registry: DataFrame, fields: list[str] = KEYS) -> DataFram
 
 
 def queue_head(
-    queue: DataFrame, month: int, order: list[str], rows: int = MAX_QUEUE_ROWS
+    queue: DataFrame, month: int, order: list[str], rows: int
 ) -> DataFrame:
     """First ``rows`` entries of a month not yet asked for, in key order."""
     open_rows = queue.filter((F.col("anomes") == month) & F.col("FechaUltimaConsulta").isNull())

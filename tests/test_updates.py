@@ -86,12 +86,12 @@ def test_queue(spark):
         "opportunityId int, anomes int, FechaUltimaConsulta timestamp_ntz, ActaDescargada int, "
         "resultadoConsultaDesc string",
     )
-    assert [r[0] for r in scans.queue_head(queue, 202101, ["opportunityId"]).collect()] == [1, 3]
+    assert [r[0] for r in scans.queue_head(queue, 202101, ["opportunityId"], 3000).collect()] == [1, 3]
     assert [r[0] for r in scans.queue_head(queue, 202101, ["opportunityId"], 1).collect()] == [1]
     results = spark.createDataFrame([(3, 1, "ok")], "opportunityId int, ActaDescargada int, resultadoConsultaDesc string")
     out = updates.update_queue(queue, results, run_ts=RUN)
     assert (3, 202101, NOW, 1, "ok") in _rows(out)
-    assert scans.queue_head(out, 202101, ["opportunityId"]).count() == 1
+    assert scans.queue_head(out, 202101, ["opportunityId"], 3000).count() == 1
 
 
 def test_pending_and_backlog(spark):
@@ -182,5 +182,5 @@ def test_reports(spark, outcomes):
     twice = report.bucket_items(entries.unionByName(entries))
     assert {r["times"] for r in twice.collect()} == {2}
     long = report.bucket_counts(entries).withColumnsRenamed({"bucket": "metric", "n": "value"})
-    wide = report.wide_report(long, ["f1", "f2"])
+    wide = report.wide_report(long)
     assert wide.columns == ["metric", "f1", "f2"] and wide.count() == 6
