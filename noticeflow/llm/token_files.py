@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 from .common import table, text_chunks
 from .registry import query
-from .tokens import encoder
+from .tokens import ENCODE_BYTES, encoder
 
 NO_ID = -(2**63)
 _SHARD = "part int, shard string, documents long, tokens long"
@@ -52,7 +52,7 @@ def _write_shard(folder: str, path: str, cut: str, end_id: int, width: int):
         encode = encoder(path, cut).encode
         store, root = fs.FileSystem.from_uri(folder)
         shard, out, doc_ids, sizes = uuid.uuid4().hex, None, [], []
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, limit=ENCODE_BYTES):
             if out is None:
                 out = store.open_output_stream(f"{root}/{shard}.bin")
             ids, lengths = encode(batch.column("text"))

@@ -5,13 +5,14 @@ the ``tokenizers`` library and remembered, and the ids of a text are the ids of
 pieces in order. The memory is bounded: a full one drops the pieces that did not come
 again, which costs time and changes nothing.
 
-* ``words``: pieces are runs of anything but ASCII white space. For tokenizers that drop
-  white space.
-* ``spaced``: a piece is a run of white space and what follows up to the next ASCII white
-  space. For byte-level tokenizers whose tokens carry the blank before a word.
-
-A piece of plain letters, perhaps with a line feed before or a stop or comma behind, is cut
-alike by both patterns; its parts go straight to the library's BPE model. All other pieces take
+* ``words``: pieces are runs of anything but ASCII white space, without a stop or comma
+  between a letter and such white space, which is a piece of its own. For tokenizers that
+  drop white space.
+* ``spaced``: the same, but a piece begins with the white space before it. For byte-level
+  tokenizers whose tokens carry the blank before a word.
+
+A piece of plain letters, perhaps with a line feed before, is cut alike by both patterns;
+its parts go straight to the library's BPE model. All other pieces take
 the library's whole path.
 """
 
@@ -25,15 +26,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# A cut is made only before ASCII white space that follows something no tokenizer takes
-# for white space; other blanks stay inside their piece.
-_CUT = r"([^\s\x0b\p{Z}\x1c-\x1f\x{85}\x{180e}\x{200b}\x{feff}])([ \t-\r])"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+# A cut is made before ASCII white space that follows something no tokenizer takes for
+# white space (other blanks stay inside their piece), and on both sides of a stop or comma
+# between a letter and such white space.
+_STOP = rf"([{_LETTERS}])([.,])([ \t-\r])"
+_CUT = _STOP + r"|([^\s\x0b\p{Z}\x1c-\x1f\x{85}\x{180e}\x{200b}\x{feff}])([ \t-\r])"
 _MARK = "\0"
 _SPACED = re.compile(r"\s*\S+(?:[^\S\x20\x09-\x0D]\s*\S*)*|\s+")
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)([.,]?)")
-_PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)([.,]?)")
+_PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)")
+_PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)")
 REMEMBERED = 500_000
+# Texts are encoded in portions: the larger, the fewer pieces are looked up again.
+ENCODE_BYTES = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -84,11 +89,12 @@ class PieceEncoder:
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """How many pieces each text has, and all pieces."""
         if self.words:
+            texts = pc.replace_substring_regex(texts, _STOP, r"\1 \2\3")
             lists = pc.ascii_split_whitespace(texts)
         elif pc.any(pc.match_substring(texts, _MARK)).as_py():
             lists = pa.array([_SPACED.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
         else:
-            marked = pc.replace_substring_regex(texts, _CUT, rf"\1{_MARK}\2")
+            marked = pc.replace_substring_regex(texts, _CUT, rf"\1\4{_MARK}\2{_MARK}\3\5")
             lists = pc.split_pattern(marked, _MARK)
         pieces = lists.flatten()
         filled = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy() > 0)])
@@ -105,9 +111,9 @@ class PieceEncoder:
         found = (_PLAIN_WORD if self.words else _PLAIN).fullmatch(piece)
         if found is None:
             return None
-        feed, stem, stop = found.groups()
+        feed, stem = found.groups()
         stem = (stem.lower() if self.words else stem).encode().decode("latin-1")
-        parts = (feed.translate(_BYTE_LETTERS), stem.translate(_BYTE_LETTERS), stop)
+        parts = (feed.translate(_BYTE_LETTERS), stem.translate(_BYTE_LETTERS))
         return [t.id for part in parts if part for t in self.model.tokenize(part)]
 
     def _learn(self, pieces: list[str]) -> None:
