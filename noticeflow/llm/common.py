@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,19 +23,36 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that a table does not have."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, divisor: int) -> Column:
     """crc32 of a value's text form modulo ``divisor``; -1 for NULL."""
     digest = F.crc32(F.col(column).cast("string").cast("binary"))
     return F.coalesce(F.pmod(digest, F.lit(divisor)), F.lit(-1)).cast("int")
 
 
+def give_back() -> None:
+    """Return unused memory of this worker process, which serves other operators later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not all systems' C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_chunks(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a piece holds at most ``limit`` bytes of a column.
 
-    A single longer value stays whole, in a piece of its own.
+    A single longer value stays whole, in a piece of its own. Before the first and after
+    the last piece the process gives back what it does not use.
     """
+    give_back()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -45,6 +65,8 @@ def text_chunks(
             stop = max(stop, start + 1)
             yield batch.slice(start, stop - start)
             start = stop
+        del batch
+    give_back()
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

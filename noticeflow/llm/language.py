@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, table, text_chunks
+from .common import crc_mod, give_back, table, text_chunks
 from .registry import query
 
 ORDERS, CELLS = 4, 1 << 14
@@ -132,38 +132,35 @@ def infer(model: np.ndarray, letters: bytes) -> dict[int, float]:
 
 
 _PREDICTED = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
+_MIX = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
 
-def identify(docs: DataFrame, languages: list[str], model: np.ndarray, carry: list[str]) -> DataFrame:
-    """``carry`` columns with lang_pred, score and the proportions of all found languages."""
+def identify(
+    docs: DataFrame, languages: list[str], model: np.ndarray, name: str = "language"
+) -> DataFrame:
+    """The rows with a struct column ``name``: lang_pred, score and the shares of all found.
+
+    A column of that name is replaced. Only texts travel to Python.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(_PREDICTED)
+    def predict(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = sent.value.astype(np.float64)
-        for batch in text_chunks(batches, "_text"):
+        for part in parts:
             names, scores, mixes = [], [], []
-            for text in batch.column("_text").to_pylist():
-                letters = _letters(text)
+            for text in part:
+                letters = _letters(text.as_py())
                 found = infer(weights, letters) if letters and languages else {}
                 order = sorted(found, key=lambda i: (-found[i], i))
                 names.append(languages[order[0]] if order else "und")
                 scores.append(min(1.0, found[order[0]]) if order else 0.0)
                 mixes.append([{"lang": languages[i], "share": found[i]} for i in order])
-            mix_type = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(f"_{i}") for i in range(len(carry))),
-                    pa.array(names, pa.string()),
-                    pa.array(scores, pa.float64()),
-                    pa.array(mixes, mix_type),
-                ],
-                names=[*carry, "lang_pred", "score", "languages"],
-            )
+            columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, _MIX)]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "languages"])
+        give_back()
 
-    # Own names inside, so that a carried column may have any name.
-    inner = docs.select(F.col("text").alias("_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)])
-    return inner.mapInArrow(run, f"{kinds}, {_PREDICTED}")
+    return docs.withColumn(name, predict("text"))
 
 
 def fold(docs: DataFrame, divisor: int = 4, held: int = 2) -> DataFrame:
@@ -174,4 +171,5 @@ def fold(docs: DataFrame, divisor: int = 4, held: int = 2) -> DataFrame:
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fold(table(spark, sf_dir, "documents"))
     languages, model = train(docs.filter(~F.col("held_out")))
-    return identify(docs, languages, model, ["doc_id", "held_out"]).drop("languages")
+    found = identify(docs, languages, model)
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import mixed, spans, table, text_chunks
 from .registry import query
-from .tokens import ENCODE_BYTES, encoder
+from .tokens import encoded
 
 DIMENSIONS, AXES, BITS = 64, 4, 15
 _TOKENIZED = "row long, doc_id long, place long, n_ids long, ids binary"
@@ -88,10 +88,8 @@ def _tokenize(path: str, cut: str, end_id: int, width: int):
     kind = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, cut).encode
         row = TaskContext.get().partitionId() << 33
-        for batch in text_chunks(batches, limit=ENCODE_BYTES):
-            ids, lengths = encode(batch.column("text"))
+        for batch, ids, lengths in encoded(batches, path, cut):
             ids = np.insert(ids, np.cumsum(lengths), end_id)
             lengths = lengths + 1
             cuts = np.concatenate([[0], np.cumsum(lengths)]) * kind.itemsize

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import table, text_chunks, texts
+from .common import table, text_chunks, texts, unused
 from .components import components
 from .gray_index import forest, linked
 from .registry import query
@@ -188,9 +188,10 @@ def one_of_each(docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
     first = groups(docs, words, limit).groupBy("root").agg(F.min(order).alias("first"))
     first = written(first.select(F.col("first.doc_id").alias("_d"), F.col("first.tie").alias("_t")), "kept")
-    keyed = docs.withColumn("_tie", F.xxhash64("text"))
-    same = keyed.doc_id.cast("long").eqNullSafe(first["_d"]) & (keyed["_tie"] == first["_t"])
-    kept = keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", "_tie"])
+    tie = unused("tie", docs.columns)
+    keyed = docs.withColumn(tie, F.xxhash64("text"))
+    same = keyed.doc_id.cast("long").eqNullSafe(first["_d"]) & (keyed[tie] == first["_t"])
+    kept = keyed.join(first, same, "left_semi").dropDuplicates(["doc_id", tie])
     return kept.select(*docs.columns)
 
 

@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import table, text_chunks
+from .common import table
 from .registry import query
-from .tokens import ENCODE_BYTES, encoder
+from .tokens import encoded
 
 NO_ID = -(2**63)
 _SHARD = "part int, shard string, documents long, tokens long"
@@ -49,13 +49,11 @@ def _write_shard(folder: str, path: str, cut: str, end_id: int, width: int):
     kind = np.dtype(f"<u{width}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, cut).encode
         store, root = fs.FileSystem.from_uri(folder)
         shard, out, doc_ids, sizes = uuid.uuid4().hex, None, [], []
-        for batch in text_chunks(batches, limit=ENCODE_BYTES):
+        for batch, ids, lengths in encoded(batches, path, cut):
             if out is None:
                 out = store.open_output_stream(f"{root}/{shard}.bin")
-            ids, lengths = encode(batch.column("text"))
             ends = np.cumsum(lengths)
             out.write(np.insert(ids, ends, end_id).astype(kind).tobytes())
             sizes.append(lengths + 1)

@@ -19,6 +19,7 @@ the library's whole path.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -26,6 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from .common import text_chunks
+
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A cut is made before ASCII white space that follows something no tokenizer takes for
 # white space (other blanks stay inside their piece), and on both sides of a stop or comma
@@ -36,7 +39,7 @@ _MARK = "\0"
 _SPACED = re.compile(r"\s*\S+(?:[^\S\x20\x09-\x0D]\s*\S*)*|\s+")
 _PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)")
 _PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)")
-REMEMBERED = 500_000
+REMEMBERED, KEPT = 500_000, 150_000
 # Texts are encoded in portions: the larger, the fewer pieces are looked up again.
 ENCODE_BYTES = 8 << 20
 
@@ -73,12 +76,11 @@ class PieceEncoder:
         self.hits = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _shrink(self) -> None:
-        """Keep the pieces that came again, if these are at most half."""
+    def shrink(self, most: int) -> None:
+        """Keep the pieces that came again, at most so many, the most frequent first."""
         again = np.flatnonzero(self.hits > 1)
-        if 2 * len(again) > self.remembered:
-            self._start()
-            return
+        if len(again) > most:
+            again = np.sort(again[np.argsort(-self.hits[again], kind="stable")[:most]])
         pieces = list(self.index)
         self.flat = self.flat[_places(self.starts[again], self.lengths[again])]
         self.lengths = self.lengths[again]
@@ -136,7 +138,7 @@ class PieceEncoder:
         if not len(pieces):
             return np.zeros(0, np.uint32), counts
         if len(self.index) > self.remembered:
-            self._shrink()
+            self.shrink(self.remembered // 2)
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         known = np.fromiter(map(self.index.get, distinct, repeat(-1)), np.int64, len(distinct))
@@ -158,6 +160,17 @@ def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def encoded(batches, path: str, cut: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Portions of batches with their texts' ids and lengths.
+
+    A worker process keeps its encoder for later tasks, but only with its commonest pieces.
+    """
+    own = encoder(path, cut)
+    for batch in text_chunks(batches, limit=ENCODE_BYTES):
+        yield batch, *own.encode(batch.column("text"))
+    own.shrink(KEPT)
+
+
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 

@@ -25,8 +25,8 @@ def test_mixture_of_two(spark):
     en = " ".join(frame[frame.lang == "en"].text)[:9000]
     de = " ".join(frame[frame.lang == "de"].text)[:3000]
     rows = [(1, en + " " + de), (2, en), (3, de)]
-    got = identify(spark.createDataFrame(rows, "doc_id long, text string"), languages, model, ["doc_id"]).collect()
-    mixes = {r.doc_id: {x.lang: x.share for x in r.languages} for r in got}
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string"), languages, model).collect()
+    mixes = {r.doc_id: {x.lang: x.share for x in r.language.languages} for r in got}
     assert set(mixes[1]) == {"en", "de"} and 0.15 < mixes[1]["de"] < 0.35
     assert set(mixes[2]) == {"en"} and set(mixes[3]) == {"de"}
 
@@ -38,10 +38,10 @@ def test_defined_cases(spark):
     languages, model = train(docs)
     assert languages == ["de", "en"]
     assert np.allclose(np.exp(model.reshape(2, 4, -1)).sum(axis=2), 1)
-    got = {r["_x"]: (r.lang_pred, r.score) for r in identify(docs.withColumnRenamed("score", "_x"), languages, model, ["_x"]).collect()}
+    got = {r["score"]: (r.language.lang_pred, r.language.score) for r in identify(docs, languages, model).collect()}
     assert got[7][0] == "en" and got[8][0] == "de"
     assert got[9] == got[1] == got[2] == ("und", 0.0)
     empty = docs.limit(0)
     languages, model = train(empty)
-    assert languages == [] and identify(empty, languages, model, ["doc_id"]).count() == 0
-    assert {r.lang_pred for r in identify(docs, languages, model, ["doc_id"]).collect()} == {"und"}
+    assert languages == [] and identify(empty, languages, model).count() == 0
+    assert {r.language.lang_pred for r in identify(docs, languages, model).collect()} == {"und"}

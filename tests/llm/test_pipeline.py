@@ -6,6 +6,7 @@ from brute import SMALL, hamming_groups, repeats, simhash, words
 import corpus_pipeline
 from corpus_pipeline import STAGES, run
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 import public_tokenizers
 
@@ -103,3 +104,15 @@ def test_repeated_rows(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
     kept = corpus_pipeline.drop_near_duplicates(spark, docs.union(docs), SMALL)
     assert kept.count() == kept.select("doc_id").distinct().count()
+
+
+def test_clashing_columns(spark):
+    """Columns with the names the stages use inside come through untouched."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30)
+    names = ["language", "tie", "kept", "size", "taken", "_c0", "c0", "key", "range", "held_out", "_text"]
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, stage in STAGES[:4]:
+        wide = stage(spark, wide, SMALL)
+        assert wide.columns == [*docs.columns, *names]
+    rows = wide.collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
