@@ -36,11 +36,14 @@ def query_scan(spark, sf_dir):
 
 @query("csv_scan", sql(f"SELECT {_RAW_FIELDS} FROM raw", "raw"))
 def csv_scan(spark, sf_dir):
-    """Notices written as CSV files, read back as text."""
+    """Notices as CSV files of two header orders, one with a column more, read back as text."""
     folder = shared_dir(spark, "notices-csv")
     raw = inputs.raw_notices(spark, sf_dir).drop("source_file", "_seq")
-    inputs.write_csv(raw, folder)
-    read = notices.read_notices(spark, f"{folder}/*.csv")
+    odd = F.col(f"`{RAW_HEADERS[0]}`").cast("long") % 2 == 1
+    inputs.write_csv(raw.filter(odd), f"{folder}/a")
+    other = raw.filter(~odd).withColumn("remark", F.lit("x"))
+    inputs.write_csv(other.select("remark", *reversed(RAW_HEADERS)), f"{folder}/b")
+    read = notices.read_notices(spark, [f"{folder}/a/*.csv", f"{folder}/b/*.csv"])
     return rename_fields(fold_headers(read)).select(*FIELD_NAMES)
 
 
@@ -48,14 +51,15 @@ def _zip_batches(batches):
     """One archive per batch: a notice member, and a member of another year."""
     for batch in batches:
         text = io.StringIO()
-        writer = csv.writer(text)
+        writer = csv.writer(text, lineterminator="\n")
         writer.writerow(RAW_HEADERS)
         writer.writerows(batch[RAW_HEADERS].itertuples(index=False))
         packed = io.BytesIO()
         with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("ExpedientesPublicados2001_1.csv", text.getvalue())
             z.writestr("ExpedientesPublicados2000.csv", text.getvalue())
-        yield pd.DataFrame({"path": ["a.zip"], "content": [packed.getvalue()]})
+        name = f"{batch[RAW_HEADERS[0]].iloc[0]}.zip"
+        yield pd.DataFrame({"path": [name], "content": [packed.getvalue()]})
 
 
 def _archives(spark, sf_dir):
@@ -69,18 +73,54 @@ def _archives(spark, sf_dir):
 )
 def zip_scan(spark, sf_dir):
     read = archives.read_archives(_archives(spark, sf_dir), 2001)
-    named = rename_fields(fold_headers(read)).withColumnRenamed("source_file", "member")
+    named = rename_fields(fold_headers(read))
     return named.select(*FIELD_NAMES, "member")
 
 
-@query("zip_members")
+def _zip_documents(batches):
+    """An archive per document, with its text as member of two years."""
+    for batch in batches:
+        packed = []
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            content = io.BytesIO()
+            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(f"ExpedientesPublicados2001_{doc_id}.csv", text)
+                z.writestr(f"ExpedientesPublicados2002_{doc_id}.csv", text)
+            packed.append(content.getvalue())
+        names = [f"{i}.zip" for i in batch["doc_id"]]
+        yield pd.DataFrame({"path": names, "content": packed})
+
+
+@query(
+    "zip_members",
+    """SELECT doc_id || '.zip' AS archive, 'ExpedientesPublicados2001_' || doc_id || '.csv' AS member,
+      strlen(text) AS bytes FROM documents""",
+)
 def zip_members(spark, sf_dir):
-    return archives.list_members(_archives(spark, sf_dir), 2001)
+    """Names and lengths of the members of an archive per document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = documents.mapInPandas(_zip_documents, "path string, content binary")
+    return archives.list_members(packed, 2001)
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    """SELECT month, strlen(list) + 1 AS length, (strlen(list) + 1) / 1048576.0::DOUBLE AS size_mb FROM (
+      SELECT strftime(o_orderdate, '%Y%m') AS month,
+        string_agg(o_orderkey || ';' || o_custkey, '|' ORDER BY o_orderkey) AS list
+      FROM orders GROUP BY month) m""",
+)
 def file_inventory(spark, sf_dir):
-    return files.file_inventory(spark, sf_dir, "*.parquet")
+    """Length and megabytes of a written file per month of orders."""
+    folder = shared_dir(spark, "inventory")
+    entry = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
+    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("entry"))))
+    months = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month"))
+    lines = months.agg(F.concat_ws("|", entries["entry"]).alias("value"))
+    lines.write.partitionBy("month").text(folder)
+    listed = files.file_inventory(spark, folder, "*.txt")
+    month = F.regexp_extract("path", r"month=(\d+)/", 1)
+    return listed.select(month.alias("month"), "length", "size_mb")
 
 
 CTES["log_events"] = """

@@ -138,6 +138,19 @@ def insert_rows(spark, sf_dir):
     ),
 )
 def insert_documents(spark, sf_dir):
+    return _insert_documents(spark, sf_dir)[0]
+
+
+@query(
+    "insert_document_ids",
+    sql('SELECT OpportunityId AS "opportunityID" FROM staged', "staged"),
+)
+def insert_document_ids(spark, sf_dir):
+    """The ids that went in, one per inserted row."""
+    return _insert_documents(spark, sf_dir)[1]
+
+
+def _insert_documents(spark, sf_dir):
     index = inputs.registry(spark, sf_dir).select(
         F.col("OpportunityId").alias("opportunityID"),
         F.lit(1).alias("actaID"),
@@ -152,7 +165,7 @@ def insert_documents(spark, sf_dir):
         F.lit("pdf").alias("extension"),
         F.lit("").alias("url_Descarga"),
     )
-    return updates.insert_documents(index, rows)[0]
+    return updates.insert_documents(index, rows)
 
 
 # --- keyed updates --------------------------------------------------------------

@@ -21,7 +21,7 @@ from ..operators.project import (
     to_int,
 )
 from ..operators.skew import write_once
-from ..schema import CODE, STAGED_FIELDS
+from ..schema import CODE, MALFORMED, STAGED_FIELDS
 
 REASON = "reject_reason"
 REJECTED = "reject_value"
@@ -53,7 +53,12 @@ def in_window(raw: DataFrame, as_of: datetime | str, n_days: int) -> DataFrame:
     modified = parse(_raw(_MODIFIED), MODIFIED)
     dated = fold_headers(raw).withColumns({"_modified_text": _raw(_MODIFIED), _MODIFIED: modified})
     late = _raw(_MODIFIED) >= midnight_before(as_of, n_days)
-    return dated.filter(late | _raw(_MODIFIED).isNull())
+    return dated.filter(late | _raw(_MODIFIED).isNull() | _malformed(raw).isNotNull())
+
+
+def _malformed(raw: DataFrame) -> Column:
+    """The text of a row that does not fit its header; its values may stand anywhere."""
+    return F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None).cast("string")
 
 
 def read_dates_and_id(notices: DataFrame) -> DataFrame:
@@ -69,7 +74,9 @@ def read_dates_and_id(notices: DataFrame) -> DataFrame:
     def failure(bad: Column, reason: str, text: Column) -> Column:
         return F.when(bad, F.struct(F.lit(reason).alias("reason"), text.alias("value")))
 
+    malformed = _malformed(notices)
     failures = [
+        failure(malformed.isNotNull(), "cells do not fit the header", malformed),
         failure(_raw(_MODIFIED).isNull(), f"date: {_MODIFIED}", F.col("_modified_text")),
         failure(F.col("opportunityId").isNull(), "no id in address", _raw(_URL)),
     ]
@@ -80,7 +87,7 @@ def read_dates_and_id(notices: DataFrame) -> DataFrame:
     return (
         read.withColumn("_failed", failed)
         .withColumns({REASON: F.col("_failed.reason"), REJECTED: F.col("_failed.value")})
-        .drop("_failed", "_modified_text", *texts)
+        .drop("_failed", "_modified_text", MALFORMED, *texts)
     )
 
 

@@ -91,6 +91,8 @@ KEYS = [ID, CODE]
 # Columns a source adds so that a row can be told apart and traced back.
 SOURCE_FILE = "source_file"
 ROW_SEQ = "_seq"
+# The text of a row whose cells do not fit its file's header.
+MALFORMED = "_malformed"
 
 _INT = {"OpportunityId", "ActaPublicada", "Url_visitada"}
 _TIME = {

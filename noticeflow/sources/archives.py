@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import csv
 import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import fold_header
-from ..schema import ARCHIVE_MEMBER_PREFIX, RAW_HEADERS, ROW_SEQ, SOURCE_FILE
+from ..schema import ARCHIVE_MEMBER_PREFIX, RAW_HEADERS, SOURCE_FILE
+from ..session import shared_dir
+from .notices import read_by_header
 
-BATCH_ROWS = 10_000
+BATCH_LINES = 20_000
 
 
 def load_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -30,66 +32,87 @@ def list_members(archives: DataFrame, year: str | int) -> DataFrame:
     """``archive, member, bytes`` of the members that hold a year's notices."""
     prefix = f"{ARCHIVE_MEMBER_PREFIX}{year}"
 
-    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    found = [i for i in z.infolist() if i.filename.startswith(prefix)]
-                yield pd.DataFrame(
-                    {
-                        "archive": [archive] * len(found),
-                        "member": [i.filename for i in found],
-                        "bytes": [i.file_size for i in found],
-                    }
-                )
-
-    return archives.select("path", "content").mapInPandas(
+            rows = []
+            for row in batch.to_pylist():
+                with zipfile.ZipFile(io.BytesIO(row["content"])) as z:
+                    for i in z.infolist():
+                        if i.filename.startswith(prefix):
+                            rows.append((row["path"], i.filename, i.file_size))
+            columns = list(zip(*rows)) or [(), (), ()]
+            kinds = [pa.string(), pa.string(), pa.int64()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["archive", "member", "bytes"])
+
+    return archives.select("path", "content").mapInArrow(
         names, "archive string, member string, bytes long"
     )
 
 
+def unpack_members(archives: DataFrame, year: str | int) -> DataFrame:
+    """``archive, member, value``: the lines of the members, in order within each.
+
+    One archive is one task, as zip cannot be split; members are unpacked as streams.
+    """
+    prefix = f"{ARCHIVE_MEMBER_PREFIX}{year}"
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            with zipfile.ZipFile(io.BytesIO(row["content"])) as z:
+                for member in z.namelist():
+                    if member.startswith(prefix):
+                        with z.open(member) as raw:
+                            yield from _portions(raw, row["path"], member)
+
+    return archives.select("path", "content").mapInArrow(
+        lines, "archive string, member string, value string"
+    )
+
+
+def _portions(raw, archive: str, member: str) -> Iterator[pa.RecordBatch]:
+    text, held = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="\n"), []
+
+    def batch() -> pa.RecordBatch:
+        n = len(held)
+        columns = [[archive] * n, [member] * n, held]
+        arrays = [pa.array(c, pa.string()) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["archive", "member", "value"])
+
+    for line in text:
+        held.append(line.rstrip("\r\n"))
+        if len(held) == BATCH_LINES:
+            yield batch()
+            held.clear()
+    if held:
+        yield batch()
+
+
 def read_archives(
-    archives: DataFrame, year: str | int, headers: list[str] | None = None
+    archives: DataFrame, year: str | int, headers: list[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Notices of all members whose name starts with the year's prefix.
 
-    One archive is one unit of work, as zip cannot be split; members are decoded
-    as a stream. Columns are found by (folded) header. An empty cell is NULL.
+    Python only unpacks. The lines are written to the shared folder, a file per member,
+    and read from there as other notice files are: by header, by the CSV reader. The
+    source file is ``archive/member``, so equal members of two archives stay apart.
+    An empty cell is NULL.
     """
-    headers = headers or RAW_HEADERS
-    prefix = f"{ARCHIVE_MEMBER_PREFIX}{year}"
-    wanted = {fold_header(h): i for i, h in enumerate(headers)}
-    columns = [*headers, SOURCE_FILE, ROW_SEQ]
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        if name.startswith(prefix):
-                            with z.open(name) as raw:
-                                yield from _frames(raw, name, wanted, columns)
-
-    schema = ", ".join(f"`{h}` string" for h in headers)
-    schema += f", {SOURCE_FILE} string, {ROW_SEQ} long"
-    return archives.select("path", "content").mapInPandas(rows, schema)
-
-
-def _frames(raw, name: str, wanted: dict[str, int], columns: list[str]) -> Iterator[pd.DataFrame]:
-    reader = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-    header = [wanted.get(fold_header(h)) for h in next(reader, [])]
-    width, rows, seq = len(columns) - 2, [], 0
-    for record in reader:
-        if not record:
-            continue
-        row: list = [None] * width
-        for position, value in zip(header, record):
-            if position is not None and value != "":
-                row[position] = value
-        rows.append([*row, name, seq])
-        seq += 1
-        if len(rows) == BATCH_ROWS:
-            yield pd.DataFrame(rows, columns=columns)
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
+    spark = archives.sparkSession
+    folder = shared_dir(spark, "members")
+    unpacked = unpack_members(archives, year)
+    unpacked.write.partitionBy("archive", "member").text(folder)
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers or RAW_HEADERS])
+    parts = ["archive", "member"]
+    if unpacked_nothing(spark, folder):
+        read = read_by_header(spark, [], schema, multi_line, folder, parts)
+    else:
+        read = read_by_header(spark, [f"{folder}/archive=*/member=*"], schema, multi_line, folder, parts)
+    archive = F.regexp_extract("archive", r"[^/]*$", 0)
+    return read.withColumn(SOURCE_FILE, F.concat_ws("/", archive, "member"))
+
+
+def unpacked_nothing(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/archive=*/member=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is None or len(found) == 0

@@ -1,11 +1,22 @@
-"""Notice files: CSV with a header, every column text."""
+"""Notice files: CSV with a header, every column text, columns found by name.
+
+Files may have their columns in any order and more or fewer of them. Files are grouped by
+their header line, and each group is read by Spark's CSV reader with that header as the
+schema, so a value stands under the name its own file gives it.
+"""
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import RAW_SCHEMA, ROW_SEQ, SOURCE_FILE
+from ..functions.text import fold_header
+from ..schema import MALFORMED, RAW_SCHEMA, ROW_SEQ, SOURCE_FILE
 
 
 def read_notices(
@@ -13,21 +24,67 @@ def read_notices(
 ) -> DataFrame:
     """Notices with their file and a number that orders the rows within it.
 
-    No type is inferred. Only paths that contain ``.csv`` are notice files. With
-    ``multi_line`` a quoted value may hold line breaks, and a file is one task;
-    without it large files are split.
+    No type is inferred. Only paths that contain ``.csv`` are notice files. A column the
+    file lacks is NULL. A row with more or fewer cells than its header keeps its text in
+    the ``MALFORMED`` column, NULL for all others. With ``multi_line`` a quoted value may
+    hold line breaks, and a file is one task; without it large files are split.
     """
     paths = [path] if isinstance(path, str) else list(path)
     unknown = [p for p in paths if ".csv" not in p]
     if unknown:
         raise ValueError(f"not a notice file: {unknown}")
-    frame = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(paths)
-    )
-    return frame.withColumn(SOURCE_FILE, F.col("_metadata.file_name")).withColumn(
-        ROW_SEQ, F.monotonically_increasing_id()
+    return read_by_header(spark, paths, schema, multi_line)
+
+
+def read_by_header(
+    spark: SparkSession, paths: list[str], schema, multi_line: bool, base: str | None = None, parts=()
+) -> DataFrame:
+    """The same for any paths; ``parts`` names folder columns below ``base`` to keep as text."""
+    groups = _headers(spark, paths).collect() if paths else []
+    wanted = {fold_header(f.name): f.name for f in schema}
+    extra = [SOURCE_FILE, ROW_SEQ, MALFORMED, *parts]
+    if not groups:
+        fields = [*schema, *[T.StructField(c, T.StringType()) for c in extra]]
+        empty = spark.createDataFrame([], T.StructType(fields))
+        return empty.withColumn(ROW_SEQ, F.col(ROW_SEQ).cast("long"))
+    frames = []
+    for group in groups:
+        names = next(csv.reader([group.header.removeprefix("﻿")]), [])
+        folded = [fold_header(n.strip()) for n in names]
+        # A name that occurs twice counts where it stands first.
+        own = [n if n in wanted and n not in folded[:i] else f"_{i}" for i, n in enumerate(folded)]
+        fields = [T.StructField(n, T.StringType()) for n in [*own, MALFORMED, *parts]]
+        reader = spark.read.schema(T.StructType(fields)).option("header", True)
+        reader = reader.option("multiLine", multi_line).option("escape", '"')
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+        if base:
+            reader = reader.option("basePath", base)
+        # Spark gives paths as URIs.
+        read = reader.csv([unquote(f) for f in group.files])
+        values = [
+            (F.col(f"`{n}`") if n in own else F.lit(None).cast("string")).alias(name)
+            for n, name in wanted.items()
+        ]
+        frames.append(
+            read.select(
+                *values,
+                F.col("_metadata.file_name").alias(SOURCE_FILE),
+                F.monotonically_increasing_id().alias(ROW_SEQ),
+                MALFORMED,
+                *parts,
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(header, files): the distinct first lines and the paths of the files that have them.
+
+    One row per layout, and one path per file, as in Spark's own list of input files.
+    """
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), place.alias("place")
     )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))

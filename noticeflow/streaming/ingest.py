@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.incremental import run_incremental
-from ..schema import ROW_SEQ, SOURCE_FILE
+from ..schema import MALFORMED, ROW_SEQ, SOURCE_FILE
 from ..sinks.snapshots import SnapshotTable
 
 
@@ -72,11 +73,15 @@ def stream_notices(
     """Notice files as a stream, with their file's name; one file per micro-batch.
 
     One file at a time keeps their order, and within it the rows of a file that is read
-    as one piece are in the order of the file.
+    as one piece are in the order of the file. A file whose header does not fit the schema
+    stops the stream; rows that do not fit the header are marked and end as rejects.
     """
+    if fmt == "csv":
+        schema = StructType([*schema, StructField(MALFORMED, StringType())])
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
         reader = reader.option("enforceSchema", False)
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     loaded = reader.option("maxFilesPerTrigger", files_per_batch).load(path)
     return loaded.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))

@@ -40,9 +40,21 @@ def test_csv_is_read_as_text(spark, tmp_path):
         notices.read_notices(spark, "n.txt")
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    """Files of other header orders, with more or fewer columns, and ragged rows."""
+    code, name = RAW_HEADERS[0], "Nombre de la UC"
+    (tmp_path / "a.csv").write_text(f"{code},{name}\n1,one\n2,two,three\n3\n")
+    (tmp_path / "b.csv").write_text(f"\ufeffother,{name},Codigo del expediente,{name}\nx,four,4,y\n")
+    rows = notices.read_notices(spark, str(tmp_path / "*.csv")).orderBy("source_file", "_seq").collect()
+    assert [(r[code], r[name], r["_malformed"]) for r in rows] == [
+        ("1", "one", None), ("2", "two", "2,two,three"), ("3", None, "3"), ("4", "four", None),
+    ]
+    assert {r["Operador"] for r in rows} == {None}
+
+
 def test_archive_members(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("ExpedientesPublicados2021_b.csv", "﻿" + _csv(*RECORDS))
+        z.writestr("ExpedientesPublicados2021_b.csv", "\ufeff" + _csv(*RECORDS))
         z.writestr("ExpedientesPublicados2020.csv", _csv(RECORDS[0]))
         z.writestr("x/ExpedientesPublicados2021.csv", _csv(RECORDS[0]))
         z.writestr("ExpedientesPublicados2021_a.csv", "")
@@ -50,10 +62,20 @@ def test_archive_members(spark, tmp_path):
     members = [r["member"] for r in archives.list_members(loaded, 2021).collect()]
     assert sorted(members) == ["ExpedientesPublicados2021_a.csv", "ExpedientesPublicados2021_b.csv"]
     rows = archives.read_archives(loaded, "2021").orderBy("_seq").collect()
-    assert [(r[RAW_HEADERS[0]], r["Nombre de la UC"], r["source_file"], r["_seq"]) for r in rows] == [
-        ("007", 'a, "b"\nc', "ExpedientesPublicados2021_b.csv", 0),
-        ("9", " x ", "ExpedientesPublicados2021_b.csv", 1),
+    assert [(r[RAW_HEADERS[0]], r["Nombre de la UC"], r["source_file"]) for r in rows] == [
+        ("007", 'a, "b"\nc', "a.zip/ExpedientesPublicados2021_b.csv"),
+        ("9", " x ", "a.zip/ExpedientesPublicados2021_b.csv"),
     ]
+    assert archives.read_archives(loaded, "1999").count() == 0
+
+
+def test_equal_members_of_two_archives(spark, tmp_path):
+    for name, record in zip("ab", RECORDS):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
+            z.writestr("ExpedientesPublicados2021.csv", _csv(record, record))
+    rows = archives.read_archives(archives.load_archives(spark, str(tmp_path)), 2021).collect()
+    assert len({(r["source_file"], r["_seq"]) for r in rows}) == 4
+    assert {(r["source_file"][:5], r[RAW_HEADERS[0]]) for r in rows} == {("a.zip", "007"), ("b.zip", "9")}
 
 
 def test_inventory_does_not_read_contents(spark, tmp_path):
