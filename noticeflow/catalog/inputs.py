@@ -353,6 +353,7 @@ _BASE = f"'{DOCUMENT_KIND}_' || OpportunityId || '_' || Codigo || '_202401'"
 _FILE = f"{_BASE} || '_' || seq || '.' || ext"
 _PAGE_OK = "error IS NULL AND page_status = 200"
 _LINK = f"{_PAGE_OK} AND n_links > 0 AND link_pieces = 3"
+_FETCHED = f"{_LINK} AND file_status = 200"
 CTES["entries"] = f"""
   SELECT source_file, Codigo, OpportunityId, 'actas_no_descargadas' AS bucket, {_BASE} AS name
   FROM outcomes WHERE NOT ({_PAGE_OK}) OR n_links = 0 OR ({_LINK} AND file_status <> 200)

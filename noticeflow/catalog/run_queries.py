@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import report, status
 from ..plans.incremental import run_incremental
 from ..plans.pending import resolve_pending
 from ..plans.staging import stage
-from ..schema import RAW_HEADERS, REGISTRY_FIELDS, REGISTRY_SCHEMA, STAGED_FIELDS
+from ..schema import RAW_HEADERS, REGISTRY_FIELDS, REGISTRY_SCHEMA, STAGE_COUNTS, STAGED_FIELDS
 from ..session import shared_dir
 from ..sinks.snapshots import SnapshotTable
 from ..streaming.ingest import start_ingest, stream_notices
@@ -122,6 +123,44 @@ def stage_counts(spark, sf_dir):
     return _run(spark, sf_dir).counts
 
 
+_COUNTS = """SELECT source_file, count(*) AS filtered, count(*) FILTER (WHERE label = 'existing') AS existing,
+      count(*) FILTER (WHERE document = 'without_document') AS without_document,
+      count(*) FILTER (WHERE document = 'with_document') AS with_document,
+      count(DISTINCT seq) FILTER (WHERE label = 'new' OR document = 'without_document') AS to_download
+    FROM run_labelled GROUP BY source_file"""
+_STAGES = " UNION ALL ".join(
+    f"SELECT source_file, '{bucket}' AS bucket, {column or 'CAST(0 AS BIGINT)'} AS n FROM stages"
+    for bucket, column in STAGE_COUNTS.items()
+)
+CTES["stages"] = _COUNTS
+
+
+@query(
+    "run_report",
+    sql(
+        f"{_STAGES} UNION ALL SELECT source_file, bucket, n FROM bucket_counts",
+        *_CTES, "stages", "outcomes", "entries", "bucket_counts",
+    ),
+)
+def run_report(spark, sf_dir):
+    """Stage buckets of a run beside the buckets of its fetch outcomes."""
+    entries = status.outcome_entries(inputs.outcomes(spark, sf_dir), F.lit(MONTH))
+    return report.run_report(_run(spark, sf_dir).counts, entries)
+
+
+@query(
+    "filtered_addresses",
+    sql(
+        """SELECT source_file, 'actas_filtradas' AS bucket, URLAnuncio AS name, count(*) AS times
+    FROM full_staged GROUP BY ALL""",
+        "raw",
+        "full_staged",
+    ),
+)
+def filtered_addresses(spark, sf_dir):
+    return report.filtered_addresses(_run(spark, sf_dir).classified)
+
+
 # --- pending pass ---------------------------------------------------------------
 CTES["found"] = """
   SELECT OpportunityId, Codigo, min(path) AS path FROM registry

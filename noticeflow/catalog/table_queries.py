@@ -347,6 +347,43 @@ def outcome_entries(spark, sf_dir):
     return _entries(spark, sf_dir).select("source_file", "Codigo", "OpportunityId", "bucket", "name")
 
 
+_LOG_MEANT = f"'{DOCUMENT_FOLDER}/2024/01/' || {inputs._FILE}"
+_LOG_ERROR = "coalesce(error, '')"
+_LOG_LINES = [
+    ("error IS NOT NULL", "main", inputs._BASE, f"'No se descargo acta. Error: ' || {_LOG_ERROR}"),
+    ("error IS NULL AND page_status <> 200", "main", inputs._BASE, "'Acta no descargada. Status_code: ' || page_status"),
+    (f"{inputs._PAGE_OK} AND n_links = 0", "main", inputs._BASE, "'No se encontraron Actas. longitud row_actas: ' || n_links"),
+    (f"{inputs._FETCHED} AND stored", "main", inputs._FILE, "'Acta descargada'"),
+    (f"{inputs._FETCHED} AND NOT stored", "main", inputs._BASE, f"'Acta no descargada. Error: ' || {_LOG_ERROR}"),
+    (f"{inputs._FETCHED} AND uploaded", "main", inputs._FILE, "'Respuesta dl: True'"),
+    (f"{inputs._FETCHED} AND NOT uploaded", "main", inputs._FILE, "'Respuesta dl: False'"),
+    (f"{inputs._FETCHED} AND NOT uploaded", "pending", f"'tmp/' || {inputs._FILE}", f"' path_dl=' || {_LOG_MEANT}"),
+    (f"{inputs._FETCHED} AND uploaded IS NULL", "main", inputs._FILE,
+     f"'Acta no subida al data lake, error: ' || {_LOG_ERROR}"),
+    (f"{inputs._FETCHED} AND uploaded IS NULL", "pending", inputs._FILE,
+     f"'Acta no subida al data lake, error: ' || {_LOG_ERROR}"),
+]
+
+
+@query(
+    "outcome_log",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT source_file, '{log}' AS log, {name} AS name, {result} AS result FROM outcomes WHERE {where}"
+            for where, log, name, result in _LOG_LINES
+        )
+        + f""" UNION ALL SELECT DISTINCT source_file, 'main', {inputs._BASE}, 'Acta localizada.' FROM outcomes
+          WHERE {inputs._PAGE_OK} AND n_links > 0""",
+        "outcomes",
+    ),
+)
+def outcome_log(spark, sf_dir):
+    """Lines of both logs; a visit is a notice of one day's file."""
+    visit = ["source_file", "Codigo", "OpportunityId"]
+    lines = status.outcome_log(inputs.outcomes(spark, sf_dir), F.lit(MONTH), "tmp", visit)
+    return lines.select("source_file", "log", "name", "result")
+
+
 @query(
     "bucket_report",
     sql(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import FILE_BUCKETS, SOURCE_FILE
+from ..schema import FILE_BUCKETS, SOURCE_FILE, STAGE_COUNTS
 from .keys import DOCUMENT, EXISTING, LABEL, NEW, CONFLICT, WITH, WITHOUT
 
 
@@ -42,6 +42,27 @@ def bucket_counts(entries: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
     return long_report(lengths, by).withColumnsRenamed({"metric": "bucket", "value": "n"})
 
 
+def stage_buckets(counts: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """The stage buckets of each file, as rows ``(file, bucket, n)``, from a run's counts."""
+    values = [
+        (F.col(column) if column else F.lit(0)).cast("long").alias(bucket)
+        for bucket, column in STAGE_COUNTS.items()
+    ]
+    lengths = counts.select(by, *values)
+    return long_report(lengths, by).withColumnsRenamed({"metric": "bucket", "value": "n"})
+
+
+def filtered_addresses(classified: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """Addresses of the notices in the window, as contents of their bucket."""
+    entries = classified.select(by, F.lit("actas_filtradas").alias("bucket"), F.col("URLAnuncio").alias("name"))
+    return bucket_items(entries, by)
+
+
+def run_report(counts: DataFrame, entries: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """All buckets of a run, rows ``(file, bucket, n)``: its stages and its files' outcomes."""
+    return stage_buckets(counts, by).unionByName(bucket_counts(entries, by))
+
+
 def long_report(counts: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
     """Count columns as rows ``(file, metric, value)``."""
     metrics = [c for c in counts.columns if c != by]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import archive_path, document_base, document_name
+from .. import schema
 from ..schema import CODE, ID, KEYS
 from .project import run_moment
 from .skew import keyed_join, write_once
@@ -66,6 +67,52 @@ def outcome_entries(outcomes: DataFrame, yearmonth: Column) -> DataFrame:
     return exploded.select(*outcomes.columns, "_e.bucket", "_e.name")
 
 
+MAIN, PENDING = "main", "pending"
+
+
+def outcome_log(outcomes: DataFrame, yearmonth: Column, folder: str, visit: list[str]) -> DataFrame:
+    """Lines ``log, name, result`` of fetch outcomes, next to the ``visit`` columns.
+
+    A visit, one notice of one run, says once that its page lists documents; every link
+    then has lines of its own. A failed upload also goes to the ``pending`` log, with the
+    place it was meant for, or with the error if there was no answer; ``folder`` is where
+    the files wait. A missing error text is empty.
+    """
+    b = _branches()
+    base, file = _base(yearmonth), _file(yearmonth)
+    year, month = F.substring(yearmonth, 1, 4), F.substr(yearmonth, F.lit(5))
+    error = F.coalesce(F.col("error"), F.lit(""))
+    refused = b["not_uploaded"] & F.col("uploaded").isNotNull()
+    silent = b["not_uploaded"] & F.col("uploaded").isNull()
+    answer = F.when(b["uploaded"], "True").otherwise("False")
+
+    def line(name: Column, *result: Column, log: str = MAIN) -> Column:
+        return F.struct(F.lit(log).alias("log"), name.alias("name"), F.concat(*result).alias("result"))
+
+    meant = archive_path(year, month, file)
+    lines = F.array(
+        F.when(F.col("error").isNotNull(), line(base, F.lit(schema.LOG_PAGE_ERROR), error)),
+        F.when(
+            F.col("error").isNull() & b["failed"],
+            line(base, F.lit(schema.LOG_STATUS), F.coalesce(F.col("page_status").cast("string"), F.lit(""))),
+        ),
+        F.when(b["empty"], line(base, F.lit(schema.LOG_NONE), F.col("n_links").cast("string"))),
+        F.when(b["stored"], line(file, F.lit(schema.LOG_STORED))),
+        F.when(b["not_stored"], line(base, F.lit(schema.LOG_NOT_STORED), error)),
+        F.when(b["uploaded"] | refused, line(file, F.lit(schema.LOG_UPLOAD), answer)),
+        F.when(
+            refused,
+            line(F.concat_ws("/", F.lit(folder), file), F.lit(schema.LOG_PENDING_PATH), meant, log=PENDING),
+        ),
+        F.when(silent, line(file, F.lit(schema.LOG_UPLOAD_ERROR), error)),
+        F.when(silent, line(file, F.lit(schema.LOG_UPLOAD_ERROR), error, log=PENDING)),
+    )
+    each = outcomes.select(*visit, F.explode(F.array_compact(lines)).alias("_l"))
+    listed = outcomes.filter(~b["failed"] & (F.col("n_links") > 0))
+    found = listed.select(*visit, line(base, F.lit(schema.LOG_FOUND)).alias("_l")).distinct()
+    return each.unionByName(found).select(*visit, "_l.log", "_l.name", "_l.result")
+
+
 def outcome_updates(outcomes: DataFrame, yearmonth: Column) -> DataFrame:
     """One row per notice with the changes its outcomes ask for.
 

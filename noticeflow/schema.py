@@ -60,14 +60,6 @@ RAW_HEADERS = [
 ]
 
 # --- fixed values: report buckets -------------------------------------------
-STAGE_BUCKETS = [
-    "actas_filtradas",
-    "actas_nuevas_licitaciones_publicas",
-    "actas_uploaded_db",
-    "actas_uploaded_no_downloaded",
-    "actas_uploaded_yes_downloaded",
-    "total_actas_a_descargar",
-]
 FILE_BUCKETS = [
     "actas_no_subidas_al_dl",
     "actas_no_descargadas",
@@ -77,6 +69,27 @@ FILE_BUCKETS = [
     "actas_subidas_al_dl",
 ]
 
+# The counts behind the stage buckets; one bucket is declared and never filled.
+STAGE_COUNTS = {
+    "actas_filtradas": "filtered",
+    "actas_nuevas_licitaciones_publicas": None,
+    "actas_uploaded_db": "existing",
+    "actas_uploaded_no_downloaded": "without_document",
+    "actas_uploaded_yes_downloaded": "with_document",
+    "total_actas_a_descargar": "to_download",
+}
+
+# --- fixed values: texts of the event log -----------------------------------
+LOG_FOUND = "Acta localizada."
+LOG_NONE = "No se encontraron Actas. longitud row_actas: "
+LOG_STATUS = "Acta no descargada. Status_code: "
+LOG_PAGE_ERROR = "No se descargo acta. Error: "
+LOG_STORED = "Acta descargada"
+LOG_NOT_STORED = "Acta no descargada. Error: "
+LOG_UPLOAD = "Respuesta dl: "
+LOG_UPLOAD_ERROR = "Acta no subida al data lake, error: "
+LOG_PENDING_PATH = " path_dl="
+
 # --- fixed values: document naming ------------------------------------------
 DOCUMENT_KIND = "proposiciones"
 DOCUMENT_FOLDER = "Acta_Presentacion_Y_Proposiciones"
