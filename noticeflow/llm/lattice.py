@@ -41,7 +41,7 @@ from ..session import written
 from .common import byte_hashes, byte_sums, crc_mod, range_hashes, split_words, table, text_chunks
 from .registry import query
 
-ROUNDS = 4
+ROUNDS = 3
 FREQUENT = 100_000
 SMOOTHING = 0.01
 _MARK = "▁"
