@@ -30,6 +30,7 @@ FORMAT_DROPS = {
 
 WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 SPACE_SET = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
+_BLANK = r"\x{20}"
 # The same class, laid out so that ASCII letters fail after two comparisons.
 _WIDE_SPACE = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE if ord(c) >= 0x80)
 SPACE = rf"[\t-\r\x1c-\x20[\x{{80}}-\x{{10ffff}}&&[{_WIDE_SPACE}]]]"
@@ -83,8 +84,8 @@ def fold_accents(text: Column) -> Column:
     """Compose, drop acute and grave accents from vowels, strip.
 
     ``ñ``, ``ü``, ``ç`` and ``â`` stay. Almost every row is already composed and
-    takes one ``translate``. The others are composed again before each letter, so
-    that a second mark on a folded vowel joins it as it should.
+    takes one ``translate``, and only if it holds such a vowel. The others are composed
+    again before each letter, so that a second mark on a folded vowel joins it as it should.
     """
 
     def drop_one(acc: Column, i: Column) -> Column:
@@ -92,9 +93,11 @@ def fold_accents(text: Column) -> Column:
         return F.replace(compose(acc), accented, plain)
 
     positions = F.sequence(F.lit(1), F.lit(len(ACCENTED)))
-    folded = F.when(
-        text.rlike(composable()), F.aggregate(positions, text, drop_one)
-    ).otherwise(F.translate(text, ACCENTED, PLAIN))
+    folded = (
+        F.when(text.rlike(composable()), F.aggregate(positions, text, drop_one))
+        .when(text.rlike(f"[{ACCENTED}]"), F.translate(text, ACCENTED, PLAIN))
+        .otherwise(text)
+    )
     return strip(folded)
 
 
@@ -105,10 +108,20 @@ def fold_header(name: str) -> str:
     return name.strip()
 
 
+# Runs of blanks and of what is neither an ASCII letter or digit nor other white space.
+_NOT_CLEAN = f"[^a-zA-Z0-9{SPACE_SET.replace(_BLANK, '')}]+"
+
+
+def _blanked(drops: str) -> str:
+    """Runs of dropped characters and blanks, from the class of dropped characters."""
+    if drops.startswith("[^"):
+        return drops.removesuffix(" ]") + "]+"
+    return drops.removesuffix("]") + " ]+"
+
+
 def clean_text(text: Column) -> Column:
     """Fold accents; keep ASCII letters, digits and white space."""
-    kept = F.regexp_replace(squeeze(fold_accents(text)), f"[^a-zA-Z0-9](?<!{SPACE})", " ")
-    return strip(squeeze(kept))
+    return strip(F.regexp_replace(fold_accents(text), _NOT_CLEAN, " "))
 
 
 def join_lines(text: Column) -> Column:
@@ -135,7 +148,7 @@ def clean_by_format(text: Column, fmt: str = "alfabetopuntos") -> Column:
     if fmt not in FORMAT_DROPS:
         raise ValueError(f"unknown format {fmt!r}; one of {sorted(FORMAT_DROPS)}")
     text = _PREPARE.get(fmt, lambda c: c)(text)
-    text = strip(squeeze(F.regexp_replace(fold_accents(text), FORMAT_DROPS[fmt], " ")))
+    text = strip(F.regexp_replace(fold_accents(text), _blanked(FORMAT_DROPS[fmt]), " "))
     if fmt in _FORMAT_SPACE:
         space = _FORMAT_SPACE[fmt]
         text = F.regexp_replace(text, f"{space}+(?={space})", "")
