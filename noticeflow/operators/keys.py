@@ -119,6 +119,9 @@ def label_pairs(pairs: Sized, registry: DataFrame, match: str = "independent") -
 
 
 def _label_each_key(pairs: Sized, known: DataFrame) -> DataFrame:
+    if not pairs.is_small:
+        # Counts and joins of both keys read this narrow copy, not the registry each time.
+        known = write_once(known, "known").frame
     hot, known_hot = _hot_by_key(pairs.frame), _hot_by_key(known)
     candidates = write_once(_by_each_key(known, pairs, "left_semi", hot=known_hot), "candidates")
     existing = write_once(_by_each_key(pairs.frame, candidates, "left_semi", hot=hot), "existing")

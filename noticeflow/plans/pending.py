@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.names import parse_document_name, without_extensions
 from ..operators.keys import semi_tuple
 from ..operators.match_files import match_documents
-from ..operators.status import apply_outcomes, outcome_entries, outcome_updates
-from ..operators.updates import update_columns
+from ..operators.project import run_moment
+from ..operators.skew import keyed_join, write_once
+from ..operators.status import outcome_entries, outcome_updates
 from ..schema import KEYS
 from ..sources.registry import pending_downloads, pending_uploads
 
@@ -38,6 +39,35 @@ def upload_updates(registry: DataFrame, files: DataFrame, match: str = "exact")
     )
 
 
+def apply_both(
+    registry: DataFrame, uploads: DataFrame, changes: DataFrame, run_ts: datetime | str | None
+) -> DataFrame:
+    """The registry after found files and then outcomes, in one pass over it.
+
+    Both sides have one row per key pair; an uploaded document of the outcomes goes before
+    a found file.
+    """
+    found = F.struct(F.col("UrlActaDL").alias("path"), F.col("NombreArchivoActa").alias("name"))
+    last = uploads.dropna(subset=KEYS).groupBy(*KEYS).agg(F.max(found).alias("found"))
+    both = last.join(changes, KEYS, "full")
+    joined = keyed_join(registry, write_once(both, "changes"), KEYS)
+    document = F.coalesce("doc", "found")
+    hit = F.col("found").isNotNull() | F.col("published").isNotNull()
+    return joined.withColumns(
+        {
+            "ActaPublicada": F.when(F.col("published"), 1).otherwise(F.col("ActaPublicada")),
+            "Url_visitada": F.when(F.col("visited"), 1).otherwise(F.col("Url_visitada")),
+            "UrlActaDL": F.when(document.isNotNull(), document["path"]).otherwise(F.col("UrlActaDL")),
+            "NombreArchivoActa": F.when(document.isNotNull(), document["name"]).otherwise(
+                F.col("NombreArchivoActa")
+            ),
+            "FechaModificacionReg": F.when(hit, run_moment(run_ts)).otherwise(
+                F.col("FechaModificacionReg")
+            ),
+        }
+    ).select(*registry.columns)
+
+
 def resolve_pending(
     registry: DataFrame,
     files: DataFrame,
@@ -51,11 +81,8 @@ def resolve_pending(
     Outcomes count only for notices that wait for a download.
     """
     uploads = upload_updates(registry, files, match)
-    with_paths = update_columns(
-        registry, uploads, ["UrlActaDL", "NombreArchivoActa"], run_ts=run_ts
-    )
     due = semi_tuple(outcomes, pending_downloads(registry))
-    updated = apply_outcomes(with_paths, outcome_updates(due, yearmonth), run_ts)
+    updated = apply_both(registry, uploads, outcome_updates(due, yearmonth), run_ts)
     upload = pending_uploads(updated).withColumn("pending", F.lit("upload"))
     download = pending_downloads(updated).withColumn("pending", F.lit("download"))
     return PendingRun(updated, upload.unionByName(download), outcome_entries(due, yearmonth))

@@ -243,3 +243,16 @@ def test_names_present(spark, join_path):
     wanted = spark.createDataFrame([("a/x",), ("b/z",), ("b/zz",), ("q",)], "name string")
     assert _rows(match_files.names_present(wanted, objects)) == [("a/x",), ("b/z",)]
     assert _rows(match_files.names_present(wanted, objects, exact=True)) == [("b/z",)]
+
+
+def test_a_key_of_more_ways_than_any_fixed_number(spark, join_path):
+    """A key is split by its own count; every row finds its match, also among copies."""
+    rows = [(1, i % 50) for i in range(3000)] + [(2, i) for i in range(4)] + [(None, 0)] * 20
+    left = spark.createDataFrame(rows, "k int, v int").repartition(3)
+    right = spark.createDataFrame([(1, "a"), (3, "c")], "k int, w string")
+    joined = spread_join(left, right, ["k"])
+    assert joined.count() == len(rows)
+    assert joined.filter("w = 'a'").count() == 3000 and joined.filter("w IS NULL").count() == 24
+    if join_path == "spread":
+        (ways,) = [r["_ways"] for r in Hot(left, ["k"]).keys.collect() if r.k == 1]
+        assert ways == 1000

@@ -183,4 +183,4 @@ def test_reports(spark, outcomes):
     assert {r["times"] for r in twice.collect()} == {2}
     long = report.bucket_counts(entries).withColumnsRenamed({"bucket": "metric", "n": "value"})
     wide = report.wide_report(long)
-    assert wide.columns == ["metric", "f1", "f2"] and wide.count() == 6
+    assert wide.columns == ["metric", "f1"] and wide.count() == 6
