@@ -260,7 +260,29 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.select(*[new.get(c, names[c]).alias(c) for c in docs.columns])
 
 
-@query("op6_substring_dedup")
+SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS window_text
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs) w),
+repeats AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i,
+    row_number() OVER (PARTITION BY window_text ORDER BY doc_id, i) AS place FROM windows) p
+  WHERE place > 1),
+removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM repeats),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs) w
+  ANTI JOIN removed r ON r.doc_id = w.doc_id AND r.i = w.i
+  GROUP BY w.doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op6_substring_dedup", SQL)
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
