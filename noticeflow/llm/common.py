@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 # A word is a run of anything but these: blank, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -85,25 +85,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _TABLE = np.random.default_rng(64).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n-1 of an odd number and of its inverse modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            factors = np.full(n, np.uint64(base))
-            factors[0] = 1
-            with np.errstate(over="ignore"):
-                _POWERS[i] = np.cumprod(factors)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers 0 to n-1 of an odd number and of its inverse modulo 2**64, short tables kept."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return [p[:n] for p in _POWERS]
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        factors = np.full(n, np.uint64(base))
+        factors[0] = 1
+        with np.errstate(over="ignore"):
+            tables.append(np.cumprod(factors))
+    if n <= 2 * CHUNK_BYTES:
+        _POWERS[:] = tables
+    return tables
 
 
 def byte_sums(data: np.ndarray) -> np.ndarray:
     """Running sums of a polynomial over random table values of the bytes."""
     sums = np.zeros(len(data) + 1, np.uint64)
+    values = _TABLE[data]
     with np.errstate(over="ignore"):
-        np.cumsum(_TABLE[data] * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+        values *= _powers(len(data) + 1)[0][: len(data)]
+        np.cumsum(values, out=sums[1:])
     return sums
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import mixed, spans, table, text_chunks
+from .common import mixed, table, text_chunks
 from .registry import query
 from .tokens import encoded
 
@@ -71,11 +71,13 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
 
 def curve_places(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The place on the curve of each document, from flat ids."""
-    row, _ = spans(lengths)
-    hashed = mixed(ids.astype(np.uint64) + np.uint64(1))
-    slot = row * DIMENSIONS + (hashed % np.uint64(DIMENSIONS)).astype(np.int64)
-    sign = 1.0 - 2.0 * (hashed >> np.uint64(63)).astype(np.float64)
-    vectors = np.bincount(slot, sign, len(lengths) * DIMENSIONS).reshape(-1, DIMENSIONS)
+    # Slot and sign depend on the id alone.
+    kinds = mixed(np.arange(1, int(ids.max(initial=0)) + 2, dtype=np.uint64))
+    slots = (kinds % np.uint64(DIMENSIONS)).astype(np.int64)
+    signs = np.where(kinds >> np.uint64(63), -1.0, 1.0)
+    at = np.repeat(np.arange(len(lengths)) * DIMENSIONS, lengths)
+    at += slots[ids]
+    vectors = np.bincount(at, signs[ids], len(lengths) * DIMENSIONS).reshape(-1, DIMENSIONS)
     size = np.linalg.norm(vectors, axis=1, keepdims=True)
     axes = np.random.default_rng(8).normal(size=(DIMENSIONS, AXES))
     spread = vectors / np.maximum(size, 1.0) @ axes
