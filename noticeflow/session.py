@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +56,31 @@ def shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_steps = threading.local()
+
+
+@contextmanager
+def step_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove the shared folders made within, by this thread, at the end.
+
+    For whole runs: DataFrames that read such folders cannot be used afterwards.
+    """
+    outer, _steps.made = getattr(_steps, "made", None), []
+    try:
+        yield
+    finally:
+        made, _steps.made = _steps.made, outer
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """The path of a fresh folder below the shared one."""
-    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+    if getattr(_steps, "made", None) is not None:
+        _steps.made.append(folder)
+    return folder
 
 
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.incremental import run_incremental
 from ..schema import MALFORMED, ROW_SEQ, SOURCE_FILE
+from ..session import step_folders
 from ..sinks.snapshots import SnapshotTable
 
 
@@ -57,7 +58,8 @@ def start_ingest(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, registry, dim, as_of, n_days, reports, run_ts)
+        with step_folders(batch.sparkSession):
+            ingest_batch(batch, batch_id, registry, dim, as_of, n_days, reports, run_ts)
 
     return (
         notices.writeStream.foreachBatch(step)

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from noticeflow.session import shared_base, written
+from noticeflow.session import shared_base, step_folders, written
 
 
 def _session(master, setting=None, context=None):
@@ -36,3 +36,14 @@ def test_written_tables_read_back(spark):
     assert sorted(map(tuple, frame.collect())) == [(0, 3), (1, 2)]
     assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_step_folders_are_removed(spark):
+    keep = written(spark.range(3).toDF("a"))
+    with step_folders(spark):
+        inner = written(spark.range(3).toDF("a"))
+        assert inner.count() == 3
+        (gone,) = {f.rsplit("/", 1)[0] for f in inner.inputFiles()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(gone)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    assert keep.count() == 3
