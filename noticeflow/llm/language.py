@@ -1,7 +1,7 @@
 """Operator 9: the languages of a text as a mixture, by expectation-maximisation.
 
-Training counts byte n-grams (1 to ``ORDERS`` bytes of letter runs, folded to lower case
-and bounded by blanks) per known language over all training rows; n-grams are hashed to
+Training counts byte n-grams (1 to ``ORDERS`` bytes of letter runs in lower case, bounded by
+blanks; beyond ASCII, other characters stand among them) per known language over all training rows; n-grams are hashed to
 ``CELLS`` cells per order, so a model has a fixed size per language. Counts are summed by
 Spark; only the summed model reaches the driver and is sent to the tasks.
 
@@ -21,7 +21,6 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,8 @@ from .registry import query
 
 ORDERS, CELLS = 4, 1 << 14
 ROUNDS, PENALTY, SMOOTHING = 12, 3.0, 0.5
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# ASCII letters in lower case, blanks for the rest of ASCII, all other bytes as they are.
+_FOLDED = bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in bytes(range(256)).lower())
 _STEP = 1 << 20
 _FACTOR, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(65 - CELLS.bit_length())
 _SETTLED = 1e-4
@@ -42,8 +42,13 @@ _SETTLED = 1e-4
 
 def _letters(text: str | None) -> bytes:
     """Letter runs in lower case, each between single blanks; empty without letters."""
-    kept = _NOT_LETTERS.sub(" ", text or "").strip()
-    return f" {kept.lower()} ".encode() if any(c.isalpha() for c in kept) else b""
+    if not text:
+        return b""
+    folded = (text if text.isascii() else text.lower()).encode()
+    kept = b" ".join(folded.translate(_FOLDED).split())
+    if not kept or not kept.isascii() and not any(c.isalpha() for c in text):
+        return b""
+    return b" " + kept + b" "
 
 
 def _cells(letters: bytes) -> np.ndarray:
@@ -62,10 +67,10 @@ def _cells(letters: bytes) -> np.ndarray:
 
 def _counted(letters: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct cells of a text and how often each occurs, long texts in steps."""
-    total = np.zeros(ORDERS * CELLS, np.int64)
-    for at in range(0, len(letters), _STEP):
+    total = np.bincount(_cells(letters[: _STEP + ORDERS - 1]), minlength=ORDERS * CELLS)
+    for at in range(_STEP, len(letters), _STEP):
         total += np.bincount(_cells(letters[at : at + _STEP + ORDERS - 1]), minlength=len(total))
-    cells = np.flatnonzero(total)
+    cells = np.flatnonzero(total > 0)
     return cells, total[cells]
 
 
@@ -101,24 +106,23 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def _fit(ratio: np.ndarray, counts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, float]:
     """EM over the chosen languages: proportions and log likelihood."""
-    part = ratio[:, chosen]
+    part = ratio[chosen]
     share = np.full(len(chosen), 1.0 / len(chosen))
     total = counts.sum()
     for _ in range(ROUNDS if len(chosen) > 1 else 0):
-        joint = part * share
-        new = (counts / joint.sum(axis=1)) @ joint / total
+        new = share * (part @ (counts / (share @ part))) / total
         moved, share = np.abs(new - share).max(), new
         if moved < _SETTLED:
             break
-    return share, float(counts @ np.log(np.maximum(part @ share, 1e-300)))
+    return share, float(counts @ np.log(np.maximum(share @ part, 1e-300)))
 
 
 def infer(model: np.ndarray, letters: bytes) -> dict[int, float]:
     """The text's languages and their proportions."""
     cells, counts = _counted(letters)
     counts = counts / ORDERS
-    log = model[:, cells].T
-    ratio = np.exp(log - log.max(axis=1, keepdims=True))
+    log = model[:, cells]
+    ratio = np.exp(log - log.max(axis=0))
     price = PENALTY * np.log(1.0 + counts.sum())
     chosen = np.arange(len(model))
     share, likelihood = _fit(ratio, counts, chosen)
@@ -149,8 +153,8 @@ def identify(
         weights = sent.value.astype(np.float64)
         for part in parts:
             names, scores, mixes = [], [], []
-            for text in part:
-                letters = _letters(text.as_py())
+            for text in part.to_pylist():
+                letters = _letters(text)
                 found = infer(weights, letters) if letters and languages else {}
                 order = sorted(found, key=lambda i: (-found[i], i))
                 names.append(languages[order[0]] if order else "und")
