@@ -370,6 +370,39 @@ def html_rows(spark, sf_dir):
     return exploded.select("page_id", (F.col("p") + 1).cast("bigint").alias("pos"), "href")
 
 
+_LABEL, _STRONG = "Acta de presentac", "ExpedientesPublicados"
+
+
+@query(
+    "html_label_rows",
+    f"""SELECT o_orderkey, 'row' AS kind, CAST(1 AS BIGINT) AS pos, 'go(''' || o_custkey || ''')' AS value FROM orders
+    UNION ALL SELECT o_orderkey, 'row', 2, 'go(' || o_orderkey || ')' FROM orders
+    UNION ALL SELECT o_orderkey, 'strong', 1, '/d/{_STRONG}' || year(o_orderdate) || '_' || o_orderkey || '.zip'
+      FROM orders""",
+)
+def html_label_rows(spark, sf_dir):
+    """Anchors of labelled table rows and links in bold, from a page built for each order."""
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    page = F.concat(
+        F.lit(f"<table><tr class='r'><td id=a> {_LABEL}ión "), key,
+        F.lit("</td><td><a href='#' onclick=\"go('"), cust, F.lit("')\">x</a><A title='>' onclick='go("), key,
+        F.lit(")'>y</A></td></tr><tr><td>Otra</td><td><a onclick=\"no()\">z</a></td></tr></table>"),
+        F.lit(f"<strong><a href=\"/d/{_STRONG}"), F.date_format("o_orderdate", "yyyy"), F.lit("_"), key,
+        F.lit(".zip\">k</a></strong><strong><a href='/other'>n</a></strong>"),
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", page.alias("page"))
+    found = {
+        "row": html.row_attributes(F.col("page"), _LABEL),
+        "strong": html.strong_links(F.col("page"), _STRONG),
+    }
+    parts = [
+        orders.select("o_orderkey", F.lit(kind).alias("kind"), F.posexplode(values).alias("p", "value"))
+        for kind, values in found.items()
+    ]
+    rows = parts[0].unionByName(parts[1])
+    return rows.select("o_orderkey", "kind", (F.col("p") + 1).cast("bigint").alias("pos"), "value")
+
+
 @query(
     "link_rows",
     f"""SELECT page_id, i AS seq, CASE WHEN len(string_split('go(''' || links[i] || ''')', '''')) = 3
