@@ -30,17 +30,19 @@ def match_documents(pending: DataFrame, files: DataFrame, match: str = "exact")
 
     ``exact`` compares the id and code written in the name. ``prefix`` takes every
     file whose name starts with ``kind_id_code``, so that a code also finds files
-    of longer codes. Both are equality joins: for ``prefix`` each file is listed
-    under the prefixes of its name whose length is the length of some code.
+    of longer codes. Both are equality joins: for ``prefix`` each file is listed under
+    those prefixes of its name that are as long as some pending code of its id.
     """
     named = document_files(files)
     if match == "exact":
         keyed = named.withColumn(CODE, parse_document_name(F.col("path"))["code"])
     elif match == "prefix":
         before_dot = F.length(F.regexp_extract("_rest", r"(?s)(.*)\.", 1))
-        ends = F.filter(_lengths(pending, CODE), lambda n: n <= before_dot)
-        keyed = named.withColumn("_len", F.explode(ends)).withColumn(
-            CODE, F.substr("_rest", F.lit(1), F.col("_len"))
+        lengths = pending.select(ID, F.length(CODE).alias("_len")).dropna().distinct()
+        keyed = (
+            named.join(lengths, ID)
+            .filter(F.col("_len") <= before_dot)
+            .withColumn(CODE, F.substr("_rest", F.lit(1), F.col("_len")))
         )
     else:
         raise ValueError(f"unknown match {match!r}")
