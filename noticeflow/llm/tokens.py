@@ -39,9 +39,9 @@ _MARK = "\0"
 _SPACED = re.compile(r"\s*\S+(?:[^\S\x20\x09-\x0D]\s*\S*)*|\s+")
 _PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)")
 _PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)")
-REMEMBERED, KEPT = 300_000, 100_000
+REMEMBERED, KEPT = 500_000, 200_000
 # Texts are encoded in portions: the larger, the fewer pieces are looked up again.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
