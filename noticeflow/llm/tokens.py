@@ -98,13 +98,12 @@ class PieceEncoder:
         else:
             marked = pc.replace_substring_regex(texts, _CUT, rf"\1\4{_MARK}\2{_MARK}\3\5")
             lists = pc.split_pattern(marked, _MARK)
-        pieces = lists.flatten()
-        filled = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy() > 0)])
-        ends = np.cumsum(lists.value_lengths().to_numpy())
-        counts = np.diff(filled[np.concatenate([[0], ends])])
-        return counts, pieces.filter(pc.not_equal(pieces, ""))
+        # Cuts leave empty pieces between them; these have no ids.
+        return lists.value_lengths().to_numpy(), lists.flatten()
 
     def _plain(self, piece: str) -> list[int] | None:
+        if not piece:
+            return []
         if self.words:
             if piece.isascii() and piece.isalpha():
                 return [t.id for t in self.model.tokenize(piece.lower())]
