@@ -14,7 +14,8 @@ smallest by hash) and cuts space into cells of about ``CELL`` rows; all rows are
 cells. A cell of more rows is dealt into blocks by hash, so equal vectors may be any
 number. In a block, the tree goes on down to buckets of ``BUCKET`` rows. A query first
 searches its own cell, which bounds its k-th distance, and then all cells that the test
-does not rule out. Queries travel to blocks, k rows for each block travel back; nothing
+does not rule out. What the test reaches is widened by the rounding of projections, so that
+copies, whose projections differ in their last bits, are all verified. Queries travel to blocks, k rows for each block travel back; nothing
 is broadcast but the top of the tree.
 
 Defined cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,7 @@ def reach(confidence: float) -> float:
     return math.sqrt(high)
 
 
+@cache
 def axes(dimensions: int) -> np.ndarray:
     """Gaussian directions; the first rows are the same for every length."""
     return np.random.default_rng(1).normal(size=(dimensions, AXES))
@@ -79,6 +82,26 @@ def project(vectors: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def rounding(vectors: np.ndarray, bound: np.ndarray | float) -> np.ndarray:
+    """How far rounding may move the projected distance of vectors to rows within ``bound``.
+
+    Products of matrices and of single vectors differ in their last bits, and with the size of
+    a batch; the error of a product grows with its length and with the norms of both sides.
+    """
+    size = np.linalg.norm(vectors, axis=-1)
+    length = vectors.shape[-1]
+    return 4 * np.finfo(np.float64).eps * (length + 4) * np.linalg.norm(axes(length)) * (size + bound)
+
+
+def without_spare_copies(vec_id: np.ndarray, vectors: list[np.ndarray], most: int) -> np.ndarray:
+    """Indexes of rows; of equal vectors only the ``most`` with the smallest vec_id."""
+    seen: dict[bytes, int] = {}
+    group = np.fromiter((seen.setdefault(v.tobytes(), len(seen)) for v in vectors), np.int64, len(vectors))
+    order = np.lexsort((vec_id, group))
+    begins = np.searchsorted(group[order], np.arange(len(seen)))
+    return order[np.arange(len(order)) - begins[group[order]] < most]
+
+
 @dataclass
 class Top:
     """The upper levels of the kd-tree: a complete binary tree of cuts in heap order."""
@@ -161,13 +184,14 @@ class Block:
         if len(vector) not in self.table:
             return np.zeros(0, np.int64), np.zeros(0)
         values, place = self.table[len(vector)]
-        point = vector @ axes(len(vector))
+        point = project([vector])[0]
         distance = _to_boxes(point, self.low, self.high)
+        reached = bound * ratio + rounding(vector, bound)
         order = np.argsort(distance, kind="stable")
         best, best_at, at, step = np.zeros(0), np.zeros(0, np.int64), 0, 4
         while at < len(order):
             part = order[at : at + step]
-            part = part[distance[part] <= bound * ratio]
+            part = part[distance[part] <= reached]
             if not len(part):
                 break
             at, step = at + step, 2 * step
@@ -175,7 +199,7 @@ class Block:
             rows = rows[(place[rows] >= 0) & (self.row[rows] != row)]
             if np.isfinite(bound):
                 gap = self.points[rows] - point
-                rows = rows[np.sqrt((gap * gap).sum(axis=1)) <= bound * ratio]
+                rows = rows[np.sqrt((gap * gap).sum(axis=1)) <= reached]
             gap = values[place[rows]] - vector
             best = np.concatenate([best, np.sqrt((gap * gap).sum(axis=1))])
             best_at = np.concatenate([best_at, rows])
@@ -183,6 +207,7 @@ class Block:
             best, best_at = best[keep], best_at[keep]
             if len(best) == k:
                 bound = min(bound, best[-1])
+                reached = bound * ratio + rounding(vector, bound)
         return best_at, best
 
 
@@ -224,10 +249,12 @@ def _cells_in_reach(top, ratio: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = project(_vectors(batch.column("vector")))
+            vectors = _vectors(batch.column("vector"))
+            points = project(vectors)
             home, bound = batch.column("cell").to_numpy(), batch.column("bound").to_numpy()
             for at in range(batch.num_rows):
-                near = _to_boxes(points[at], low, high) <= bound[at] * ratio
+                reached = bound[at] * ratio + rounding(vectors[at], bound[at])
+                near = _to_boxes(points[at], low, high) <= reached
                 near[home[at]] = False
                 cells = np.flatnonzero(near).astype(np.int32)
                 if len(cells):
@@ -264,10 +291,11 @@ def _search_blocks(k: int, ratio: float):
                     if not held:
                         continue
                     whole = pa.Table.from_batches(held).combine_chunks()
-                    block = Block(
-                        whole.column("row").to_numpy(), whole.column("vec_id").to_numpy(),
-                        _vectors(whole.column("vector").combine_chunks()),
-                    )
+                    rows, ids = whole.column("row").to_numpy(), whole.column("vec_id").to_numpy()
+                    vectors = _vectors(whole.column("vector").combine_chunks())
+                    # A query leaves out one row, its own, so k + 1 equal rows give its k.
+                    own_rows = without_spare_copies(ids, vectors, k + 1)
+                    block = Block(rows[own_rows], ids[own_rows], [vectors[i] for i in own_rows])
                 out = [[], [], [], []]
                 bounds = own.column("bound").to_numpy()
                 for i, vector in enumerate(_vectors(own.column("vector"))):

@@ -103,3 +103,29 @@ def test_defined_cases(spark):
     got = nearest(frame, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
     assert [tuple(r) for r in got] == [(100, 1, 100, 0.0), (100, 1, 100, 0.0), (100, 2, 2, 1.0), (100, 2, 2, 1.0)]
     assert nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+@pytest.mark.parametrize("copies", [300, 40_000 // 3])
+def test_copies_in_a_block_tie_to_the_smaller_id(copies):
+    """Copies lie in many buckets, and their projections differ in the last bits."""
+    rng = np.random.default_rng(11)
+    vectors = list(rng.normal(size=(40_000, 32)) * 1000)
+    at = rng.choice(40_000, copies, replace=False)
+    for i in at:
+        vectors[i] = vectors[at[0]]
+    ids = rng.permutation(40_000)
+    block = Block(np.arange(40_000), ids, vectors)
+    for row in at[:20].tolist():
+        found, distance = block.nearest(row, vectors[row], 10, math.inf, reach(0.99))
+        assert block.vec_id[found].tolist() == sorted(ids[at[at != row]])[:10]
+        assert not distance.any()
+
+
+def test_copies_of_a_third_of_the_rows(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=24).tolist()) for i in range(3000)]
+    rows = [(i, rows[0][1] if i % 3 == 0 else v) for i, v in rows]
+    frame = spark.createDataFrame(rows[::-1], "vec_id long, vector array<double>").repartition(5)
+    got = collected(nearest(frame, F.col("vec_id") % 100 == 0, cell=100, block=400))
+    for query in range(0, 3000, 300):
+        assert got[query] == [(0.0, i) for i in range(0, 36, 3) if i != query][:10]
