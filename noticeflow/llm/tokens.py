@@ -14,6 +14,10 @@ again, which costs time and changes nothing.
 A piece of plain letters, perhaps with a line feed before, is cut alike by both patterns;
 its parts go straight to the library's BPE model. All other pieces take
 the library's whole path.
+
+The literals of the file's special tokens (as ``<|endoftext|>``) are tokens of their own, as
+the library takes them by default: with ``special`` a text is first split at them, before all
+other cuts, as the library does. Without it they are plain text.
 """
 
 from __future__ import annotations
@@ -61,9 +65,10 @@ _BLANK = _BYTE_LETTERS[32]
 class PieceEncoder:
     """Encodes Arrow arrays of texts to flat ids and a length per text."""
 
-    def __init__(self, path: str, cut: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, cut: str, remembered: int = REMEMBERED, special: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.literal = _literal(self.tokenizer) if special else None
         self.model = self.tokenizer.model
         self.words = cut == "words"
         self.remembered = remembered
@@ -133,7 +138,15 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and ids per text; NULL is empty."""
-        counts, pieces = self._cut(pc.fill_null(texts.cast(pa.string()), ""))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if self.literal is None or not pc.any(pc.match_substring_regex(texts, self.literal.pattern)).as_py():
+            return self._encode(texts)
+        parts = [self.literal.split(t) for t in texts.to_pylist()]
+        ids, sizes = self._encode(pa.array(list(chain.from_iterable(parts)), pa.string()))
+        return ids, np.add.reduceat(sizes, np.cumsum([0, *map(len, parts)])[:-1])
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        counts, pieces = self._cut(texts)
         if not len(pieces):
             return np.zeros(0, np.uint32), counts
         if len(self.index) > self.remembered:
@@ -153,6 +166,16 @@ class PieceEncoder:
         return ids, np.diff(edges[np.concatenate([[0], np.cumsum(counts)])])
 
 
+def _literal(tokenizer: Tokenizer) -> re.Pattern | None:
+    """Matches the literals of a tokenizer file's own tokens, longer ones first."""
+    tokens = tokenizer.get_added_tokens_decoder().values()
+    for t in tokens:
+        if t.normalized or t.lstrip or t.rstrip or t.single_word:
+            raise ValueError(f"{t.content}: only tokens that stand for their exact literal can be split off")
+    contents = sorted((t.content for t in tokens), key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
+
+
 def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indexes of runs that begin at ``starts``, one after the other."""
     ends = np.cumsum(sizes)
@@ -176,5 +199,5 @@ _ENCODERS: dict[tuple, PieceEncoder] = {}
 def encoder(path: str, cut: str) -> PieceEncoder:
     """One encoder per worker process and tokenizer file."""
     if (path, cut) not in _ENCODERS:
-        _ENCODERS[path, cut] = PieceEncoder(path, cut)
+        _ENCODERS[path, cut] = PieceEncoder(path, cut, special=True)
     return _ENCODERS[path, cut]

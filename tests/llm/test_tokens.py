@@ -6,7 +6,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from noticeflow.llm.tokens import PieceEncoder
+from noticeflow.llm.tokens import PieceEncoder, encoder
 
 CASES = [("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "words")]
 ODD = [
@@ -32,3 +32,24 @@ def test_equal_to_the_whole_text(file, cut):
         want = [whole.encode(t, add_special_tokens=False).ids for t in part]
         assert lengths.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
+
+
+LITERALS = [
+    "a <|endoftext|> b <|startoftext|>", "<|endoftext|>", "x<|endoftext|>y", "Ends.<|endoftext|>\n Next, one",
+    "<|endoftext|><|endoftext|> ", " <|startoftext|>\n\n<|endoftext|>\xa0z", "<|EndOfText|> <|endoftext |>",
+    "<<|endoftext|>>'s", "\0 a <|endoftext|> b", "plain", "", "<|endoftext|", "é<|startoftext|>́x",
+]
+
+
+@pytest.mark.parametrize("file,cut", CASES)
+def test_literals_of_special_tokens(file, cut):
+    """What the operators use gives the ids of the library's default, with other texts between."""
+    rng = random.Random(9)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "a", "B.", " ", "\n", "\xa0", "́", "7", "\0"]
+    texts = LITERALS + ["".join(rng.choices(alphabet, k=rng.randint(1, 12))) for _ in range(2000)]
+    whole, mine = Tokenizer.from_file(P.path(file)), encoder(P.path(file), cut)
+    for part in (texts, [None, *LITERALS[9:11]], []):
+        ids, lengths = mine.encode(pa.array(part, pa.string()))
+        want = [whole.encode(t or "", add_special_tokens=False).ids for t in part]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
