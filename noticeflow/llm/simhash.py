@@ -180,13 +180,18 @@ def groups(docs: DataFrame, words: int = 4, limit: int = 4, block: int = BLOCK)
 
 
 def one_of_each(docs: DataFrame, words: int = 4, limit: int = 4) -> DataFrame:
-    """The rows that stay: one of each group, the one with the smallest doc_id.
+    """The rows that stay: one of each group, the one with the smallest doc_id."""
+    return keep_first(docs, groups(docs, words, limit))
+
+
+def keep_first(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The first row of each group of (doc_id, tie, root), the one with the smallest doc_id.
 
     Of equal doc_ids the text with the smallest hash stays, of equal rows any one; NULL
     doc_ids stay only where a group has no other.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    first = groups(docs, words, limit).groupBy("root").agg(F.min(order).alias("first"))
+    first = grouped.groupBy("root").agg(F.min(order).alias("first"))
     first = written(first.select(F.col("first.doc_id").alias("_d"), F.col("first.tie").alias("_t")), "kept")
     tie = unused("tie", docs.columns)
     keyed = docs.withColumn(tie, F.xxhash64("text"))
