@@ -37,7 +37,7 @@ ROUNDS, PENALTY, SMOOTHING = 12, 3.0, 0.5
 _FOLDED = bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in bytes(range(256)).lower())
 _STEP = 1 << 20
 _FACTOR, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(65 - CELLS.bit_length())
-_SETTLED = 1e-3
+_SETTLED = 1e-4
 
 
 def _letters(text: str | None) -> bytes:

@@ -45,3 +45,15 @@ def test_defined_cases(spark):
     languages, model = train(empty)
     assert languages == [] and identify(empty, languages, model).count() == 0
     assert {r.language.lang_pred for r in identify(docs, languages, model).collect()} == {"und"}
+
+
+def test_proportions_settle():
+    """One more step of EM moves no proportion by more than a ten-thousandth."""
+    import numpy as np
+
+    from noticeflow.llm.language import _fit
+
+    ratio, counts = np.array([[1.0, 0.2], [0.2, 1.0]]), np.array([60.0, 40.0])
+    share, _ = _fit(ratio, counts, np.arange(2))
+    again = share * (ratio @ (counts / (share @ ratio))) / counts.sum()
+    assert np.abs(again - share).max() < 1e-4
