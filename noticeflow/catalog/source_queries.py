@@ -9,6 +9,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions.nested import megabytes
 from ..operators.project import fold_headers, rename_fields
 from ..schema import RAW_HEADERS
 from ..session import shared_dir
@@ -111,16 +112,17 @@ def zip_members(spark, sf_dir):
       FROM orders GROUP BY month) m""",
 )
 def file_inventory(spark, sf_dir):
-    """Length and megabytes of a written file per month of orders."""
+    """Length and megabytes of the files written per month of orders, an order a line."""
     folder = shared_dir(spark, "inventory")
     entry = F.concat_ws(";", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
-    entries = F.sort_array(F.collect_list(F.struct("o_orderkey", entry.alias("entry"))))
-    months = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").alias("month"))
-    lines = months.agg(F.concat_ws("|", entries["entry"]).alias("value"))
-    lines.write.partitionBy("month").text(folder)
+    month = F.date_format("o_orderdate", "yyyyMM")
+    lines = table(spark, sf_dir, "orders").select(month.alias("month"), "o_orderkey", entry.alias("value"))
+    dealt = lines.repartitionByRange("month", "o_orderkey").sortWithinPartitions("month", "o_orderkey")
+    dealt.drop("o_orderkey").write.partitionBy("month").text(folder)
     listed = files.file_inventory(spark, folder, "*.txt")
     month = F.regexp_extract("path", r"month=(\d+)/", 1)
-    return listed.select(month.alias("month"), "length", "size_mb")
+    total = listed.groupBy(month.alias("month")).agg(F.sum("length").alias("length"))
+    return total.select("month", "length", megabytes(F.col("length")).alias("size_mb"))
 
 
 CTES["log_events"] = """

@@ -129,3 +129,13 @@ def test_snapshots(spark, tmp_path):
     assert table.version(below=1) == 0
     table.write(table.read_version(0).unionByName(one), version=1)
     assert (table.version(), table.read().count(), table.read_version(0).count()) == (1, 1, 0)
+
+
+def test_inventory_writes_an_order_a_line(spark, tmp_path, monkeypatch):
+    """No cell holds the orders of a whole month."""
+    from noticeflow.catalog import source_queries
+
+    monkeypatch.setattr(source_queries, "shared_dir", lambda spark, name: f"{tmp_path}/{name}")
+    source_queries.file_inventory(spark, "/root/testdata/sf0.001")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert spark.read.text(f"{tmp_path}/inventory").count() == orders.count()
