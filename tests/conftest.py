@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from noticeflow.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 # Test modules build columns when they are imported, which needs a session.
 SPARK = local_session(4, partitions=4, app="tests")

@@ -1,7 +1,7 @@
 """Every query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 from oracle_check import compare, connect
 
 from noticeflow.catalog import ORACLES, QUERIES

@@ -1,7 +1,7 @@
 """Plans: pushed filters, pruned columns, no Python, no cross joins."""
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 
 from noticeflow.catalog import QUERIES, inputs
 from noticeflow.operators.skew import Sized, keyed_join
@@ -23,7 +23,7 @@ TEXT = [n for n in QUERIES if n.startswith("clean_") or n in (
 @pytest.mark.parametrize("name", TEXT)
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "NestedLoop"):
         assert bad not in text
 
 

@@ -1,7 +1,7 @@
 """Whole runs: staging, repetition, rejects, stream replay."""
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 from pyspark.sql import functions as F
 
 from noticeflow.catalog import inputs
