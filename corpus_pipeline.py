@@ -5,7 +5,7 @@ and read again as the next stage's documents. All but the last keep the columns
 ``documents``:
 
 1. language: texts without a recognisable language go;
-2. near-dedup: of texts linked by five-word shingles at similarity 0.8, one stays;
+2. near-dedup: of texts whose SimHash fingerprints link, one stays;
 3. substring dedup: words covered by windows that occurred before are cut from the texts;
 4. mixing: sources are taken by weight, some documents repeatedly, some not at all;
 5. packing: pieces of sequences along a space-filling curve.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeflow.llm import language, mixing, near_copies, packing, substrings
+from noticeflow.llm import language, mixing, packing, simhash, substrings
 from noticeflow.llm.common import unused
 from noticeflow.session import written
 
@@ -34,8 +34,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Four-word shingles and at most four differing bits, as in the operator's own query.
+    """
+    return simhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
