@@ -86,6 +86,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _TABLE = np.random.default_rng(64).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
+_AT_ONCE = 1 << 16
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -98,7 +99,7 @@ def _powers(n: int) -> list[np.ndarray]:
         factors[0] = 1
         with np.errstate(over="ignore"):
             tables.append(np.cumprod(factors))
-    if n <= 2 * CHUNK_BYTES:
+    if n <= 2 * _AT_ONCE:
         _POWERS[:] = tables
     return tables
 
@@ -121,9 +122,27 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def byte_hashes(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte strings that lie end to end in ``data``; they end at ``ends``."""
+    """64-bit hashes of byte strings that lie end to end in ``data``; they end at ``ends``.
+
+    Some strings at a time, with powers up to the longest of them. An empty string's hash is
+    that of its length alone.
+    """
     starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
-    return range_hashes(byte_sums(data), starts, ends)
+    out = np.zeros(len(ends), np.uint64)
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _AT_ONCE, side="right")))
+        begins, lengths = starts[at:stop], ends[at:stop] - starts[at:stop]
+        row, place = spans(lengths)
+        with np.errstate(over="ignore"):
+            values = _TABLE[data[begins[0] : ends[stop - 1]]] * _powers(int(lengths.max()) + 1)[0][place]
+            some = lengths > 0
+            sums = out[at:stop]
+            if len(row):
+                sums[some] = np.add.reduceat(values, np.flatnonzero(place == 0))
+            out[at:stop] = mixed(sums + lengths.astype(np.uint64))
+        at = stop
+    return out
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
