@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the package imports them."""
 
 from . import (  # noqa: F401
+    circulant,
     extract,
     language,
     lattice,
