@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     neighbours,
     packing,
     simhash,
+    spelling,
     substrings,
     token_files,
 )
