@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     multiset,
     neighbours,
     packing,
+    prefix_trie,
     simhash,
     spelling,
     substrings,
