@@ -274,7 +274,7 @@ def stream_ingest(spark, sf_dir):
     root = shared_dir(spark, "stream")
     raw = inputs.raw_notices(spark, sf_dir, "o_orderkey").select(*RAW_HEADERS)
     inputs.write_csv(raw.repartition(3), f"{root}/in")
-    registry = SnapshotTable(spark, f"{root}/registry", REGISTRY_SCHEMA, writer="stream")
+    registry = SnapshotTable(spark, f"{root}/registry", REGISTRY_SCHEMA, writer="stream", index=["OpportunityId"])
     registry.write(inputs.full_registry(spark, sf_dir, "o_orderkey"), version=0)
     notices = stream_notices(spark, f"{root}/in", raw.schema)
     dim = inputs.dimension(spark, sf_dir)

@@ -86,7 +86,12 @@ def ask_registry(batch: DataFrame, registry: DataFrame) -> DataFrame:
     return semi_independent(batch, search_registry(registry, batch))
 
 
-def _three_way(first: Column, second: Column, both: str, none: str, one: str) -> Column:
+def waits() -> Column:
+    """Whether a registry row still waits for its document."""
+    return F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
+
+
+def three_way(first: Column, second: Column, both: str, none: str, one: str) -> Column:
     return (
         F.when(first.isNotNull() & second.isNotNull(), both)
         .when(first.isNull() & second.isNull(), none)
@@ -109,8 +114,7 @@ def label_pairs(pairs: Sized, registry: DataFrame, match: str = "independent") -
     ``document`` says, for existing pairs, whether the registry still waits for
     their document; it is NULL for the others.
     """
-    waiting = F.coalesce((F.col("ActaPublicada") == 0) & (F.col("UrlActaDL") == ""), F.lit(False))
-    known = registry.select(*KEYS, waiting.alias("_waiting"))
+    known = registry.select(*KEYS, waits().alias("_waiting"))
     if match == "tuple":
         return _label_tuples(pairs, known)
     if match == "independent":
@@ -129,10 +133,10 @@ def _label_each_key(pairs: Sized, known: DataFrame) -> DataFrame:
     open_rows = _key_table(_by_each_key(waiting, existing, "left_semi", hot=known_hot))
     flagged = _flag(pairs.frame, existing, "_known_", hot)
     flagged = _flag(flagged, open_rows, "_open_", hot)
-    label = _three_way(
+    label = three_way(
         F.col(f"_known_{ID}"), F.col(f"_known_{CODE}"), EXISTING, NEW, CONFLICT
     )
-    document = _three_way(F.col(f"_open_{ID}"), F.col(f"_open_{CODE}"), WITHOUT, WITH, MIXED)
+    document = three_way(F.col(f"_open_{ID}"), F.col(f"_open_{CODE}"), WITHOUT, WITH, MIXED)
     return flagged.select(
         *KEYS, label.alias(LABEL), F.when(label == EXISTING, document).alias(DOCUMENT)
     )

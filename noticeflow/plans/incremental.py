@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import CONFLICT, DOCUMENT, LABEL, NEW, WITHOUT, classify
+from ..operators.file_order import classify_in_order
 from ..operators.project import union_distinct
 from ..operators.report import stage_counts
-from ..operators.skew import write_once
+from ..operators.skew import keyed_join, write_once
 from ..operators.updates import insert_rows, update_changed
-from ..schema import KEYS, ROW_SEQ, SOURCE_FILE, STAGED_FIELDS
+from ..schema import FILE_ORDER, KEYS, ROW_SEQ, SOURCE_FILE, STAGED_FIELDS
 from .staging import stage
 
 
@@ -40,7 +41,7 @@ class IncrementalRun:
 
 def run_incremental(
     notices: DataFrame,
-    registry: DataFrame,
+    registry: DataFrame | Callable[[DataFrame], DataFrame],
     dim: DataFrame,
     as_of: datetime | str,
     n_days: int = 1,
@@ -50,16 +51,27 @@ def run_incremental(
 ) -> IncrementalRun:
     """Stage and classify one batch of notice files; plan what follows from it.
 
-    All files of the batch are compared with the same registry state. The batch is
-    read and classified once; registry, work list and counts start from its table.
+    All files of the batch are compared with the same registry state, unless the notices
+    have a ``FILE_ORDER``: then each is compared with what the files before it leave. The
+    batch is read and classified once; registry, work list and counts start from its table.
+    ``registry`` may be a function that gives the part of a table which can hold the keys of
+    the staged rows.
     """
     staged = stage(notices, dim, as_of, n_days, run_ts, compat_nan)
+    if callable(registry):
+        registry = registry(staged.rows)
     spread_by = [c for c in (SOURCE_FILE, ROW_SEQ) if c in staged.rows.columns] or None
-    labelled = classify(staged.rows, registry, match, spread_by)
+    in_order = FILE_ORDER in staged.rows.columns
+    if in_order and match != "independent":
+        raise ValueError("files in order are matched by independent keys only")
+    if in_order:
+        labelled = classify_in_order(staged.rows, registry, spread_by)
+    else:
+        labelled = classify(staged.rows, registry, match, spread_by)
     classified = write_once(labelled, "classified").frame
     new = classified.filter(F.col(LABEL) == NEW)
     waiting = classified.filter(F.col(DOCUMENT) == WITHOUT)
-    order = [c for c in (SOURCE_FILE, ROW_SEQ) if c in classified.columns]
+    order = [c for c in (FILE_ORDER if in_order else SOURCE_FILE, ROW_SEQ) if c in classified.columns]
     if not order:
         _check_no_repeats(waiting)
 
@@ -67,7 +79,18 @@ def run_incremental(
         return update_changed(part, waiting, order=order or ["FechaModificacion"], run_ts=run_ts)
 
     none = registry.sparkSession.createDataFrame([], registry.schema)
-    inserts = insert_rows(none, new.select(*STAGED_FIELDS), {"Url_visitada": F.lit(0)})
+
+    def added(rows: DataFrame) -> DataFrame:
+        return insert_rows(none, rows.select(*STAGED_FIELDS), {"Url_visitada": F.lit(0)})
+
+    if in_order:
+        # Files after the one that brought a new row update it as any other.
+        last = write_once(waiting.groupBy(*KEYS).agg(F.max(FILE_ORDER).alias("_last")), "last")
+        later = F.coalesce(F.col("_last") > F.col(FILE_ORDER), F.lit(False))
+        brought = keyed_join(new, last, KEYS)
+        inserts = added(brought.filter(~later)).unionByName(update(added(brought.filter(later))))
+    else:
+        inserts = added(new)
     next_registry = update(registry).unionByName(inserts)
     worklist = union_distinct(new.select(*STAGED_FIELDS), waiting.select(*STAGED_FIELDS))
     if SOURCE_FILE in classified.columns:

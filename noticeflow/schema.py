@@ -104,6 +104,8 @@ KEYS = [ID, CODE]
 # Columns a source adds so that a row can be told apart and traced back.
 SOURCE_FILE = "source_file"
 ROW_SEQ = "_seq"
+# A text that sorts the files of a batch that are to count one after the other.
+FILE_ORDER = "_file_order"
 # The text of a row whose cells do not fit its file's header.
 MALFORMED = "_malformed"
 

@@ -43,6 +43,7 @@ from ..schema import CODE
 BUCKETS = 64
 MOST_PARTS = 8
 ATTEMPTS = 50
+NEWEST = -1
 _BUCKET, _SLOT = "_bucket", "_slot"
 _TIMES = (TimestampType, TimestampNTZType, DateType)
 
@@ -142,10 +143,10 @@ class SnapshotTable:
         column: str,
         least: datetime | str | None = None,
         greatest: datetime | str | None = None,
-        version: int | None = None,
+        version: int | None = NEWEST,
     ) -> DataFrame:
         """Rows with a time column within bounds, from the parts that can hold any."""
-        version = self.version() if version is None else version
+        version = self.version() if version == NEWEST else version
         rows = self._rows(self._between(self.manifest(version), column, least, greatest))
         kind = self.schema[column].dataType
         for bound, holds in ((least, F.col(column).__ge__), (greatest, F.col(column).__le__)):
@@ -153,18 +154,26 @@ class SnapshotTable:
                 rows = rows.filter(holds(F.lit(_moment(bound)).cast(kind)))
         return rows
 
-    def read_for(self, batch: DataFrame, version: int | None = None) -> DataFrame:
-        """The buckets that can hold a row with the key or an indexed value of a batch.
+    def read_for(
+        self, batch: DataFrame, columns: list[str] | None = None, version: int | None = NEWEST
+    ) -> DataFrame:
+        """The buckets that can hold a row that shares a value with a batch.
 
-        Rows of the batch without a key match nothing. What comes out are whole buckets, so
+        Values of ``columns`` are looked for, by default of the key and the indexed columns; one
+        that is neither needs all buckets. Rows of the batch without a value match nothing. What comes out are whole buckets, so
         whoever looks up keys of the batch finds all rows that the whole table would give.
         At most ``buckets`` numbers come to the driver.
         """
-        version = self.version() if version is None else version
+        version = self.version() if version == NEWEST else version
         manifest = self.manifest(version)
-        wanted = self._numbers(batch.filter(F.col(self.key).isNotNull()), self._bucket())
+        columns = [self.key, *self.index] if columns is None else columns
+        if not set(columns) <= {self.key, *self.index}:
+            return self._rows(manifest)
+        wanted: set[int] = set()
+        if self.key in columns:
+            wanted = self._numbers(batch.filter(F.col(self.key).isNotNull()), self._bucket())
         for column in self.index:
-            if not manifest.keys() <= wanted:
+            if column in columns and not manifest.keys() <= wanted:
                 wanted |= self._indexed(batch, column, manifest)
         return self._rows({b: parts for b, parts in manifest.items() if b in wanted})
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.incremental import run_incremental
-from ..schema import MALFORMED, ROW_SEQ, SOURCE_FILE
+from ..schema import FILE_ORDER, KEYS, MALFORMED, ROW_SEQ, SOURCE_FILE
 from ..session import step_folders
 from ..sinks.snapshots import SnapshotTable
 
@@ -28,14 +28,17 @@ def ingest_batch(
     """Run one micro-batch against the registry and commit the next version.
 
     The version follows from the batch id and the state read is the one before
-    it, so a batch that is run again gives the same registry. Below ``reports`` go the
+    it, so a batch that is run again gives the same registry; of a registry that is indexed by
+    id only the buckets that can hold keys of the batch are read. Below ``reports`` go the
     counts, and every row that does not reach the registry: ``rejects``, with the reason,
     and ``conflicts``.
     """
     if ROW_SEQ not in batch.columns:
         batch = batch.withColumn(ROW_SEQ, F.monotonically_increasing_id())
-    state = registry.read_version(registry.version(below=batch_id + 1))
-    run = run_incremental(batch, state, dim, as_of, n_days, run_ts)
+    before = registry.version(below=batch_id + 1)
+    run = run_incremental(
+        batch, lambda rows: registry.read_for(rows, KEYS, before), dim, as_of, n_days, run_ts
+    )
     for name in ("counts", "rejects", "conflicts"):
         getattr(run, name).write.mode("overwrite").parquet(f"{reports}/{name}/batch={batch_id}")
     registry.merge(run.changed, run.update, run.inserts, version=batch_id + 1)
@@ -51,7 +54,7 @@ def start_ingest(
     reports: str,
     run_ts: datetime | str | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived, file by file, then stop.
+    """Process what has arrived, many files a batch and in their order, then stop.
 
     ``registry`` needs a fixed writer name, so that a restarted stream may repeat its own
     last version.
@@ -70,13 +73,15 @@ def start_ingest(
 
 
 def stream_notices(
-    spark: SparkSession, path: str, schema, fmt: str = "csv", files_per_batch: int = 1
+    spark: SparkSession, path: str, schema, fmt: str = "csv", files_per_batch: int = 1000
 ) -> DataFrame:
-    """Notice files as a stream, with their file's name; one file per micro-batch.
+    """Notice files as a stream, with their file's name and place in the order of files.
 
-    One file at a time keeps their order, and within it the rows of a file that is read
-    as one piece are in the order of the file. A file whose header does not fit the schema
-    stops the stream; rows that do not fit the header are marked and end as rejects.
+    Files are in the order of their change times, then paths. Those of one micro-batch count one
+    after the other (``operators/file_order.py``), so the number of files a batch changes
+    no result. Within a file that is read as one piece rows are in the order of the file.
+    A file whose header does not fit the schema stops the stream; rows that do not fit
+    the header are marked and end as rejects.
     """
     if fmt == "csv":
         schema = StructType([*schema, StructField(MALFORMED, StringType())])
@@ -86,4 +91,6 @@ def stream_notices(
         reader = reader.option("enforceSchema", False)
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     loaded = reader.option("maxFilesPerTrigger", files_per_batch).load(path)
-    return loaded.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    changed = F.unix_micros("_metadata.file_modification_time").cast("string")
+    order = F.concat_ws(" ", F.lpad(changed, 20, "0"), "_metadata.file_path")
+    return loaded.withColumns({SOURCE_FILE: F.col("_metadata.file_name"), FILE_ORDER: order})
