@@ -8,7 +8,8 @@ candidates; at the least similarity that links, a pair shares no band once in 2
 
 Equal sets are one node. Confirmation never pairs off a bucket (the nodes of one band value):
 
-1. The smallest node of a bucket leads it, and every other node is compared with it on the
+1. The node of a bucket that meets the most nodes in all its buckets leads it (the text that
+   others are copies of, where it is there), and every other node is compared with it on the
    full sets. That is one text a node and leader; followers of a leader with many are dealt
    into parts, each with a copy of the leader's text. Links make components.
 2. Buckets whose nodes are now in one component are done, which is what becomes of copies
@@ -16,7 +17,8 @@ Equal sets are one node. Confirmation never pairs off a bucket (the nodes of one
    bucket's largest component are compared with each other and with that component, in
    blocks bounded by rows and by shingles. Signatures come first: a node whose signature
    agrees with none of another component in ``COORDINATES * 0.59`` places (six deviations
-   below what links) is out. Of the rest, blocks get the texts and compare full sets.
+   below what links) is out. A pair that shares several bands is looked at in the first. Of
+   the nodes left, blocks get the texts and compare full sets.
 
 Defined cases: NULL, empty and wordless texts have an empty set, which links with nothing,
 their copies included; fewer words than a shingle are one shingle; rows of equal doc_id are
@@ -202,17 +204,17 @@ def _units(rows: DataFrame, block: int, shingles: int) -> DataFrame:
     return dealt.select(*bucket, "unit.*", "node", "label", "main", "n")
 
 
-def _whole_units(batches: Iterator[pa.RecordBatch], value: str) -> Iterator[list[tuple]]:
-    """Rows (unit, node, label, main, n, value) of one unit after the other."""
+def _whole_units(batches: Iterator[pa.RecordBatch], values: list[str]) -> Iterator[list[tuple]]:
+    """Rows (unit, node, label, main, n, values) of one unit after the other."""
     held, key = [], None
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in (*_UNIT, "node", "label", "main", "n")]
-        for (*unit, node, label, main, n), own in zip(zip(*columns), batch.column(value)):
+        for (*unit, node, label, main, n), *own in zip(zip(*columns), *(batch.column(v) for v in values)):
             if unit != key and held:
                 yield held
                 held = []
             key = unit
-            held.append((unit, node, label, main, n, own))
+            held.append((unit, node, label, main, n, *own))
     if held:
         yield held
 
@@ -221,19 +223,21 @@ def _hopeful(least: int, percent: int):
     """Of each unit the nodes whose signature agrees with one of another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in _whole_units(batches, "sig"):
+        for unit in _whole_units(batches, ["sig", "bands"]):
             label = np.array([u[2] for u in unit])
             main = np.array([u[3] for u in unit])
             n = np.array([u[4] for u in unit])
             sigs = np.stack([np.frombuffer(u[5].as_buffer(), "<u2") for u in unit])
+            bands = np.stack([u[6].values.to_numpy() for u in unit])
             keep = np.zeros(len(unit), bool)
-            both_rest = unit[0][0][2] == 0
+            layout, both_rest = unit[0][0][0], unit[0][0][2] == 0
             for i in np.flatnonzero(~main):
                 fits = (label != label[i]) & (main | both_rest)
                 fits &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
                 fits[: i + 1] &= main[: i + 1]
                 others = np.flatnonzero(fits)
                 others = others[np.count_nonzero(sigs[others] == sigs[i], axis=1) >= least]
+                others = others[(bands[others] == bands[i]).argmax(axis=1) == layout]
                 if len(others):
                     keep[others] = keep[i] = True
             kept = [unit[i][0] + list(unit[i][1:5]) for i in np.flatnonzero(keep)]
@@ -255,7 +259,7 @@ def _confirm(words: int, percent: int):
             yield batch.append_column("own", pa.array(own, pa.large_binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in _whole_units(sets(batches), "own"):
+        for unit in _whole_units(sets(batches), ["own"]):
             label = np.array([u[2] for u in unit])
             main = np.array([u[3] for u in unit])
             values = [np.frombuffer(u[5].as_buffer(), np.uint64) for u in unit]
@@ -281,7 +285,7 @@ def _across(met: DataFrame, roots: DataFrame, rows: DataFrame, words: int, perce
         return None
     sizes = rows.select(F.col("row").alias("node"), "n")
     units = _units(left.join(sizes, "node"), BLOCK, SHINGLES)
-    sigs = units.join(rows.select(F.col("row").alias("node"), "sig"), "node")
+    sigs = units.join(rows.select(F.col("row").alias("node"), "sig", "bands"), "node")
     least = int(COORDINATES * (percent / 100 - 6 * ((percent / 100) * (1 - percent / 100) / COORDINATES) ** 0.5))
     kinds = "layout int, band long, kind int, i int, j int, node long, label long, main boolean, n long"
     searched = sigs.repartition(*_UNIT).sortWithinPartitions(*_UNIT).mapInArrow(_hopeful(least, percent), kinds)
@@ -295,11 +299,14 @@ def links(rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFr
     """(node, root) of the nodes that link with another."""
     banded = rows.select(F.col("row").alias("node"), F.posexplode("bands").alias("layout", "band"))
     dealt = written(banded.join(nodes.select("node"), "node", "left_semi"), "bands")
-    buckets = dealt.groupBy("layout", "band").agg(
-        F.min("node").alias("rep"), F.max("node").alias("last"), F.count(F.lit(1)).alias("m")
-    )
-    met = dealt.join(buckets.filter("rep < last").drop("last"), ["layout", "band"])
-    met = written(met.select("layout", "band", "node", "rep", "m"), "met")
+    bucket = ["layout", "band"]
+    buckets = dealt.groupBy(*bucket).agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    met = written(dealt.join(buckets, bucket).select(*bucket, "node", "m"), "met")
+    meets = met.groupBy("node").agg(F.sum(F.col("m") - 1).alias("meets"))
+    leads = F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("first")
+    leaders = met.join(meets, "node").groupBy(*bucket).agg(leads)
+    met = met.join(leaders.select(*bucket, (-F.col("first.node")).alias("rep")), bucket)
+    met = written(met.select(*bucket, "node", "rep", "m"), "led")
     pairs = met.filter("node <> rep").select("rep", F.col("node").alias("row")).distinct()
     pairs = written(pairs, "pairs")
     parts = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).cast("int").alias("parts"))

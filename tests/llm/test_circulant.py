@@ -69,17 +69,16 @@ def test_links_as_brute_force(spark, seed, monkeypatch):
 
 @pytest.mark.parametrize("known", [False, True])
 def test_links_across_components(spark, monkeypatch, known):
-    """All nodes in one bucket that its leader says nothing about, with and without a large component."""
+    """Buckets whose leaders say nothing, with and without a large component."""
     monkeypatch.setattr(circulant, "BLOCK", 11)
     docs = [d for d in corpus(11, 120) if shingles(d[1])]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     rows = circulant.written(frame.mapInArrow(circulant._sign(4), circulant._SIGNED), "rows")
     nodes = rows.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     nodes = circulant.written(nodes, "nodes")
-    met = nodes.select(
-        F.lit(0).alias("layout"), F.lit(7).cast("long").alias("band"), "node",
-        F.lit(-1).cast("long").alias("rep"), F.lit(99).alias("m"),
-    )
+    dealt = rows.select(F.col("row").alias("node"), F.posexplode("bands").alias("layout", "band"))
+    met = dealt.join(nodes.select("node"), "node", "left_semi")
+    met = met.withColumn("rep", F.lit(-1).cast("long")).withColumn("m", F.lit(99))
     wanted = {d: least for d, _, least in brute(docs)}
     roots = spark.createDataFrame([], "node long, root long")
     if known:
