@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, html, legal, names, nested, text
 from ..functions.text import ACCENTED, FORMAT_DROPS, PLAIN, SPACE_SET, WHITESPACE
+from ..operators.entities import realign, word_spans
 from ..operators.project import audit_times, fill_blank, fold_headers, number_text, rename_fields
 from ..operators.project import drop_blocked, modified_since, status_constants, to_int
 from . import inputs
@@ -309,31 +310,27 @@ def file_name_parse(spark, sf_dir):
 
 
 # --- nested values ----------------------------------------------------------
-_EVERY, _WIDE = 500, 12
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
 
 @query(
     "entity_realign",
-    f"""SELECT doc_id, strpos(clean, word) - 1 AS start, strpos(clean, word) - 1 + length(word) AS stop,
-      'ORG' AS label FROM (
-        SELECT doc_id, {_clean('text')} AS clean, {_clean(f'substr(text, s + 1, {_WIDE})')} AS word
-        FROM (SELECT doc_id, text,
-          unnest(range(0, greatest(length(text) - {_WIDE}, 0) + 1, {_EVERY})) AS s FROM documents) v
-      ) d WHERE strpos(clean, word) > 0""",
+    f"""WITH whole AS MATERIALIZED (SELECT doc_id, {_clean('text')} AS clean, {_WORDS} AS words FROM documents),
+      each AS MATERIALIZED (SELECT doc_id, unnest(words) AS raw, unnest(range(1, len(words) + 1)) AS i FROM whole),
+      forms AS MATERIALIZED (SELECT raw, {_clean('raw')} AS word FROM (SELECT DISTINCT raw FROM each) d),
+      firsts AS MATERIALIZED (SELECT doc_id, raw, word, strpos(clean, word) - 1 AS start
+        FROM (SELECT DISTINCT doc_id, raw FROM each) p JOIN forms USING (raw) JOIN whole USING (doc_id))
+      SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS seq, start, start + length(word) AS stop,
+        'ORG' AS label FROM each JOIN firsts USING (doc_id, raw) WHERE start >= 0""",
 )
 def entity_realign(spark, sf_dir):
-    """Spans of twelve characters all over each text."""
-    body = F.col("text")
-    starts = F.sequence(F.lit(0), F.greatest(F.length(body) - _WIDE, F.lit(0)), F.lit(_EVERY))
-    spans = F.transform(
-        starts,
-        lambda s: F.struct(s.alias("start"), (s + _WIDE).alias("end"), F.lit("X").alias("label")),
-    )
-    moved = table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(nested.realign_entities(body, spans)["entities"]).alias("e")
-    )
-    return moved.select(
+    """Every word of each text as an entity; ``seq`` counts those of a text that are found."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    moved = realign(docs.withColumn("entities", word_spans(F.col("text"))))
+    entities = moved.select("doc_id", F.posexplode("realigned.entities").alias("p", "e"))
+    return entities.select(
         "doc_id",
+        (F.col("p") + 1).cast("bigint").alias("seq"),
         F.col("e.start").cast("bigint").alias("start"),
         F.col("e.end").cast("bigint").alias("stop"),
         F.col("e.label").alias("label"),

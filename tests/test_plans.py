@@ -14,7 +14,7 @@ def plan(frame):
 
 
 TEXT = [n for n in QUERIES if n.startswith("clean_") or n in (
-    "accent_fold", "join_lines", "strip_legal_form", "split_legal_form", "entity_realign", "html_rows",
+    "accent_fold", "join_lines", "strip_legal_form", "split_legal_form", "html_rows",
     "classify_batch", "semi_independent", "anti_independent", "pattern_join_files_prefix",
     "names_present", "run_incremental", "update_changed", "resolve_pending",
 )]
