@@ -89,7 +89,7 @@ def _portions(raw, archive: str, member: str) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(
-    archives: DataFrame, year: str | int, headers: list[str] | None = None, multi_line: bool = True
+    archives: DataFrame, year: str | int, headers: list[str] | None = None
 ) -> DataFrame:
     """Notices of all members whose name starts with the year's prefix.
 
@@ -105,9 +105,9 @@ def read_archives(
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers or RAW_HEADERS])
     parts = ["archive", "member"]
     if unpacked_nothing(spark, folder):
-        read = read_by_header(spark, [], schema, multi_line, folder, parts)
+        read = read_by_header(spark, [], schema, folder, parts)
     else:
-        read = read_by_header(spark, [f"{folder}/archive=*/member=*"], schema, multi_line, folder, parts)
+        read = read_by_header(spark, [f"{folder}/archive=*/member=*"], schema, folder, parts)
     archive = F.regexp_extract("archive", r"[^/]*$", 0)
     return read.withColumn(SOURCE_FILE, F.concat_ws("/", archive, "member"))
 

@@ -1,90 +1,86 @@
 """Notice files: CSV with a header, every column text, columns found by name.
 
-Files may have their columns in any order and more or fewer of them. Files are grouped by
-their header line, and each group is read by Spark's CSV reader with that header as the
-schema, so a value stands under the name its own file gives it.
+Files may have their columns in any order and more or fewer of them. A file's first line is its
+header; the records behind it (``records.py``) are parsed by Spark with that header as the
+schema, so a value stands under the name its own file gives it. Files are split between tasks,
+whatever their quotes hold.
 """
 
 from __future__ import annotations
 
 import csv
-from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import fold_header
+from ..operators.skew import keyed_join, write_once
 from ..schema import MALFORMED, RAW_SCHEMA, ROW_SEQ, SOURCE_FILE
+from .records import read_records
 
 
-def read_notices(
-    spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA, multi_line: bool = True
-) -> DataFrame:
+def read_notices(spark: SparkSession, path: str | list[str], schema=RAW_SCHEMA) -> DataFrame:
     """Notices with their file and a number that orders the rows within it.
 
     No type is inferred. Only paths that contain ``.csv`` are notice files. A column the
-    file lacks is NULL. A row with more or fewer cells than its header keeps its text in
-    the ``MALFORMED`` column, NULL for all others. With ``multi_line`` a quoted value may
-    hold line breaks, and a file is one task; without it large files are split.
+    file lacks is NULL. A row with more or fewer cells than its header, and one whose quotes
+    never close, keeps its text in the ``MALFORMED`` column, which is NULL for all others.
     """
     paths = [path] if isinstance(path, str) else list(path)
     unknown = [p for p in paths if ".csv" not in p]
     if unknown:
         raise ValueError(f"not a notice file: {unknown}")
-    return read_by_header(spark, paths, schema, multi_line)
+    return read_by_header(spark, paths, schema)
 
 
-def read_by_header(
-    spark: SparkSession, paths: list[str], schema, multi_line: bool, base: str | None = None, parts=()
-) -> DataFrame:
-    """The same for any paths; ``parts`` names folder columns below ``base`` to keep as text."""
-    groups = _headers(spark, paths).collect() if paths else []
+def read_by_header(spark: SparkSession, paths: list[str], schema, base: str | None = None, parts=()) -> DataFrame:
+    """The same for any paths; ``parts`` names folder columns below ``base`` to keep as text.
+
+    The layouts, of which there are as many as different headers, come to the driver; files
+    and their rows do not.
+    """
     wanted = {fold_header(f.name): f.name for f in schema}
     extra = [SOURCE_FILE, ROW_SEQ, MALFORMED, *parts]
-    if not groups:
+    if not paths:
         fields = [*schema, *[T.StructField(c, T.StringType()) for c in extra]]
         empty = spark.createDataFrame([], T.StructType(fields))
         return empty.withColumn(ROW_SEQ, F.col(ROW_SEQ).cast("long"))
-    frames = []
-    for group in groups:
-        names = next(csv.reader([group.header.removeprefix("﻿")]), [])
-        folded = [fold_header(n.strip()) for n in names]
-        # A name that occurs twice counts where it stands first.
-        own = [n if n in wanted and n not in folded[:i] else f"_{i}" for i, n in enumerate(folded)]
-        fields = [T.StructField(n, T.StringType()) for n in [*own, MALFORMED, *parts]]
-        reader = spark.read.schema(T.StructType(fields)).option("header", True)
-        reader = reader.option("multiLine", multi_line).option("escape", '"')
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-        if base:
-            reader = reader.option("basePath", base)
-        # Spark gives paths as URIs.
-        read = reader.csv([unquote(f) for f in group.files])
-        values = [
-            (F.col(f"`{n}`") if n in own else F.lit(None).cast("string")).alias(name)
-            for n, name in wanted.items()
-        ]
-        frames.append(
-            read.select(
-                *values,
-                F.col("_metadata.file_name").alias(SOURCE_FILE),
-                F.monotonically_increasing_id().alias(ROW_SEQ),
-                MALFORMED,
-                *parts,
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    found, files = read_records(spark, paths, base, parts)
+    headers = sorted(r["first"] for r in files.select("first").distinct().collect())
+    name = F.url_decode(F.replace(F.regexp_extract("path", r"[^/]*$", 0), F.lit("+"), F.lit("%2B")))
+    named = files.select("file", name.alias(SOURCE_FILE), "first", *[F.col(p).cast("string").alias(p) for p in parts])
+    rows = found.filter("seq > 0").withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    rows = keyed_join(rows.filter("record <> ''"), write_once(named, "files"), ["file"], "left", ["seq"])
+    parsed = F.coalesce(*[F.when(F.col("first") == h, _parsed(h, wanted)) for h in headers]) if headers else None
+    if parsed is None:
+        return read_by_header(spark, [], schema, base, parts)
+    whole = F.when(F.col("whole"), parsed)
+    return rows.withColumn("_parsed", whole).select(
+        *[F.col("_parsed")[f"c{i}"].alias(n) for i, n in enumerate(wanted.values())],
+        SOURCE_FILE,
+        F.col("seq").alias(ROW_SEQ),
+        F.when(F.col("whole"), F.col("_parsed.malformed")).otherwise(F.col("record")).alias(MALFORMED),
+        *parts,
+    )
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(header, files): the distinct first lines and the paths of the files that have them.
+def _parsed(header: str, wanted: dict[str, str]) -> Column:
+    """A record's values under one header: ``c0, c1, ...`` in the order of the names wanted."""
+    names = next(csv.reader([header.removeprefix("\ufeff").removesuffix("\r")]), [])
+    folded = [fold_header(n.strip()) for n in names]
+    # A name that occurs twice counts where it stands first.
+    own = [n if n in wanted and n not in folded[:i] else None for i, n in enumerate(folded)]
+    fields = ", ".join(f"f{i} string" for i in range(len(own))) + f", {MALFORMED} string"
+    options = {"escape": '"', "multiLine": "true", "lineSep": "\n", "columnNameOfCorruptRecord": MALFORMED}
+    cells = F.from_csv("record", fields.removeprefix(", "), options)
 
-    One row per layout, and one path per file, as in Spark's own list of input files.
-    """
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), place.alias("place")
-    )
-    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    def pick(row: Column) -> Column:
+        values = [
+            (row[f"f{own.index(n)}"] if n in own else F.lit(None).cast("string")).alias(f"c{i}")
+            for i, n in enumerate(wanted)
+        ]
+        return F.struct(*values, row[MALFORMED].alias("malformed"))
+
+    # A one-element array binds the row, so that a record is parsed once.
+    return F.get(F.transform(F.array(cells), pick), F.lit(0))

@@ -52,6 +52,24 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert {r["Operador"] for r in rows} == {None}
 
 
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path):
+    """Line breaks of both kinds within quotes, blank lines, and quotes that never close at the end."""
+    code, name = RAW_HEADERS[0], "Nombre de la UC"
+    rows = [f'{i},"a{i}\nb ""{i}""\r\n\n,c"\r\n' for i in range(3000)]
+    (tmp_path / "a b.csv").write_text(f"{code},{name}\r\n" + "".join(rows) + '\n9999,plain\n7,"open\nmore\n', newline="")
+    for key, value in (("maxPartitionBytes", "9000"), ("openCostInBytes", "1")):
+        spark.conf.set(f"spark.sql.files.{key}", value)
+    read = notices.read_notices(spark, str(tmp_path / "*.csv"))
+    assert read.rdd.getNumPartitions() >= 5
+    found = read.orderBy("_seq").collect()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{key}")
+    assert [r[code] for r in found] == [*map(str, range(3000)), "9999", None]
+    assert all(r[name] == f'a{i}\nb "{i}"\r\n\n,c' for i, r in enumerate(found[:3000]))
+    assert {r["source_file"] for r in found} == {"a b.csv"}
+    assert [r["_malformed"] for r in found if r["_malformed"]] == ['7,"open\nmore']
+
+
 def test_archive_members(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("ExpedientesPublicados2021_b.csv", "\ufeff" + _csv(*RECORDS))
