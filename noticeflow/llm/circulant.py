@@ -48,7 +48,7 @@ FOLLOWERS = 2048
 BLOCK, SHINGLES = 2048, 4_000_000
 _FACTORS = np.random.default_rng(11).integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _AT_ONCE = 1 << 16
-_SIGNED = "row long, doc_id long, k1 long, k2 long, n long, sig binary, bands array<long>, text string"
+_SIGNED = "row long, doc_id long, k1 long, k2 long, n long, bands array<long>, text string"
 _UNIT = ["layout", "band", "kind", "i", "j"]
 
 
@@ -99,17 +99,16 @@ def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.nda
 
 
 def _sign(words: int):
-    """Rows with the two halves of their set's name, its size, signature and bands."""
+    """Rows with the two halves of their set's name, its size and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in text_chunks(batches):
             sets = shingle_sets(batch.column("text"), words)
-            minima = signatures(sets)
+            bands = _bands(signatures(sets))
             with np.errstate(over="ignore"):
                 names = [[int(mixed(s * f).sum(dtype=np.uint64)) for s in sets] for f in _FACTORS[:2]]
-            filled = [b if len(s) else b[:0] for b, s in zip(_bands(minima), sets)]
-            short = _permuted(minima, 0).astype("<u2")
+            filled = [b if len(s) else b[:0] for b, s in zip(bands, sets)]
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -117,7 +116,6 @@ def _sign(words: int):
                     batch.column("doc_id"),
                     *(pa.array(np.array(k, np.uint64).view(np.int64)) for k in names),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in short], pa.binary()),
                     pa.array(filled, pa.list_(pa.int64())),
                     batch.column("text"),
                 ],
@@ -128,6 +126,27 @@ def _sign(words: int):
     return run
 
 
+def _compared(words: int):
+    """What the search among components needs of a node: size, signature and bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches):
+            sets = shingle_sets(batch.column("text"), words)
+            minima = signatures(sets)
+            short = _permuted(minima, 0).astype("<u2")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in short], pa.binary()),
+                    pa.array(list(_bands(minima)), pa.list_(pa.int64())),
+                ],
+                names=["node", "n", "sig", "bands"],
+            )
+
+    return run
+
+
 def _bands(minima: np.ndarray) -> np.ndarray:
     """The value of each band of ``ROWS`` coordinates."""
     split = minima.astype(np.uint64).reshape(len(minima), -1, ROWS)
@@ -157,12 +176,12 @@ def _follow(words: int, percent: int):
         leader, own = None, None
         for batch in text_chunks(batches):
             found = []
-            ends = zip(batch.column("rep").to_pylist(), batch.column("row").to_pylist())
-            for (rep, row), values in zip(ends, shingle_sets(batch.column("text"), words)):
-                if rep == row:
+            ends = zip(batch.column("rep").to_pylist(), batch.column("node").to_pylist())
+            for (rep, node), values in zip(ends, shingle_sets(batch.column("text"), words)):
+                if rep == node:
                     leader, own = rep, values
                 elif linked(own, values, percent):
-                    found.append((leader, row))
+                    found.append((leader, node))
             yield _pairs(found)
 
     return run
@@ -274,7 +293,12 @@ def _confirm(words: int, percent: int):
     return run
 
 
-def _across(met: DataFrame, roots: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
+def _texts(nodes: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of nodes with their text; by one way of joining at every size."""
+    return nodes.join(held.hint("merge"), "node")
+
+
+def _across(met: DataFrame, roots: DataFrame, held: DataFrame, words: int, percent: int) -> DataFrame | None:
     """Links between different components that share a bucket; None where no bucket has two."""
     rest = met.filter("m > 2 and node <> rep").select("layout", "band", "node")
     labelled = rest.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
@@ -283,15 +307,16 @@ def _across(met: DataFrame, roots: DataFrame, rows: DataFrame, words: int, perce
     left = written(labelled.join(mixed_up, ["layout", "band"], "left_semi"), "left")
     if left.isEmpty():
         return None
-    sizes = rows.select(F.col("row").alias("node"), "n")
-    units = _units(left.join(sizes, "node"), BLOCK, SHINGLES)
-    sigs = units.join(rows.select(F.col("row").alias("node"), "sig", "bands"), "node")
+    signed = _texts(left.select("node").distinct(), held).mapInArrow(
+        _compared(words), "node long, n long, sig binary, bands array<long>"
+    )
+    signed = written(signed, "compared")
+    units = _units(left.join(signed.select("node", "n"), "node"), BLOCK, SHINGLES)
+    sigs = units.join(signed.select("node", "sig", "bands"), "node")
     least = int(COORDINATES * (percent / 100 - 6 * ((percent / 100) * (1 - percent / 100) / COORDINATES) ** 0.5))
     kinds = "layout int, band long, kind int, i int, j int, node long, label long, main boolean, n long"
     searched = sigs.repartition(*_UNIT).sortWithinPartitions(*_UNIT).mapInArrow(_hopeful(least, percent), kinds)
-    hopeful = written(searched, "hopeful")
-    texts = rows.select(F.col("row").alias("node"), "text")
-    full = hopeful.join(texts, "node").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+    full = _texts(written(searched, "hopeful"), held).repartition(*_UNIT).sortWithinPartitions(*_UNIT)
     return full.mapInArrow(_confirm(words, percent), "a long, b long")
 
 
@@ -303,23 +328,24 @@ def links(rows: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFr
     buckets = dealt.groupBy(*bucket).agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     met = written(dealt.join(buckets, bucket).select(*bucket, "node", "m"), "met")
     meets = met.groupBy("node").agg(F.sum(F.col("m") - 1).alias("meets"))
+    # Only texts that meet another go on.
+    texts = rows.select(F.col("row").alias("node"), "text")
+    held = written(texts.join(meets.select("node").hint("merge"), "node", "left_semi"), "held")
     leads = F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("first")
     leaders = met.join(meets, "node").groupBy(*bucket).agg(leads)
     met = met.join(leaders.select(*bucket, (-F.col("first.node")).alias("rep")), bucket)
     met = written(met.select(*bucket, "node", "rep", "m"), "led")
-    pairs = met.filter("node <> rep").select("rep", F.col("node").alias("row")).distinct()
-    pairs = written(pairs, "pairs")
+    pairs = written(met.filter("node <> rep").select("rep", "node").distinct(), "pairs")
     parts = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / FOLLOWERS).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part")
-    followers = pairs.join(parts, "rep").select("rep", part, "row")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    followers = pairs.join(parts, "rep").select("rep", part, "node")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    leaders = parts.select("rep", every, F.col("rep").alias("row"))
-    wanted = followers.union(leaders).join(rows.select("row", "text"), "row")
-    order = ["rep", "part", F.col("row") != F.col("rep"), "row"]
-    led = wanted.repartition("rep", "part").sortWithinPartitions(*order)
-    confirmed = written(led.select("rep", "row", "text").mapInArrow(_follow(words, percent), "a long, b long"), "confirmed")
+    led = _texts(followers.union(parts.select("rep", every, F.col("rep").alias("node"))), held)
+    order = ["rep", "part", F.col("node") != F.col("rep"), "node"]
+    led = led.repartition("rep", "part").sortWithinPartitions(*order).select("rep", "node", "text")
+    confirmed = written(led.mapInArrow(_follow(words, percent), "a long, b long"), "confirmed")
     roots = written(components(confirmed), "roots")
-    more = _across(met, roots, rows, words, percent)
+    more = _across(met, roots, held, words, percent)
     if more is None:
         return roots
     more = written(more, "across")

@@ -86,7 +86,8 @@ def test_links_across_components(spark, monkeypatch, known):
         members = [d for d in wanted if wanted[d] == largest]
         own = nodes.filter(F.col("least").isin(members[: len(members) // 2]))
         roots = own.select("node", F.lit(own.agg(F.min("node")).first()[0]).alias("root"))
-    more = circulant._across(met, roots, rows, 4, 80)
+    held = rows.select(F.col("row").alias("node"), "text")
+    more = circulant._across(met, roots, held, 4, 80)
     ids = {r.node: r.least for r in nodes.collect()}
     links = [(ids[r.a], ids[r.b]) for r in more.collect()]
     links += [(ids[r.node], ids[r.root]) for r in roots.collect()]
