@@ -374,6 +374,8 @@ _LABEL, _STRONG = "Acta de presentac", "ExpedientesPublicados"
     "html_label_rows",
     f"""SELECT o_orderkey, 'row' AS kind, CAST(1 AS BIGINT) AS pos, 'go(''' || o_custkey || ''')' AS value FROM orders
     UNION ALL SELECT o_orderkey, 'row', 2, 'go(' || o_orderkey || ')' FROM orders
+    UNION ALL SELECT o_orderkey, 'row', 3, 'in' || o_orderkey FROM orders
+    UNION ALL SELECT o_orderkey, 'row', 4, 'behind' FROM orders
     UNION ALL SELECT o_orderkey, 'strong', 1, '/d/{_STRONG}' || year(o_orderdate) || '_' || o_orderkey || '.zip'
       FROM orders""",
 )
@@ -383,7 +385,8 @@ def html_label_rows(spark, sf_dir):
     page = F.concat(
         F.lit(f"<table><tr class='r'><td id=a> {_LABEL}ión "), key,
         F.lit("</td><td><a href='#' onclick=\"go('"), cust, F.lit("')\">x</a><A title='>' onclick='go("), key,
-        F.lit(")'>y</A></td></tr><tr><td>Otra</td><td><a onclick=\"no()\">z</a></td></tr></table>"),
+        F.lit(")'>y</A><table><tr><td><a onclick='in"), key,
+        F.lit("'>t</a></td></tr></table><a onclick=behind>b</a></td></tr><tr><td>Otra</td><td><a onclick=\"no()\">z</a></td></tr></table>"),
         F.lit(f"<strong><a href=\"/d/{_STRONG}"), F.date_format("o_orderdate", "yyyy"), F.lit("_"), key,
         F.lit(".zip\">k</a></strong><strong><a href='/other'>n</a></strong>"),
     )

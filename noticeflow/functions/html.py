@@ -46,9 +46,53 @@ def attributes(fragment: Column, tag: str, attribute: str) -> Column:
     )
 
 
+_ROW, _END = "\x01", "\x02"
+
+
+def outer_rows(html: Column) -> Column:
+    """Array of the table rows that lie in no other row, tables inside them included.
+
+    The page is cut before every tag of a table or row. A row goes to its end tag, the next
+    row or the end of its table, of which those of tables opened within the row do not count.
+    """
+    cut = F.split(F.translate(html, _ROW + _END, ""), r"(?i)(?=</?(?:table|tr)[\s>])")
+
+    def step(state: Column, piece: Column) -> Column:
+        tag = F.lower(F.regexp_extract(piece, r"(?i)^(</?(?:table|tr))[\s>]", 1))
+        own = state["inner"] == 0
+        starts = (tag == "<tr") & (~state["open"] | own)
+        ends = state["open"] & own & tag.isin("</tr", "</table")
+        depth = F.when(tag == "<table", 1).when(tag == "</table", -1).otherwise(0)
+        inner = F.when(starts | ends | ~state["open"], 0).otherwise(state["inner"] + depth)
+        mark = F.when(starts, _ROW).when(ends, _END).otherwise("")
+        return F.struct(
+            F.when(starts, True).when(ends, False).otherwise(state["open"]).alias("open"),
+            inner.alias("inner"),
+            F.concat(state["marks"], F.array(mark)).alias("marks"),
+        )
+
+    start = F.struct(
+        F.lit(False).alias("open"), F.lit(0).alias("inner"), F.array().cast("array<string>").alias("marks")
+    )
+
+    def rows(pieces: Column) -> Column:
+        marks = F.aggregate(pieces, start, step, lambda state: state["marks"])
+        page = F.array_join(F.zip_with(marks, pieces, lambda m, p: F.concat(m, p)), "")
+        begun = F.split(page, _ROW)
+        return F.transform(F.slice(begun, 2, F.size(begun)), lambda r: F.substring_index(r, _END, 1))
+
+    # A one-element array binds the pieces, so that the page is cut once.
+    return F.get(F.transform(F.array(cut), rows), F.lit(0))
+
+
 def row_attributes(html: Column, label: str, attribute: str = "onclick") -> Column:
-    """Anchor attributes in the table rows that carry a label cell."""
-    rows = labelled_blocks(html, "tr", "td", label)
+    """Anchor attributes in the table rows that carry a label cell, in page order.
+
+    A row that holds such a cell in a table within carries it as well, so all anchors of the
+    outermost row around a label count, once each.
+    """
+    holds = rf"(?is)<td{_TAG_REST}[^<]*{re.escape(label)}"
+    rows = F.filter(outer_rows(html), lambda r: r.rlike(holds))
     return F.flatten(F.transform(rows, lambda r: attributes(r, "a", attribute)))
 
 

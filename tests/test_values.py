@@ -82,3 +82,43 @@ def test_numbered_keys(evaluate):
         {"k": "a", "k_2: ": "b", "k_3: ": "c"}
     ]
     assert evaluate(["x"], nested.megabytes(F.lit(1572864))) == [1.5]
+
+
+def _nested(rng, depth, names):
+    """A random table: its HTML and, per outermost row, whether it has the label and its anchors."""
+    rows, page = [], "<TABLE border=1>"
+    for _ in range(rng.randint(0, 3)):
+        anchors, labelled, cells = [], False, ""
+        for _ in range(rng.randint(0, 3)):
+            kind = rng.random()
+            if kind < 0.25 and depth:
+                inner, own = _nested(rng, depth - 1, names)
+                cells += f"<td>x{inner}</td>"
+                anchors += [a for _, found in own for a in found]
+                labelled |= any(label for label, _ in own)
+            elif kind < 0.45:
+                cells, labelled = cells + "<td class=c> the Label here</td>", True
+            else:
+                name = f"n{next(names)}"
+                cells += f"<td><a href='#' onclick='{name}'>y</a></td>"
+                anchors.append(name)
+        page += f"<tr id='r'>{cells}" + rng.choice(["</tr>", "</TR >", ""])
+        rows.append((labelled, anchors))
+    return page + "</table>", rows
+
+
+def test_rows_around_other_tables(evaluate):
+    import itertools
+    import random
+
+    rng, pages, want = random.Random(8), [], []
+    for _ in range(60):
+        names = itertools.count()
+        parts = [_nested(rng, 3, names) for _ in range(rng.randint(1, 3))]
+        pages.append("<p>".join(p for p, _ in parts))
+        want.append([a for _, rows in parts for labelled, anchors in rows if labelled for a in anchors])
+    assert evaluate(pages, html.row_attributes(T, "Label")) == want
+    assert sum(map(len, want)) > 50
+    odd = ["", "<tr", "<tr><td>Label<a onclick=a>", "</table></tr><a onclick=b>", "<track><td>Label<a onclick=c>"]
+    assert evaluate(odd, html.row_attributes(T, "Label")) == [[], [], ["a"], [], []]
+    assert evaluate([None], html.row_attributes(T, "Label")) == [None]
