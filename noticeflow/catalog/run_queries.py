@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import report, status
 from ..plans.incremental import run_incremental
-from ..plans.pending import resolve_pending
+from ..plans.pending import drain_pending, resolve_pending
 from ..plans.staging import stage
 from ..schema import RAW_HEADERS, REGISTRY_FIELDS, REGISTRY_SCHEMA, STAGE_COUNTS, STAGED_FIELDS
 from ..session import shared_dir
@@ -244,6 +244,51 @@ def pending_leftover(spark, sf_dir):
     return _pending(spark, sf_dir).leftover
 
 
+_TRY = f"""SELECT Codigo, OpportunityId, seq, {inputs._LINK} AND file_status = 200 AND stored AS st,
+    ({inputs._LINK} AND file_status = 200 AND stored) OR ({inputs._PAGE_OK} AND n_links = 0) AS ended,
+    {inputs._LINK} AND file_status = 200 AND uploaded IS TRUE AS up FROM due"""
+CTES["tries"] = f"""
+  SELECT *, min(seq) FILTER (WHERE ended) OVER (PARTITION BY Codigo, OpportunityId) AS last
+  FROM ({_TRY}) t WHERE seq <= 3"""
+CTES["drained"] = """
+  SELECT OpportunityId, Codigo, r.ActaPublicada, r.Url_visitada, r.UrlActaDL, last,
+    coalesce(published, false) AS published, coalesce(uploaded, false) AS uploaded,
+    EXISTS (SELECT 1 FROM files WHERE string_split(path, '_')[2] = CAST(r.OpportunityId AS VARCHAR)
+      AND string_split(path, '_')[3] = r.Codigo) AS on_file
+  FROM registry r LEFT JOIN (
+    SELECT OpportunityId, Codigo, any_value(last) AS last, max(st) FILTER (WHERE seq = last) AS published,
+      max(up) FILTER (WHERE last IS NULL OR seq <= last) AS uploaded FROM tries GROUP BY ALL) t
+    USING (OpportunityId, Codigo)"""
+
+
+@query(
+    "drain_dead_letters",
+    sql(
+        """SELECT OpportunityId, Codigo, 'download' AS pending, CAST(3 AS INTEGER) AS attempts FROM drained
+      WHERE ActaPublicada = 0 AND Url_visitada = 0 AND last IS NULL
+    UNION ALL SELECT OpportunityId, Codigo, 'upload', 3 FROM drained WHERE UrlActaDL = '' AND NOT on_file
+      AND (ActaPublicada = 1 OR (Url_visitada = 0 AND published AND NOT uploaded))""",
+        "registry",
+        "files",
+        "order_outcomes",
+        "due",
+        "tries",
+        "drained",
+    ),
+)
+def drain_dead_letters(spark, sf_dir):
+    """What is still pending after three attempts each; an order's lines are its attempts in turn."""
+    outcomes = order_outcomes(spark, sf_dir)
+    drain = drain_pending(
+        inputs.registry(spark, sf_dir),
+        inputs.files(spark, sf_dir),
+        lambda queue, n: outcomes.filter(F.col("seq") == n),
+        F.lit(MONTH),
+        RUN_TS,
+    )
+    return drain.dead
+
+
 # --- stream ---------------------------------------------------------------------
 _RAW_BY_ORDER = CTES["raw"].replace("o_custkey", "o_orderkey")
 CTES["stream_staged"] = CTES["full_staged"].replace("FROM raw)", f"FROM ({_RAW_BY_ORDER}) raw)").replace(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import base_name, parse_document_name
@@ -50,28 +50,26 @@ def match_documents(pending: DataFrame, files: DataFrame, match: str = "exact")
     return keyed_join(pending, write_once(first, "files"), KEYS)
 
 
-def _lengths(df: DataFrame, column: str) -> Column:
-    """The lengths that occur in a name column, as a constant array.
-
-    Names have a bounded length, so there are few.
-    """
-    found = df.select(F.length(column).alias("n")).dropna().distinct().collect()
-    return F.array(*[F.lit(r["n"]) for r in found]).cast("array<int>")
-
-
 def names_present(wanted: DataFrame, objects: DataFrame, exact: bool = False) -> DataFrame:
     """Wanted names that exist, or that some longer object name starts with.
 
-    The prefix test lists each object under its prefixes of the lengths that occur
-    among the wanted names, of which there are few; equality does the rest.
+    Names and objects are sorted together: if any object starts with a name, the next object
+    in order does. The sort is by ranges; within a range the next object is a running value,
+    and a range whose last objects lie before a name takes the first object of the ranges
+    behind, a row a range.
     """
     if exact:
         stored = objects.select(F.col("name")).distinct()
-    else:
-        ends = F.filter(_lengths(wanted, "name"), lambda n: n <= F.length("name"))
-        stored = (
-            objects.withColumn("_len", F.explode(ends))
-            .select(F.substr("name", F.lit(1), F.col("_len")).alias("name"))
-            .distinct()
-        )
-    return keyed_join(wanted, write_once(stored, "names"), ["name"], "left_semi")
+        return keyed_join(wanted, write_once(stored, "names"), ["name"], "left_semi")
+    sides = [d.select("name").dropna().distinct().withColumn("_stored", F.lit(i)) for i, d in enumerate((wanted, objects))]
+    ranged = sides[0].unionByName(sides[1]).repartitionByRange("name")
+    ranged = write_once(ranged.withColumn("_part", F.spark_partition_id()), "ranges").frame
+    own = F.when(F.col("_stored") == 1, F.col("name"))
+    behind = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(F.min(own).alias("_first"))
+    parts = parts.select("_part", F.last("_first", ignorenulls=True).over(behind).alias("_behind"))
+    backwards = Window.partitionBy("_part").orderBy(F.desc("name"), F.desc("_stored"))
+    following = F.last(own, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, 0))
+    sorted_names = ranged.withColumn("_next", following).join(F.broadcast(parts), "_part")
+    found = sorted_names.filter("_stored = 0").filter(F.startswith(F.coalesce("_next", "_behind"), F.col("name")))
+    return keyed_join(wanted, write_once(found.select("name"), "names"), ["name"], "left_semi")

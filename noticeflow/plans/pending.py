@@ -1,22 +1,25 @@
-"""One pass over the pending queue."""
+"""Passes over the pending queue: one, or as many as it takes."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import parse_document_name, without_extensions
-from ..operators.keys import semi_tuple
+from ..operators.keys import anti_tuple, semi_tuple
 from ..operators.match_files import match_documents
 from ..operators.project import run_moment
 from ..operators.skew import keyed_join, write_once
 from ..operators.status import outcome_entries, outcome_updates
-from ..schema import KEYS
+from ..schema import CODE, ID, KEYS
 from ..sources.registry import pending_downloads, pending_uploads
 
+UPLOAD, DOWNLOAD = "upload", "download"
+
 
 @dataclass
 class PendingRun:
@@ -27,6 +30,21 @@ class PendingRun:
     entries: DataFrame
 
 
+@dataclass
+class Drain:
+    """The end of a drain.
+
+    ``dead`` are the notices that are tried no more, ``attempts`` all that are still pending,
+    with their attempts; ``entries`` has the report entries of each pass.
+    """
+
+    registry: DataFrame
+    dead: DataFrame
+    attempts: DataFrame
+    entries: list[DataFrame]
+    passes: int
+
+
 def upload_updates(registry: DataFrame, files: DataFrame, match: str = "exact") -> DataFrame:
     """Archive path and name for pending uploads whose file is there."""
     pending = pending_uploads(registry).dropna().distinct()
@@ -75,14 +93,64 @@ def resolve_pending(
     yearmonth: Column,
     run_ts: datetime | str | None = None,
     match: str = "exact",
+    dead: DataFrame | None = None,
 ) -> PendingRun:
     """Give found files their path, take in fetch outcomes, list what is left.
 
-    Outcomes count only for notices that wait for a download.
+    Outcomes count only for notices that wait for a download. ``dead`` has notices, with what
+    they wait for in ``pending``, that are tried no more.
     """
     uploads = upload_updates(registry, files, match)
     due = semi_tuple(outcomes, pending_downloads(registry))
+    if dead is not None:
+        uploads = anti_tuple(uploads, dead.filter(F.col("pending") == UPLOAD))
+        due = anti_tuple(due, dead.filter(F.col("pending") == DOWNLOAD))
     updated = apply_both(registry, uploads, outcome_updates(due, yearmonth), run_ts)
-    upload = pending_uploads(updated).withColumn("pending", F.lit("upload"))
-    download = pending_downloads(updated).withColumn("pending", F.lit("download"))
-    return PendingRun(updated, upload.unionByName(download), outcome_entries(due, yearmonth))
+    return PendingRun(updated, _pending(updated), outcome_entries(due, yearmonth))
+
+
+def _pending(registry: DataFrame) -> DataFrame:
+    upload = pending_uploads(registry).withColumn("pending", F.lit(UPLOAD))
+    return upload.unionByName(pending_downloads(registry).withColumn("pending", F.lit(DOWNLOAD)))
+
+
+def no_attempts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"{ID} int, {CODE} string, pending string, attempts int")
+
+
+def drain_pending(
+    registry: DataFrame,
+    files: DataFrame,
+    fetch: Callable[[DataFrame, int], DataFrame],
+    yearmonth: Column,
+    run_ts: datetime | str | None = None,
+    match: str = "exact",
+    most: int = 3,
+    attempts: DataFrame | None = None,
+) -> Drain:
+    """Passes over the pending queue until nothing in it is to be tried again.
+
+    ``fetch(queue, n)`` gives the outcomes of trying a queue of notices in the n-th pass, from 1.
+    Every notice that is still pending after a pass has one attempt more; with ``most`` of them
+    it is dead: it leaves the queue and is listed. A notice whose document is fetched may wait
+    for its upload next, which counts anew; so there are at most twice ``most`` passes, fewer
+    where the queue empties. ``attempts`` takes over the counts of an earlier drain, so that
+    notices which failed on several days leave the queue as well. The registry and the counts
+    are written after each pass; a lost executor costs one pass at most.
+    """
+    key = [*KEYS, "pending"]
+    counted = no_attempts(registry.sparkSession) if attempts is None else attempts
+    entries, n = [], 0
+    while True:
+        waiting = _pending(registry).distinct()
+        tried = keyed_join(waiting, write_once(counted.groupBy(*key).agg(F.max("attempts").alias("attempts")), "tried"), key)
+        counted = write_once(tried.withColumn("attempts", F.coalesce("attempts", F.lit(0))), "attempts").frame
+        dead, live = counted.filter(F.col("attempts") >= most), counted.filter(F.col("attempts") < most)
+        if live.isEmpty():
+            return Drain(registry, dead, counted, entries, n)
+        n += 1
+        queue = live.filter(F.col("pending") == DOWNLOAD).select(*KEYS)
+        run = resolve_pending(registry, files, semi_tuple(fetch(queue, n), queue), yearmonth, run_ts, match, dead)
+        entries.append(write_once(run.entries, "entries").frame)
+        registry = write_once(run.registry, "registry").frame
+        counted = counted.withColumn("attempts", F.least(F.col("attempts") + 1, F.lit(most)))

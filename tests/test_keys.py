@@ -245,6 +245,21 @@ def test_names_present(spark, join_path):
     assert _rows(match_files.names_present(wanted, objects, exact=True)) == [("b/z",)]
 
 
+def test_names_present_across_ranges(spark, join_path):
+    """Objects that stand in later ranges than the name they start with; copies and NULLs."""
+    import random
+
+    rng = random.Random(6)
+    names = ["".join(rng.choice("ab/é😀") for _ in range(rng.randint(0, 4))) for _ in range(300)] + [None, "zz", "zz"]
+    stored = ["".join(rng.choice("ab/é😀") for _ in range(rng.randint(1, 9))) for _ in range(60)] + [None, "zz"]
+    wanted = spark.createDataFrame([(n,) for n in names], "name string")
+    objects = spark.createDataFrame([(n,) for n in stored], "name string")
+    want = [(n,) for n in names if n is not None and any(o.startswith(n) for o in stored if o is not None)]
+    assert _rows(match_files.names_present(wanted, objects)) == sorted(want)
+    assert match_files.names_present(wanted, objects.limit(0)).count() == 0
+    assert match_files.names_present(wanted.limit(0), objects).count() == 0
+
+
 def test_a_key_of_more_ways_than_any_fixed_number(spark, join_path):
     """A key is split by its own count; every row finds its match, also among copies."""
     rows = [(1, i % 50) for i in range(3000)] + [(2, i) for i in range(4)] + [(None, 0)] * 20
