@@ -43,7 +43,7 @@ _MARK = "\0"
 _SPACED = re.compile(r"\s*\S+(?:[^\S\x20\x09-\x0D]\s*\S*)*|\s+")
 _PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)")
 _PLAIN_WORD = re.compile(rf"()([{_LETTERS}]+)")
-REMEMBERED, KEPT = 500_000, 200_000
+REMEMBERED, KEPT = 500_000, 500_000
 # Texts are encoded in portions: the larger, the fewer pieces are looked up again.
 ENCODE_BYTES = 8 << 20
 
