@@ -38,9 +38,12 @@ def match_documents(pending: DataFrame, files: DataFrame, match: str = "exact")
         keyed = named.withColumn(CODE, parse_document_name(F.col("path"))["code"])
     elif match == "prefix":
         before_dot = F.length(F.regexp_extract("_rest", r"(?s)(.*)\.", 1))
-        lengths = pending.select(ID, F.length(CODE).alias("_len")).dropna().distinct()
+        # One row per id, with the few lengths its codes have, so that a hot id can be split.
+        lengths = pending.select(ID, F.length(CODE).alias("_len")).dropna().groupBy(ID)
+        lengths = write_once(lengths.agg(F.collect_set("_len").alias("_lengths")), "lengths")
         keyed = (
-            named.join(lengths, ID)
+            keyed_join(named, lengths, [ID], spread_by=["path"])
+            .withColumn("_len", F.explode("_lengths"))
             .filter(F.col("_len") <= before_dot)
             .withColumn(CODE, F.substr("_rest", F.lit(1), F.col("_len")))
         )

@@ -238,6 +238,23 @@ def test_document_match(spark, join_path):
     )
 
 
+def test_prefix_match_of_a_hot_id(spark, join_path):
+    """Most files carry one id, whose codes have several lengths."""
+    files = [(f"d/proposiciones_1_{'ab' * (i % 4)}c_20210{i % 9}_{i}.pdf",) for i in range(200)]
+    files += [("d/proposiciones_2_x_202101_1.pdf",), ("d/proposiciones_3_x_202101_1.pdf",)]
+    pending = [(1, "ab"), (1, "abab"), (1, "c"), (1, "zz"), (2, "x"), (2, "xx"), (4, "x"), (None, "x"), (1, None)]
+    found = match_files.match_documents(
+        spark.createDataFrame(pending, "OpportunityId int, Codigo string"),
+        spark.createDataFrame(files, "path string"), "prefix",
+    )
+
+    def first(i, c):
+        own = [p for (p,) in files if i is not None and c is not None and p.startswith(f"d/proposiciones_{i}_{c}")]
+        return min(own, default=None)
+
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(str((i, c, first(i, c))) for i, c in pending)
+
+
 def test_names_present(spark, join_path):
     objects = spark.createDataFrame([("a/xy.pdf",), ("b/z",)], "name string")
     wanted = spark.createDataFrame([("a/x",), ("b/z",), ("b/zz",), ("q",)], "name string")
