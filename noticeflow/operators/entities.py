@@ -6,15 +6,22 @@ a slice by position, and places come from one pass: distinct words of a short te
 found by a search that stays short, those of a long one by an automaton of all of them
 (Aho-Corasick) that reads the text once. Both give the same places. Texts and words are cleaned
 by the JVM in between, each distinct word of a text once.
+
+The Arrow batches that Spark hands over hold thousands of texts; Python takes them in portions of
+``PORTION`` bytes, so a task holds the words of one portion, or of one longer text, as objects.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterator
 from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +30,8 @@ from ..functions.text import clean_text
 
 # Characters of text times distinct words up to which single searches are the shorter way.
 SEARCHED = 4_000_000
+# Bytes of text whose words are Python objects at a time.
+PORTION = 1 << 20
 # Types as objects: workers import this module, and cannot parse a type's text.
 _INTS = T.ArrayType(T.IntegerType())
 _SPANS = T.ArrayType(
@@ -61,53 +70,75 @@ def _lists(counts: list[int | None], flat: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([*offsets, ends[-1]], pa.int32()), flat)
 
 
+def portions(columns: tuple[pa.Array, ...], most: int = PORTION) -> Iterator[tuple[pa.Array, ...]]:
+    """Slices of equally long columns, the first of them texts, with up to ``most`` bytes of text or one row."""
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(columns[0]), 0).to_pylist()):
+        if i > start and size + n > most:
+            yield tuple(c.slice(start, i - start) for c in columns)
+            start, size = i, 0
+        size += n
+    if start < len(columns[0]):
+        yield tuple(c.slice(start) for c in columns)
+
+
+def _ints(values: array) -> pa.Array:
+    return pa.array(np.frombuffer(values, np.int32))
+
+
 def word_spans(text: Column, pattern: str = r"[^\x20\x09-\x0D]+", label: str = "WORD") -> Column:
     """``array<struct<start, end, label>>`` of all matches of a pattern; NULL for no text."""
 
     @F.arrow_udf(_SPANS)
-    def spans(texts: pa.Array) -> pa.Array:
-        found, counts, flat = re.compile(pattern), [], []
-        for t in texts.to_pylist():
-            own = None if t is None else [m.span() for m in found.finditer(t)]
-            counts.append(None if own is None else len(own))
-            flat += own or []
-        ends = [pa.array([s[side] for s in flat], pa.int32()) for side in (0, 1)]
-        labels = pa.array([label] * len(flat), pa.string())
-        return _lists(counts, pa.StructArray.from_arrays([*ends, labels], names=["start", "end", "label"]))
+    def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = re.compile(pattern).finditer
+        for (texts,) in (part for batch in batches for part in portions((batch,))):
+            starts, ends, counts = array("i"), array("i"), []
+            for t in texts.to_pylist():
+                before = len(starts)
+                for m in () if t is None else find(t):
+                    starts.append(m.start())
+                    ends.append(m.end())
+                counts.append(None if t is None else len(starts) - before)
+            labels = pa.array([label] * len(starts), pa.string())
+            flat = pa.StructArray.from_arrays([_ints(starts), _ints(ends), labels], names=["start", "end", "label"])
+            yield _lists(counts, flat)
 
     return spans.asNondeterministic()(text)
 
 
 @F.arrow_udf(_CUT)
-def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+def _cut(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
     """The distinct words of each text's spans, and for every span which one it is."""
-    flat = spans.flatten()
-    starts, ends = (flat.field(c).to_pylist() for c in ("start", "end"))
-    at, n_words, n_spans, words, which = 0, [], [], [], []
-    for t, n in zip(texts.to_pylist(), spans.value_lengths().to_pylist()):
-        if n is None or t is None:
-            n_words.append(None)
-            n_spans.append(None)
-        else:
-            index: dict[str, int] = {}
-            cuts = map(slice, starts[at : at + n], ends[at : at + n])
-            which += [index.setdefault(w, len(index)) for w in map(t.__getitem__, cuts)]
-            words += index
-            n_words.append(len(index))
-            n_spans.append(n)
-        at += n or 0
-    lists = [_lists(n_words, pa.array(words, pa.string())), _lists(n_spans, pa.array(which, pa.int32()))]
-    return pa.StructArray.from_arrays(lists, names=["words", "which"])
+    for texts, spans in (part for batch in batches for part in portions(batch)):
+        flat = spans.flatten()
+        starts, ends = (flat.field(c).to_pylist() for c in ("start", "end"))
+        at, n_words, n_spans, words, which = 0, [], [], [], array("i")
+        for t, n in zip(texts.to_pylist(), spans.value_lengths().to_pylist()):
+            if n is None or t is None:
+                n_words.append(None)
+                n_spans.append(None)
+            else:
+                index: dict[str, int] = {}
+                cuts = map(slice, starts[at : at + n], ends[at : at + n])
+                which.extend(index.setdefault(w, len(index)) for w in map(t.__getitem__, cuts))
+                words += index
+                n_words.append(len(index))
+                n_spans.append(n)
+            at += n or 0
+        lists = [_lists(n_words, pa.array(words, pa.string())), _lists(n_spans, _ints(which))]
+        yield pa.StructArray.from_arrays(lists, names=["words", "which"])
 
 
 @F.arrow_udf(_INTS)
-def _places(texts: pa.Array, words: pa.Array) -> pa.Array:
-    counts, flat = [], []
-    for t, own in zip(texts.to_pylist(), words.to_pylist()):
-        counts.append(None if t is None or own is None else len(own))
-        if counts[-1]:
-            flat += first_places(t, own)
-    return _lists(counts, pa.array(flat, pa.int32()))
+def _places(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    for texts, words in (part for batch in batches for part in portions(batch)):
+        counts, flat = [], array("i")
+        for t, own in zip(texts.to_pylist(), words.to_pylist()):
+            counts.append(None if t is None or own is None else len(own))
+            if counts[-1]:
+                flat.extend(first_places(t, own))
+        yield _lists(counts, _ints(flat))
 
 
 def realign(rows: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:

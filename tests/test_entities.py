@@ -3,13 +3,16 @@
 import random
 import re
 import time
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from noticeflow.functions import nested
-from noticeflow.operators.entities import first_places, realign, word_spans
+from noticeflow.operators.entities import _cut, first_places, portions, realign, word_spans
 
 SPANS = "i long, text string, entities array<struct<start:int,end:int,label:string>>"
 
@@ -76,3 +79,29 @@ def test_time_follows_the_length():
 
     seconds(5_000)
     assert seconds(160_000) < 10 * seconds(40_000)
+
+
+def test_portions():
+    texts = pa.array(["ab", None, "", "cdefgh", "i", "jklmn", "o"])
+    rows = pa.array(range(7))
+    parts = [(t.to_pylist(), r.to_pylist()) for t, r in portions((texts, rows), most=3)]
+    assert parts == [(["ab", None, ""], [0, 1, 2]), (["cdefgh"], [3]), (["i"], [4]), (["jklmn"], [5]), (["o"], [6])]
+    assert not list(portions((texts.slice(7), rows.slice(7))))
+
+
+def test_words_of_a_batch_are_taken_in_portions():
+    """The objects of a batch of many texts, all words distinct, stay far below those of all its words."""
+    words = [f"{i:07d}" for i in range(400_000)]
+    texts = pa.array([" ".join(words[i : i + 400]) for i in range(0, len(words), 400)])
+    cut = _cut.func
+    starts = pa.array(list(range(0, 3200, 8)) * len(texts), pa.int32())
+    whole = pa.StructArray.from_arrays([starts, pc.add(starts, 7)], names=["start", "end"])
+    lists = pa.ListArray.from_arrays(pa.array(range(0, len(words) + 1, 400), pa.int32()), whole)
+    tracemalloc.start()
+    try:
+        found = [n for part in cut(iter([(texts, lists)])) for n in part.field("words").value_lengths().to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == [400] * 1000
+    assert peak < 30_000_000
