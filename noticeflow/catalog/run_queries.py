@@ -290,6 +290,8 @@ def drain_dead_letters(spark, sf_dir):
 
 
 # --- stream ---------------------------------------------------------------------
+# Rows a task writes into one notice file; the number of files changes no result.
+FILE_ROWS = 1_000_000
 _RAW_BY_ORDER = CTES["raw"].replace("o_custkey", "o_orderkey")
 CTES["stream_staged"] = CTES["full_staged"].replace("FROM raw)", f"FROM ({_RAW_BY_ORDER}) raw)").replace(
     "FROM raw", f"FROM ({_RAW_BY_ORDER}) raw"
@@ -315,10 +317,11 @@ CTES["stream_registry"] = (
     ),
 )
 def stream_ingest(spark, sf_dir):
-    """The registry after three notice files arrived, each known by one id."""
+    """The registry after three notice files arrived, more of a large table, each known by one id."""
     root = shared_dir(spark, "stream")
     raw = inputs.raw_notices(spark, sf_dir, "o_orderkey").select(*RAW_HEADERS)
-    inputs.write_csv(raw.repartition(3), f"{root}/in")
+    files = max(3, -(-raw.count() // FILE_ROWS))
+    inputs.write_csv(raw.repartition(files), f"{root}/in")
     registry = SnapshotTable(spark, f"{root}/registry", REGISTRY_SCHEMA, writer="stream", index=["OpportunityId"])
     registry.write(inputs.full_registry(spark, sf_dir, "o_orderkey"), version=0)
     notices = stream_notices(spark, f"{root}/in", raw.schema)

@@ -40,21 +40,36 @@ def read_by_header(spark: SparkSession, paths: list[str], schema, base: str | No
     The layouts, of which there are as many as different headers, come to the driver; files
     and their rows do not.
     """
-    wanted = {fold_header(f.name): f.name for f in schema}
-    extra = [SOURCE_FILE, ROW_SEQ, MALFORMED, *parts]
     if not paths:
-        fields = [*schema, *[T.StructField(c, T.StringType()) for c in extra]]
-        empty = spark.createDataFrame([], T.StructType(fields))
-        return empty.withColumn(ROW_SEQ, F.col(ROW_SEQ).cast("long"))
-    found, files = read_records(spark, paths, base, parts)
+        return _no_rows(spark, schema, parts)
+    return by_header(*read_records(spark, paths, base, parts), schema, parts)
+
+
+def _no_rows(spark: SparkSession, schema, parts) -> DataFrame:
+    extra = [SOURCE_FILE, ROW_SEQ, MALFORMED, *parts]
+    fields = [*schema, *[T.StructField(c, T.StringType()) for c in extra]]
+    empty = spark.createDataFrame([], T.StructType(fields))
+    return empty.withColumn(ROW_SEQ, F.col(ROW_SEQ).cast("long"))
+
+
+def by_header(found: DataFrame, files: DataFrame, schema, parts=(), strict: bool = False) -> DataFrame:
+    """Records of files (``records.py``) as rows, each parsed under its file's header.
+
+    If ``strict``, all headers must have the schema's names in its order, whatever their case.
+    """
+    wanted = {fold_header(f.name): f.name for f in schema}
     headers = sorted(r["first"] for r in files.select("first").distinct().collect())
+    if strict:
+        for h in headers:
+            if h.strip() and [n.lower() for n in _names(h)] != [f.name.lower() for f in schema]:
+                raise ValueError(f"header does not fit the schema: {h}")
     name = F.url_decode(F.replace(F.regexp_extract("path", r"[^/]*$", 0), F.lit("+"), F.lit("%2B")))
     named = files.select("file", name.alias(SOURCE_FILE), "first", *[F.col(p).cast("string").alias(p) for p in parts])
     rows = found.filter("seq > 0").withColumn("record", F.regexp_replace("record", r"\r\z", ""))
     rows = keyed_join(rows.filter("record <> ''"), write_once(named, "files"), ["file"], "left", ["seq"])
     parsed = F.coalesce(*[F.when(F.col("first") == h, _parsed(h, wanted)) for h in headers]) if headers else None
     if parsed is None:
-        return read_by_header(spark, [], schema, base, parts)
+        return _no_rows(found.sparkSession, schema, parts)
     whole = F.when(F.col("whole"), parsed)
     return rows.withColumn("_parsed", whole).select(
         *[F.col("_parsed")[f"c{i}"].alias(n) for i, n in enumerate(wanted.values())],
@@ -65,10 +80,13 @@ def read_by_header(spark: SparkSession, paths: list[str], schema, base: str | No
     )
 
 
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("\ufeff").removesuffix("\r")]), [])
+
+
 def _parsed(header: str, wanted: dict[str, str]) -> Column:
     """A record's values under one header: ``c0, c1, ...`` in the order of the names wanted."""
-    names = next(csv.reader([header.removeprefix("\ufeff").removesuffix("\r")]), [])
-    folded = [fold_header(n.strip()) for n in names]
+    folded = [fold_header(n.strip()) for n in _names(header)]
     # A name that occurs twice counts where it stands first.
     own = [n if n in wanted and n not in folded[:i] else None for i, n in enumerate(folded)]
     fields = ", ".join(f"f{i} string" for i in range(len(own))) + f", {MALFORMED} string"

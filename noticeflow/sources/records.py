@@ -143,7 +143,11 @@ def read_records(
     spark: SparkSession, paths: str | list[str], base: str | None = None, parts: list[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """The records of files, and (file, path, parts, first) with the first line of each."""
-    read = lines(spark, paths, base, parts)
+    return assembled(lines(spark, paths, base, parts), parts)
+
+
+def assembled(read: DataFrame, parts: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The same for lines, which are read twice; ``parts`` names more columns that are one to a file."""
     counted = write_once(splits(read, parts), "counted").frame
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begun = counted.select(*_SPLIT, (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))

@@ -2,6 +2,7 @@
 
 import pytest
 from tables import SMALL
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from noticeflow.catalog import inputs
@@ -9,7 +10,7 @@ from noticeflow.plans.incremental import run_incremental
 from noticeflow.plans.staging import stage
 from noticeflow.schema import RAW_HEADERS, REGISTRY_FIELDS, REGISTRY_SCHEMA, STAGED_FIELDS
 from noticeflow.sinks.snapshots import SnapshotTable
-from noticeflow.streaming.ingest import ingest_batch, start_ingest, stream_notices
+from noticeflow.streaming.ingest import NoticeLines, ingest_batch, start_ingest, stream_notices
 
 GOOD = {
     "Código del expediente": "7",
@@ -137,3 +138,40 @@ def test_repeated_keys_need_an_order(spark):
     registry = spark.createDataFrame([row], REGISTRY_SCHEMA)
     with pytest.raises(ValueError, match="keys repeat"):
         run_incremental(raw, registry, _dim(spark), AS_OF, 1, RUN)
+
+
+def _stream(spark, folder, schema, root):
+    table = SnapshotTable(spark, f"{root}/t", REGISTRY_SCHEMA, writer="stream")
+    args = (table, _dim(spark), AS_OF, 1, f"{root}/c", f"{root}/r", RUN)
+    start_ingest(stream_notices(spark, folder, schema), *args).awaitTermination()
+    return table
+
+
+def test_stream_splits_a_file(spark, tmp_path, monkeypatch):
+    """One file of many splits, with quoted line breaks: no task reads all of it, and no row is lost or torn."""
+    texts = {str(i): f'a{i}\n"b"\n' + "x" * (i % 40) for i in range(300)}
+    rows = [
+        {"Código del expediente": i, "Dirección del anuncio": f"http://h/x?opportunityId={i}", "Descripción del Anuncio": t}
+        for i, t in texts.items()
+    ]
+    raw = _raw(spark, *rows).drop("_seq")
+    folder = str(tmp_path / "in")
+    inputs.write_csv(raw.coalesce(1), folder)
+    split, plain = [], NoticeLines.rows
+    monkeypatch.setattr(NoticeLines, "rows", lambda self, b: split.append(b.select("block").distinct().count()) or plain(self, b))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        table = _stream(spark, folder, raw.schema, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.Codigo: r.DescAnuncio for r in table.read().collect()} == texts
+    assert len(split) == 1 and split[0] > 3
+
+
+def test_stream_stops_at_another_header(spark, tmp_path):
+    raw = _raw(spark, {}).drop("_seq")
+    folder = str(tmp_path / "in")
+    inputs.write_csv(raw.select(*reversed(raw.columns)).coalesce(1), folder)
+    with pytest.raises(StreamingQueryException, match="header"):
+        _stream(spark, folder, raw.schema, str(tmp_path))
