@@ -13,7 +13,7 @@ from ..functions.names import parse_document_name, without_extensions
 from ..operators.keys import anti_tuple, semi_tuple
 from ..operators.match_files import match_documents
 from ..operators.project import run_moment
-from ..operators.skew import keyed_join, write_once
+from ..operators.skew import Sized, keyed_join, write_once
 from ..operators.status import outcome_entries, outcome_updates
 from ..schema import CODE, ID, KEYS
 from ..sources.registry import pending_downloads, pending_uploads
@@ -47,8 +47,11 @@ class Drain:
 
 def upload_updates(registry: DataFrame, files: DataFrame, match: str = "exact") -> DataFrame:
     """Archive path and name for pending uploads whose file is there."""
-    pending = pending_uploads(registry).dropna().distinct()
-    found = match_documents(pending, files, match).filter(F.col("path").isNotNull())
+    return _found(pending_uploads(registry).dropna().distinct(), files, match)
+
+
+def _found(keys: DataFrame, files: DataFrame, match: str) -> DataFrame:
+    found = match_documents(keys, files, match).filter(F.col("path").isNotNull())
     parsed = found.withColumn("_p", parse_document_name(F.col("path")))
     return parsed.select(
         *KEYS,
@@ -135,22 +138,38 @@ def drain_pending(
     it is dead: it leaves the queue and is listed. A notice whose document is fetched may wait
     for its upload next, which counts anew; so there are at most twice ``most`` passes, fewer
     where the queue empties. ``attempts`` takes over the counts of an earlier drain, so that
-    notices which failed on several days leave the queue as well. The registry and the counts
-    are written after each pass; a lost executor costs one pass at most.
+    notices which failed on several days leave the queue as well. Files are matched
+    once. The notices that wait at the start, their counts and the outcomes are written in each
+    pass; a lost executor costs one pass at most. All other notices are not touched. Notices
+    without an id or code can be neither fetched nor matched: they are dead at once.
     """
     key = [*KEYS, "pending"]
     counted = no_attempts(registry.sparkSession) if attempts is None else attempts
+    pending = write_once(_pending(registry).distinct(), "pending")
+    # Without a key a notice cannot be tried; with one that never waits it does not change.
+    keyless = pending.frame.filter(F.col(ID).isNull() | F.col(CODE).isNull())
+    keyless = keyless.withColumn("attempts", F.lit(most))
+    keys = Sized(pending.frame.select(*KEYS).dropna().distinct(), within=pending)
+    settled = keyed_join(registry, keys, KEYS, "left_anti")
+    active = write_once(keyed_join(registry, keys, KEYS, "left_semi"), "active").frame
+    filed = write_once(_found(keys.frame, files, match), "filed").frame
     entries, n = [], 0
     while True:
-        waiting = _pending(registry).distinct()
+        waiting = _pending(active).distinct()
         tried = keyed_join(waiting, write_once(counted.groupBy(*key).agg(F.max("attempts").alias("attempts")), "tried"), key)
         counted = write_once(tried.withColumn("attempts", F.coalesce("attempts", F.lit(0))), "attempts").frame
         dead, live = counted.filter(F.col("attempts") >= most), counted.filter(F.col("attempts") < most)
         if live.isEmpty():
-            return Drain(registry, dead, counted, entries, n)
+            state = settled.unionByName(active) if n else registry
+            return Drain(state, dead.unionByName(keyless), counted.unionByName(keyless), entries, n)
         n += 1
         queue = live.filter(F.col("pending") == DOWNLOAD).select(*KEYS)
-        run = resolve_pending(registry, files, semi_tuple(fetch(queue, n), queue), yearmonth, run_ts, match, dead)
-        entries.append(write_once(run.entries, "entries").frame)
-        registry = write_once(run.registry, "registry").frame
+        outcomes = fetch(queue, n)
+        if queue.isEmpty():
+            outcomes = outcomes.limit(0)
+        # The attempts of a pass are made once, whatever reads them.
+        due = write_once(semi_tuple(outcomes, queue), "due").frame
+        uploads = semi_tuple(filed, live.filter(F.col("pending") == UPLOAD))
+        entries.append(outcome_entries(due, yearmonth))
+        active = write_once(apply_both(active, uploads, outcome_updates(due, yearmonth), run_ts), "registry").frame
         counted = counted.withColumn("attempts", F.least(F.col("attempts") + 1, F.lit(most)))

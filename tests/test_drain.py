@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from noticeflow.plans import pending
 from noticeflow.plans.pending import drain_pending
 from noticeflow.schema import REGISTRY_SCHEMA
 
@@ -65,3 +66,34 @@ def test_attempts_of_an_earlier_drain_count(spark):
     assert {r.Codigo for r in again.dead.collect()} >= {"bad", "lost"}
     done = drain_pending(again.registry, files, _fetch(spark, asked), F.lit("202103"), "2021-03-02 09:00:00", most=2, attempts=again.attempts)
     assert done.passes == 0 and done.dead.count() == again.dead.count()
+
+
+def test_passes_read_and_write_what_waits(spark, monkeypatch):
+    """Files are matched once, and settled notices are not written again in any pass."""
+    matched, wrote = [], []
+    plain, write = pending.match_documents, pending.write_once
+    monkeypatch.setattr(pending, "match_documents", lambda *args: matched.append(1) or plain(*args))
+
+    def noted(frame, name="step"):
+        done = write(frame, name)
+        wrote.append((name, done.frame.count()))
+        return done
+
+    monkeypatch.setattr(pending, "write_once", noted)
+    registry = _registry(spark)
+    settled = registry.filter("Codigo = 'done'")
+    for i in range(20):
+        registry = registry.unionByName(settled.withColumn("Codigo", F.lit(f"done{i}")))
+    files = spark.createDataFrame([("data/proposiciones_5_filed_202103_1.pdf",)], "path string")
+    drain = drain_pending(registry, files, _fetch(spark, []), F.lit("202103"), "2021-03-02 09:00:00", most=3)
+    assert drain.registry.count() == 27 and drain.registry.columns == registry.columns and drain.dead.count() == 3
+    assert len(matched) == 1
+    assert max(n for name, n in wrote if name == "registry") == 6
+
+
+def test_notices_without_a_key_end(spark):
+    registry = _registry(spark).filter("Codigo = 'bad'").withColumn("Codigo", F.lit(None).cast("string"))
+    files = spark.createDataFrame([], "path string")
+    drain = drain_pending(registry, files, _fetch(spark, []), F.lit("202103"), "2021-03-02 09:00:00", most=2)
+    assert [(r.OpportunityId, r.Codigo, r.pending, r.attempts) for r in drain.dead.collect()] == [(2, None, "download", 2)]
+    assert drain.registry.count() == 1
