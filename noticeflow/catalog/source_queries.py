@@ -80,7 +80,8 @@ def zip_scan(spark, sf_dir):
 
 def _zip_documents(batches):
     """An archive per document, with its text as member of two years."""
-    for batch in batches:
+    # A hundred at a time: a batch holds thousands of texts.
+    for batch in (b.iloc[i : i + 100] for b in batches for i in range(0, len(b), 100)):
         packed = []
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             content = io.BytesIO()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from ..schema import ARCHIVE_MEMBER_PREFIX, RAW_HEADERS, SOURCE_FILE
 from ..session import shared_dir
 from .notices import read_by_header
 
-BATCH_LINES = 20_000
+# What a task holds of a member's lines before it hands them on.
+BATCH_LINES, BATCH_CHARS = 20_000, 1 << 22
 
 
 def load_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -28,21 +30,29 @@ def load_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, zipfile.ZipFile]]:
+    """Path and open archive of every row, one after the other, read where the batch holds it.
+
+    Spark limits the bytes of a batch; nothing of it is copied but what is unpacked.
+    """
+    for batch in batches:
+        paths, contents = batch.column("path"), batch.column("content")
+        for i in range(batch.num_rows):
+            with zipfile.ZipFile(pa.BufferReader(contents[i].as_buffer())) as z:
+                yield paths[i].as_py(), z
+
+
 def list_members(archives: DataFrame, year: str | int) -> DataFrame:
     """``archive, member, bytes`` of the members that hold a year's notices."""
     prefix = f"{ARCHIVE_MEMBER_PREFIX}{year}"
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                with zipfile.ZipFile(io.BytesIO(row["content"])) as z:
-                    for i in z.infolist():
-                        if i.filename.startswith(prefix):
-                            rows.append((row["path"], i.filename, i.file_size))
-            columns = list(zip(*rows)) or [(), (), ()]
+        found = (
+            (path, i.filename, i.file_size) for path, z in _opened(batches) for i in z.infolist() if i.filename.startswith(prefix)
+        )
+        while rows := list(islice(found, BATCH_LINES)):
             kinds = [pa.string(), pa.string(), pa.int64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=["archive", "member", "bytes"])
 
     return archives.select("path", "content").mapInArrow(
@@ -58,12 +68,11 @@ def unpack_members(archives: DataFrame, year: str | int) -> DataFrame:
     prefix = f"{ARCHIVE_MEMBER_PREFIX}{year}"
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            with zipfile.ZipFile(io.BytesIO(row["content"])) as z:
-                for member in z.namelist():
-                    if member.startswith(prefix):
-                        with z.open(member) as raw:
-                            yield from _portions(raw, row["path"], member)
+        for path, z in _opened(batches):
+            for member in z.namelist():
+                if member.startswith(prefix):
+                    with z.open(member) as raw:
+                        yield from _portions(raw, path, member)
 
     return archives.select("path", "content").mapInArrow(
         lines, "archive string, member string, value string"
@@ -71,7 +80,7 @@ def unpack_members(archives: DataFrame, year: str | int) -> DataFrame:
 
 
 def _portions(raw, archive: str, member: str) -> Iterator[pa.RecordBatch]:
-    text, held = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="\n"), []
+    text, held, size = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="\n"), [], 0
 
     def batch() -> pa.RecordBatch:
         n = len(held)
@@ -81,9 +90,11 @@ def _portions(raw, archive: str, member: str) -> Iterator[pa.RecordBatch]:
 
     for line in text:
         held.append(line.rstrip("\r\n"))
-        if len(held) == BATCH_LINES:
+        size += len(line)
+        if len(held) == BATCH_LINES or size >= BATCH_CHARS:
             yield batch()
             held.clear()
+            size = 0
     if held:
         yield batch()
 

@@ -1,8 +1,12 @@
 """Sources and sinks on files in a temporary folder."""
 
+import io
+import random
+import tracemalloc
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +161,31 @@ def test_inventory_writes_an_order_a_line(spark, tmp_path, monkeypatch):
     source_queries.file_inventory(spark, "/root/testdata/sf0.001")
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     assert spark.read.text(f"{tmp_path}/inventory").count() == orders.count()
+
+
+def test_archives_of_a_batch_are_not_copied():
+    """Many archives in one batch, and a long member: Python holds one portion of lines beside the batch."""
+    rng = random.Random(5)
+    contents = []
+    for _ in range(20):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_STORED) as z:
+            z.writestr("ExpedientesPublicados2021.csv", "".join(f"{'x' * rng.randint(900, 1100)}\n" for _ in range(1000)))
+        contents.append(packed.getvalue())
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{i}.zip" for i in range(20)]), pa.array(contents, pa.binary())], names=["path", "content"])
+    lengths = [len(c) for c in contents]
+    del contents
+    tracemalloc.start()
+    try:
+        found = [(path, z.infolist()[0].file_size) for path, z in archives._opened(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [p for p, _ in found] == [f"{i}.zip" for i in range(20)] and all(n < size for (_, n), size in zip(found, lengths))
+    assert peak < 500_000
+
+
+def test_long_lines_are_handed_on_by_their_length():
+    lines = ["y" * 1_000_000] * 10
+    parts = [b.column("value").to_pylist() for b in archives._portions(io.BytesIO("\n".join(lines).encode()), "a.zip", "m")]
+    assert sum(parts, []) == lines and max(map(len, parts)) == 5
