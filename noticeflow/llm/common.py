@@ -114,9 +114,14 @@ def byte_sums(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def inverse_powers(sums: np.ndarray) -> np.ndarray:
+    """What ``range_hashes`` needs of the length of running sums, for callers that ask often."""
+    return _powers(len(sums))[1]
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, inverse: np.ndarray | None = None) -> np.ndarray:
     """64-bit hashes of the byte strings from ``starts`` to ``ends``, from running sums."""
-    inverse = _powers(len(sums))[1]
+    inverse = inverse_powers(sums) if inverse is None else inverse
     with np.errstate(over="ignore"):
         return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 

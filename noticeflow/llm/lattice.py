@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import byte_hashes, byte_sums, crc_mod, range_hashes, split_words, table, text_chunks
+from .common import byte_hashes, byte_sums, crc_mod, inverse_powers, range_hashes, split_words, table, text_chunks
 from .registry import query
 
 ROUNDS = 3
@@ -112,24 +112,30 @@ class Lattice:
 
     def _find(self, kind: int, hashes: np.ndarray) -> np.ndarray:
         piece, owner, probes = self.tables[kind]
-        found = np.full(hashes.shape, _NONE, np.int32)
-        for probe in range(probes):
-            slot = ((hashes + np.uint64(probe)) & np.uint64(len(piece) - 1)).astype(np.int64)
-            found = np.where((found == _NONE) & (owner[slot] == hashes), piece[slot], found)
+        slot = (hashes & np.uint64(len(piece) - 1)).astype(np.int64)
+        found = piece[slot]
+        # Most slots are free, or hold what is looked for; only the others are probed on.
+        other = np.nonzero((found != _NONE) & (owner[slot] != hashes))
+        wanted, at = hashes[other], slot[other]
+        found[other] = _NONE
+        for _ in range(probes - 1):
+            at = (at + 1) & (len(piece) - 1)
+            hit = (owner[at] == wanted) & (piece[at] != _NONE)
+            found[tuple(i[hit] for i in other)] = piece[at[hit]]
         return found
 
-    def _arcs(self, sums: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of words of one length: openers by end; others by end and width (or none)."""
+    def _arcs(self, sums: np.ndarray, inverse: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words of one length: openers by end; others by end and width up to it (or none)."""
         ends = starts[:, None] + np.arange(length + 1)
         opener = np.full(ends.shape, _NONE, np.int32)
         for width in self.widths[0]:
             if width <= length:
-                opener[:, width] = self._find(0, range_hashes(sums, starts, ends[:, width]))
-        others = np.full((*ends.shape, len(self.widths[1])), _NONE, np.int32)
-        for k, width in enumerate(self.widths[1]):
-            if width <= length:
-                there = range_hashes(sums, ends[:, : length + 1 - width], ends[:, width:])
-                others[:, width:, k] = self._find(1, there)
+                opener[:, width] = self._find(0, range_hashes(sums, starts, ends[:, width], inverse))
+        usable = self.widths[1][self.widths[1] <= length]
+        others = np.full((*ends.shape, len(usable)), _NONE, np.int32)
+        for k, width in enumerate(usable):
+            there = range_hashes(sums, ends[:, : length + 1 - width], ends[:, width:], inverse)
+            others[:, width:, k] = self._find(1, there)
         return opener, others
 
     def _forward(self, opener: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -168,13 +174,14 @@ class Lattice:
         lengths = pc.binary_length(values).to_numpy().astype(np.int64)
         data = np.frombuffer(b"".join(values.to_pylist()), np.uint8)
         sums, begins = byte_sums(data), np.cumsum(lengths) - lengths
+        inverse = inverse_powers(sums)
         result, uses = np.zeros(len(lengths)), np.zeros(self.n)
         for length in np.unique(lengths).tolist():
             same = np.flatnonzero(lengths == length)
             step = max(1, _BLOCK // ((length + 1) * len(self.widths[1])))
             for at in range(0, len(same), step):
                 rows = same[at : at + step]
-                opener, others = self._arcs(sums, begins[rows], length)
+                opener, others = self._arcs(sums, inverse, begins[rows], length)
                 alpha = self._forward(opener, others)
                 result[rows] = alpha[:, -1]
                 if counts is not None:

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from brute import SMALL, crc_mod, small_texts
 
+from noticeflow.llm import common
 from noticeflow.llm.lattice import Lattice, Pieces, op3_lattice_scores, score_texts, train_pieces
 
 WORDS = ["a", "ab", "abab", "bababa", "c", "abcab", "é", "", "aaaaaaaaaaaa"]
@@ -101,3 +102,30 @@ def test_defined_cases(spark):
     lone = score_texts(frame.filter("held_out"), pieces).collect()
     assert {(r.base_score, r.n_known, r.train_tokens) for r in lone} == {(0.0, 0, 0)}
     assert score_texts(frame.limit(0), pieces).count() == 0
+
+
+def test_lookups_share_the_powers_and_probe_on(monkeypatch):
+    """Powers as long as all the words are made once a run; pieces that met another's slot are found."""
+    calls, plain = [], common._powers
+    monkeypatch.setattr(common, "_powers", lambda n: calls.append(n) or plain(n))
+    contents = [b"", *(bytes([97 + i, 97 + j]) for i in range(8) for j in range(8)), *(bytes([b]) for b in range(256)), b""]
+    lattice = Lattice(Pieces(contents, 65, np.full(len(contents), 1 / len(contents))))
+    words = pa.array([a + b + c for a in "abcdefgh" for b in "abcdefgh" for c in ("", "xyz", "xyzxyzxyz")])
+    lattice.run(words)
+    total = sum(map(len, words.to_pylist()))
+    assert len([n for n in calls if n >= total]) <= 2
+    hashes = common.byte_hashes(np.frombuffer(b"".join(contents[1:65]), np.uint8), np.arange(2, 130, 2))
+    lattice.tables[0] = _crowded(hashes)
+    assert lattice._find(0, hashes.reshape(2, 32)).ravel().tolist() == list(range(1, 65))
+    assert (lattice._find(0, hashes + np.uint64(1 << 40)) == -1).all()
+
+
+def _crowded(hashes):
+    """A table of 128 slots, so that many pieces lie behind their slot."""
+    piece, owner = np.full(128, -1, np.int32), np.zeros(128, np.uint64)
+    for i, value in enumerate(hashes.tolist()):
+        at = value % 128
+        while piece[at] != -1:
+            at = (at + 1) % 128
+        piece[at], owner[at] = i + 1, value
+    return piece, owner, 128
